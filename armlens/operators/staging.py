@@ -40,12 +40,8 @@ def _keys_present(strict_null: bool) -> Column:
     return present
 
 
-def valid_event(strict_null: bool = False) -> Column:
-    """True for a row that may be staged, never NULL.
-
-    By default an unreadable timestamp and an empty key are invalid as well. ``strict_null``
-    follows plain SQL instead: only NULL keys count, and time text is not looked at.
-    """
+def passes(strict_null: bool = False) -> Column:
+    """The staging condition, for filters: plain comparisons, which reach the Parquet scan."""
     valid = (
         _keys_present(strict_null)
         & F.col("test_group").isin(*ARMS)
@@ -53,7 +49,16 @@ def valid_event(strict_null: bool = False) -> Column:
     )
     if not strict_null:
         valid &= utc_second(F.col("event_timestamp")).isNotNull()
-    return F.coalesce(valid, F.lit(False))
+    return valid
+
+
+def valid_event(strict_null: bool = False) -> Column:
+    """True for a row that may be staged, else False, never NULL.
+
+    By default an unreadable timestamp and an empty key are invalid as well. ``strict_null``
+    follows plain SQL instead: only NULL keys count, and time text is not looked at.
+    """
+    return F.coalesce(passes(strict_null), F.lit(False))
 
 
 def rejects(raw: DataFrame, strict_null: bool = False) -> DataFrame:
@@ -111,7 +116,7 @@ def flatten_properties(rows: DataFrame) -> DataFrame:
 def stage(raw: DataFrame, strict_null: bool = False) -> DataFrame:
     """Raw rows to staged events. JSON is parsed last, on the rows that remain."""
     return (
-        raw.filter(valid_event(strict_null))
+        raw.filter(passes(strict_null))
         .transform(first_delivery)
         .transform(with_time)
         .select(
@@ -209,7 +214,7 @@ def reconciliation(raw: DataFrame, staged: DataFrame, rejected: DataFrame) -> Da
     no burden), not as the difference of the other three.
     """
     repeats = (
-        raw.filter(valid_event()).groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+        raw.filter(passes()).groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
         .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("rows"))
     )
     stages = {

@@ -502,6 +502,7 @@ def _bodies() -> dict[str, str]:
             THEN [NULL] ELSE json_keys(properties) END) AS property FROM landed""",
         "export_bundle": bundle,
         "results_document": results,
+        "full_refresh": "SELECT * FROM kpi",
     }
 
 

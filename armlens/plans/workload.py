@@ -13,6 +13,7 @@ from armlens.functions import payload
 from armlens.operators import (
     assignment, inference, marts, monitoring, panels, quality, staging, warehouse,
 )
+from armlens.plans import refresh
 from armlens.session import pin, scratch_path
 from armlens.sources import designs, documents, event_table, events_csv, faults, landing, run_log
 from armlens.sources.layers import through_scratch
@@ -111,7 +112,7 @@ def landed_events(spark, folder):
 
 @query
 def valid_events(spark, folder):
-    return landed(spark, folder).filter(staging.valid_event()).select(*ENVELOPE, "_ingest_seq")
+    return landed(spark, folder).filter(staging.passes()).select(*ENVELOPE, "_ingest_seq")
 
 
 @query
@@ -137,7 +138,7 @@ def rejects_strict_null(spark, folder):
 
 @query
 def dedup_events(spark, folder):
-    rows = landed(spark, folder).filter(staging.valid_event())
+    rows = landed(spark, folder).filter(staging.passes())
     return staging.first_delivery(rows).select(*ENVELOPE, "_ingest_seq")
 
 
@@ -605,3 +606,19 @@ def results_document(spark, folder):
             rows(section, entries(column), F.concat_ws("/", "key", F.lit(arm)), at[arm]) for arm in "ABC"
         ]
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query
+def full_refresh(spark, folder):
+    """A whole policed run over the events; the KPI mart it published.
+
+    The order of events is random in this table, so only the checks on size and arms are policed.
+    """
+    root = scratch_path(spark, "refresh")
+    policy = {name: quality.POLICY[name] for name in (
+        "raw_row_count", "staging_duplicate_event_ids", "orphan_fact_users",
+        "invalid_test_group_values", "mart_kpi_group_count",
+    )}
+    rows = event_table.envelope_rows(event_table.read_events_table(spark, folder))
+    refresh.refresh(rows, root, design=design(spark), source_file="events.parquet", policy=policy)
+    return refresh.published(spark, root, "mart_kpi_by_group")
