@@ -24,7 +24,7 @@ def run_record(spark: SparkSession, run_id: str, started: datetime, finished: da
         run_id, started.isoformat(), finished.isoformat(),
         round((finished - started).total_seconds(), 2), status, retries_used, summary, error,
     )
-    return spark.createDataFrame([row], RUN_SCHEMA)
+    return spark.createDataFrame([row], RUN_SCHEMA).coalesce(1)
 
 
 def recent_runs(runs: DataFrame, last: int = 10) -> DataFrame:

@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
@@ -28,7 +29,7 @@ MARTS = (
 PUBLISHED_SCHEMA = "run_id string, published_at string, folder string"
 
 
-def together(spark: SparkSession, **steps: Callable[[], DataFrame]) -> dict[str, DataFrame]:
+def together(spark: SparkSession, **steps: Callable[[], Any]) -> dict[str, Any]:
     """Run independent steps at the same time; Spark fills idle cores of one with tasks of another."""
     with ThreadPoolExecutor(len(steps)) as pool:
         started = {
@@ -42,8 +43,7 @@ def build(rows: DataFrame, folder: str, design: DataFrame | None = None,
           policy: dict[str, tuple[str, int]] = quality.POLICY) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Write all layers of one run under ``folder``; returns the tables and the check values.
 
-    Raises ``GateFailure`` before the marts are of use to anyone. Users must be unique before the
-    funnel is built from them.
+    Raises ``GateFailure`` when a check fails; what was written is then never published.
     """
     spark = rows.sparkSession
     design = designs.step_design(spark) if design is None else design
@@ -52,50 +52,59 @@ def build(rows: DataFrame, folder: str, design: DataFrame | None = None,
         return write_layer(table, folder, name, files=files)
 
     raw = write("raw_events", landing.land(rows, source_file))
-    tables = {"raw_events": raw}
-    tables |= together(
-        spark,
-        stg_events=lambda: write("stg_events", staging.stage(raw)),
-        stg_events_rejects=lambda: write("stg_events_rejects", staging.rejects(raw)),
-        dim_step=lambda: write("dim_step", design, files=1),
-    )
-    events = tables["stg_events"]
-    tables |= together(
-        spark,
-        user_rollup=lambda: write("user_rollup", warehouse.user_rollup(events)),
-        dim_date=lambda: write("dim_date", warehouse.dim_date(events), files=1),
-        fact_onboarding_step_events=lambda: write(
-            "fact_onboarding_step_events", warehouse.step_events(events)
-        ),
-    )
-    users = tables["user_rollup"]
-    tables |= together(
-        spark,
-        dim_user=lambda: write("dim_user", warehouse.dim_user(users)),
-        fact_user_funnel=lambda: write("fact_user_funnel", warehouse.user_funnel(users)),
-    )
-    funnel = tables["fact_user_funnel"]
-    unique = quality.unique_key_report(tables["dim_user"], tables["dim_date"], funnel)
-    quality.enforce(quality.dq_gate(unique, quality.UNIQUE_POLICY))
 
-    tables |= together(
+    def user_tables(events: DataFrame) -> dict[str, DataFrame]:
+        users = write("user_rollup", warehouse.user_rollup(events))
+        made = together(
+            spark,
+            dim_user=lambda: write("dim_user", warehouse.dim_user(users)),
+            fact_user_funnel=lambda: write("fact_user_funnel", warehouse.user_funnel(users)),
+        )
+        funnel = made["fact_user_funnel"]
+        return made | together(
+            spark,
+            mart_kpi_by_group=lambda: write("mart_kpi_by_group", marts.kpi_by_group(funnel), files=1),
+            mart_guardrails_by_group=lambda: write(
+                "mart_guardrails_by_group", marts.guardrails_by_group(funnel), files=1
+            ),
+            mart_daily_funnel=lambda: write("mart_daily_funnel", marts.daily_funnel(funnel)),
+        )
+
+    def step_tables(events: DataFrame) -> dict[str, DataFrame]:
+        facts = write("fact_onboarding_step_events", warehouse.step_events(events))
+        steps = write("dim_step", design, files=1)
+        return {
+            "fact_onboarding_step_events": facts, "dim_step": steps,
+            "mart_step_dropoff": write("mart_step_dropoff", marts.step_dropoff(facts, steps)),
+        }
+
+    def event_tables() -> dict[str, DataFrame]:
+        events = write("stg_events", staging.stage(raw))
+        branches = together(
+            spark,
+            users=lambda: user_tables(events),
+            steps=lambda: step_tables(events),
+            dates=lambda: {"dim_date": write("dim_date", warehouse.dim_date(events), files=1)},
+        )
+        return {"stg_events": events} | branches["users"] | branches["steps"] | branches["dates"]
+
+    halves = together(
         spark,
-        mart_kpi_by_group=lambda: write("mart_kpi_by_group", marts.kpi_by_group(funnel), files=1),
-        mart_guardrails_by_group=lambda: write(
-            "mart_guardrails_by_group", marts.guardrails_by_group(funnel), files=1
-        ),
-        mart_step_dropoff=lambda: write("mart_step_dropoff", marts.step_dropoff(
-            tables["fact_onboarding_step_events"], tables["dim_step"]
-        )),
-        mart_daily_funnel=lambda: write("mart_daily_funnel", marts.daily_funnel(funnel)),
+        events=event_tables,
+        rejects=lambda: {"stg_events_rejects": write("stg_events_rejects", staging.rejects(raw))},
     )
-    report = write("dq_report", quality.dq_report({
-        "raw": raw, "rejects": tables["stg_events_rejects"], "staged": events,
+    tables = {"raw_events": raw} | halves["events"] | halves["rejects"]
+    funnel = tables["fact_user_funnel"]
+    checks = quality.dq_report({
+        "raw": raw, "rejects": tables["stg_events_rejects"], "staged": tables["stg_events"],
         "dim_user": tables["dim_user"], "user_funnel": funnel, "kpi": tables["mart_kpi_by_group"],
-    }))
-    tables["dq_report"] = report
-    quality.enforce(quality.dq_gate(report, policy))
-    return tables, {row["check_name"]: row["value"] for row in report.collect()}
+    })
+    unique = quality.unique_key_report(tables["dim_user"], tables["dim_date"], funnel)
+    values = checks.unionByName(unique).collect()  # one row per check
+    report = spark.createDataFrame(values, checks.schema).coalesce(1)
+    tables["dq_report"] = write("dq_report", report)
+    quality.enforce(quality.dq_gate(report, {**policy, **quality.UNIQUE_POLICY}))
+    return tables, {row["check_name"]: row["value"] for row in values}
 
 
 def refresh(rows: DataFrame, root: str, **options) -> dict[str, DataFrame]:
@@ -124,7 +133,7 @@ def refresh(rows: DataFrame, root: str, **options) -> dict[str, DataFrame]:
         record("failed_unclassified", error=failure)
         raise
     published = [(run_id, datetime.now(timezone.utc).isoformat(), folder)]
-    spark.createDataFrame(published, PUBLISHED_SCHEMA).write.mode("append").json(
+    spark.createDataFrame(published, PUBLISHED_SCHEMA).coalesce(1).write.mode("append").json(
         layer_path(root, "published")
     )
     record("success", summary)

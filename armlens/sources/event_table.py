@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from armlens.domain import ENVELOPE, EVENT_CATALOG
 from armlens.sources.landing import land
 
 ARM_FLOW_LENGTH = {"A": 13, "B": 7, "C": 5}
@@ -106,8 +107,6 @@ def read_events_table(spark: SparkSession, folder: str) -> DataFrame:
 
 def envelope_rows(events: DataFrame) -> DataFrame:
     """Envelope rows of an ``events`` table; every 50th event is delivered twice."""
-    from armlens.domain import EVENT_CATALOG
-
     source = events.select(
         F.col("event_id").alias("eid"),
         F.col("user_id").alias("uid"),
@@ -117,19 +116,22 @@ def envelope_rows(events: DataFrame) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_timestamp"),
     )
     named = source.select(
-        "*",
+        "k", "uid", "value", "event_timestamp",
+        F.col("eid").cast("string").alias("event_id"),
+        F.expr(USER_ID).alias("user_id"),
         F.expr(EVENT_NAME).alias("event_name"),
         F.expr(TEST_GROUP).alias("test_group"),
         F.expr(PLATFORM).alias("platform"),
-    )
-    deliveries = F.when(F.col("eid") % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return named.select(
-        F.col("eid").cast("string").alias("event_id"),
-        F.expr(USER_ID).alias("user_id"),
-        "event_name", "event_timestamp", "test_group", "platform",
         F.expr("concat('s_', CAST(uid AS STRING))").alias("session_id"),
+        F.when(F.col("eid") % 50 == 0, F.array(F.lit(0), F.lit(1)))
+        .otherwise(F.array(F.lit(0))).alias("deliveries"),
+    )
+    # The explode stands between the two projections on purpose: one generated method holding all
+    # of these rules would be too long for the JIT compiler.
+    return named.select("*", F.explode("deliveries").alias("_ingest_seq")).select(
+        *[c for c in ENVELOPE if c != "properties"],
         F.expr(payload_sql(EVENT_CATALOG)).alias("properties"),
-        F.explode(deliveries).alias("_ingest_seq"),
+        "_ingest_seq",
     )
 
 

@@ -8,6 +8,7 @@ from armlens.domain import RUN_SCHEMA
 
 
 def append_run(record: DataFrame, path: str) -> None:
+    """Add one or more run records; each call adds files and touches none that exist."""
     record.select(*RUN_SCHEMA.names).write.mode("append").json(path)
 
 

