@@ -6,8 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from armlens.functions.scalars import flag, number
-
 # Payload key, staged column, type.
 FIELDS = (
     ("step_number", "step_number", "int"),
@@ -39,16 +37,17 @@ def parse(properties: Column) -> Column:
     return F.from_json(properties, PAYLOAD_SCHEMA)
 
 
+# Text of a JSON scalar to its type: a fraction is cut for whole numbers, junk becomes NULL.
+_CASTS = {
+    "string": "{0}",
+    "double": "try_cast({0} AS DOUBLE)",
+    "int": "try_cast(try_cast({0} AS DOUBLE) AS INT)",
+    "flag": "CASE {0} WHEN 'true' THEN 1 WHEN 'false' THEN 0 ELSE try_cast({0} AS INT) END",
+}
+
+
 def typed(parsed: str) -> list[Column]:
     """The staged payload columns out of the parsed struct column named ``parsed``."""
-    columns = []
-    for key, column, kind in FIELDS:
-        text = F.col(parsed)[key]
-        if kind == "string":
-            value = text
-        elif kind == "flag":
-            value = flag(text)
-        else:
-            value = number(text, kind)
-        columns.append(value.alias(column))
-    return columns
+    return [
+        F.expr(f"{_CASTS[kind].format(f'{parsed}.{key}')} AS {column}") for key, column, kind in FIELDS
+    ]

@@ -18,24 +18,6 @@ def ratio(numerator: Column, denominator: Column, places: int = 4) -> Column:
     )
 
 
-def any_event(event: Column, name: str) -> Column:
-    """1 when the event has this name, else 0."""
-    return F.when(event == name, 1).otherwise(0)
-
-
-def number(text: Column, kind: str) -> Column:
-    """Text of a JSON scalar as a number; a fraction is cut for integers, junk becomes NULL."""
-    value = text.try_cast("double")
-    return value if kind == "double" else value.try_cast(kind)
-
-
-def flag(text: Column) -> Column:
-    """JSON boolean text as 1/0; numbers pass through."""
-    return (
-        F.when(text == "true", 1).when(text == "false", 0).otherwise(number(text, "int"))
-    )
-
-
 def fixed(value: Column, places: int) -> Column:
     """Decimal text with a fixed number of places."""
     return F.format_number(value, places)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from armlens.domain import RUN_SCHEMA, RUN_STATUSES
+from armlens.sources.local import local_frame
 
 # Below this success rate, with at least this many runs looked at, alarm.
 HEALTHY_PCT = 70
@@ -24,7 +25,7 @@ def run_record(spark: SparkSession, run_id: str, started: datetime, finished: da
         run_id, started.isoformat(), finished.isoformat(),
         round((finished - started).total_seconds(), 2), status, retries_used, summary, error,
     )
-    return spark.createDataFrame([row], RUN_SCHEMA).coalesce(1)
+    return local_frame(spark, [row], RUN_SCHEMA)
 
 
 def recent_runs(runs: DataFrame, last: int = 10) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from armlens.domain import ARMS
 from armlens.functions.scalars import literal_map
+from armlens.sources.local import local_frame
 
 # Policed check -> (comparison, bound). staging_rejects is informational.
 POLICY = {
@@ -108,7 +109,7 @@ def dq_gate(report: DataFrame, policy: dict[str, tuple[str, int]] = POLICY) -> D
     still shows up, without a value.
     """
     names = [(name, None) for name in policy]
-    asked = report.sparkSession.createDataFrame(names, "check_name string, value bigint")
+    asked = local_frame(report.sparkSession, names, "check_name string, value bigint")
     judged = (
         asked.unionByName(report.filter(F.col("check_name").isin(*policy)))
         .groupBy("check_name").agg(F.max("value").alias("value"))

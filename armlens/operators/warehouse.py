@@ -38,18 +38,16 @@ USER_KEYS = ("user_id", "test_group", "platform")
 
 
 def _event_bit() -> Column:
-    bit = F.lit(0)
-    for name, value in _BITS.items():
-        bit = F.when(F.col("event_name") == name, value).otherwise(bit)
-    return bit
+    cases = " ".join(f"WHEN '{name}' THEN {bit}" for name, bit in _BITS.items())
+    return F.expr(f"CASE event_name {cases} ELSE 0 END")
 
 
-def _flag(bits: Column, event: str) -> Column:
-    return (bits.bitwiseAND(F.lit(_BITS[event])) > 0).cast("int")
+def _flag(bits: str, event: str, column: str) -> Column:
+    return F.expr(f"CAST(({bits} & {_BITS[event]}) > 0 AS INT) AS {column}")
 
 
 def _if_event(event: str, column: str) -> Column:
-    return F.when(F.col("event_name") == event, F.col(column))
+    return F.expr(f"CASE WHEN event_name = '{event}' THEN {column} END")
 
 
 def user_rollup(staged: DataFrame) -> DataFrame:
@@ -88,7 +86,7 @@ def dim_user(rollup: DataFrame) -> DataFrame:
         *USER_KEYS,
         "install_ts",
         F.to_date("install_ts").alias("install_date"),
-        *[_flag(F.col("bits"), event).alias(c) for c, event in USER_FLAGS.items()],
+        *[_flag("bits", event, c) for c, event in USER_FLAGS.items()],
         "signup_method",
     )
 
@@ -104,7 +102,7 @@ def user_funnel(rollup: DataFrame) -> DataFrame:
     merged = rollup.select(
         *USER_KEYS,
         F.to_date("install_ts").alias("install_date"),
-        *[_flag(F.col("bits"), event).alias(c) for c, event in USER_FLAGS.items()],
+        *[_flag("bits", event, c) for c, event in USER_FLAGS.items()],
         F.bit_or("bits").over(of_user).alias("user_bits"),
         F.max("steps_completed").over(of_user).alias("steps_completed"),
         *[
@@ -115,7 +113,7 @@ def user_funnel(rollup: DataFrame) -> DataFrame:
         F.sum("relevance_sum").over(of_user).alias("relevance_sum"),
         F.sum("relevance_n").over(of_user).alias("relevance_n"),
     )
-    flags = {c: _flag(F.col("user_bits"), event).alias(c) for c, event in FUNNEL_FLAGS.items()}
+    flags = {c: _flag("user_bits", event, c) for c, event in FUNNEL_FLAGS.items()}
     waited = F.unix_timestamp("first_lesson_started_ts") - F.unix_timestamp("onboarding_started_ts")
     return merged.select(
         *USER_KEYS, "install_date", "account_created_flag",

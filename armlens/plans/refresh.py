@@ -22,6 +22,7 @@ from armlens.operators import inference, marts, monitoring, quality, staging, wa
 from armlens.session import pin
 from armlens.sources import designs, documents, landing, run_log
 from armlens.sources.layers import layer_path, read_layer, write_layer
+from armlens.sources.local import local_frame
 
 MARTS = (
     "mart_kpi_by_group", "mart_guardrails_by_group", "mart_step_dropoff", "mart_daily_funnel",
@@ -101,7 +102,7 @@ def build(rows: DataFrame, folder: str, design: DataFrame | None = None,
     })
     unique = quality.unique_key_report(tables["dim_user"], tables["dim_date"], funnel)
     values = checks.unionByName(unique).collect()  # one row per check
-    report = spark.createDataFrame(values, checks.schema).coalesce(1)
+    report = local_frame(spark, values, checks.schema)
     tables["dq_report"] = write("dq_report", report)
     quality.enforce(quality.dq_gate(report, {**policy, **quality.UNIQUE_POLICY}))
     return tables, {row["check_name"]: row["value"] for row in values}
@@ -133,7 +134,7 @@ def refresh(rows: DataFrame, root: str, **options) -> dict[str, DataFrame]:
         record("failed_unclassified", error=failure)
         raise
     published = [(run_id, datetime.now(timezone.utc).isoformat(), folder)]
-    spark.createDataFrame(published, PUBLISHED_SCHEMA).coalesce(1).write.mode("append").json(
+    local_frame(spark, published, PUBLISHED_SCHEMA).write.mode("append").json(
         layer_path(root, "published")
     )
     record("success", summary)

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
+# Static: call-site capture costs several round trips to the JVM for every column expression.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def pin(spark: SparkSession) -> SparkSession:
@@ -31,7 +33,7 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None, memory:
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
     )
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **STATIC_SETTINGS}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from armlens.domain import ARM_STEPS, CATALOG_SCHEMA, DIM_STEP_SCHEMA, STEP_BUCKETS, STEPMAP_SCHEMA
+from armlens.sources.local import local_frame
 
 
 class DesignError(ValueError):
@@ -22,7 +23,7 @@ def step_design(spark: SparkSession, arm_steps=ARM_STEPS, buckets=STEP_BUCKETS)
         for arm, steps in arm_steps.items()
         for position, step in enumerate(steps, start=1)
     ]
-    return spark.createDataFrame(rows, DIM_STEP_SCHEMA)
+    return local_frame(spark, rows, DIM_STEP_SCHEMA)
 
 
 def read_dim_step(spark: SparkSession, path: str) -> DataFrame:

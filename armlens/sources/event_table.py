@@ -48,61 +48,76 @@ def _choice(index: str, options: tuple[str, ...]) -> str:
     return f"CASE {index} {cases} ELSE '{options[-1]}' END"
 
 
-_TEXT_K = "CAST(k AS STRING)"
 _STEP = "CAST(k % 13 + 1 AS STRING)"
-# Payload key -> (SQL giving its text, quoted in JSON or not).
+# Payload key -> its JSON value, with <marks> for what depends on the row.
 _VALUES = {
-    "device_platform": ("platform", True),
-    "total_steps_in_flow": ("CASE uid % 3 WHEN 0 THEN '13' WHEN 1 THEN '7' ELSE '5' END", False),
-    "step_number": (_STEP, False),
-    "step_name": (f"concat('step_', {_STEP})", True),
-    "step_bucket": (_choice("(k % 13 + 1) % 3", BUCKET_BY_REMAINDER), True),
-    "time_on_step_seconds": ("CAST(value AS STRING)", False),
-    "exit_reason": (_choice("k % 4", ("closed_app", "backgrounded", "timeout", "unknown")), True),
-    "total_time_seconds": ("CAST(value AS STRING)", False),
-    "steps_completed": (_TEXT_K, False),
-    "signup_method": (_choice("k % 3", ("email", "google", "apple")), True),
-    "lesson_id": (f"concat('lesson_', {_TEXT_K})", True),
-    "score": (_TEXT_K, False),
-    "days_since_install": (_TEXT_K, False),
-    "trial_length_days": (_TEXT_K, False),
-    "plan": (_choice("k % 2", ("monthly", "annual")), True),
-    "price_usd": (_choice("k % 2", ("12.99", "89.99")), False),
-    "days_since_purchase": (_TEXT_K, False),
-    "reason": (
-        _choice("k % 4", ("not_as_expected", "too_expensive", "found_free_alternative", "other")),
-        True,
-    ),
-    "error_code": (f"concat('E', {_TEXT_K})", True),
-    "screen": (_choice("k % 4", ("onboarding", "lesson", "home", "checkout")), True),
-    "is_onboarding_related": (_choice("k % 2", ("true", "false")), False),
-    "category": (
-        _choice("k % 4", ("billing_confusion", "permission_confusion", "cant_find_feature", "other")),
-        True,
-    ),
-    "relevance_score": ("CAST(k % 5 + 1 AS STRING)", False),
+    "device_platform": '"<platform>"',
+    "total_steps_in_flow": "<flow>",
+    "step_number": "<step>",
+    "step_name": '"step_<step>"',
+    "step_bucket": '"<bucket>"',
+    "time_on_step_seconds": "<value>",
+    "exit_reason": '"<exit>"',
+    "total_time_seconds": "<value>",
+    "steps_completed": "<k>",
+    "signup_method": '"<signup>"',
+    "lesson_id": '"lesson_<k>"',
+    "score": "<k>",
+    "days_since_install": "<k>",
+    "trial_length_days": "<k>",
+    "plan": '"<plan>"',
+    "price_usd": "<price>",
+    "days_since_purchase": "<k>",
+    "reason": '"<reason>"',
+    "error_code": '"E<k>"',
+    "screen": '"<screen>"',
+    "is_onboarding_related": "<related>",
+    "category": '"<category>"',
+    "relevance_score": "<relevance>",
+}
+_MARKS = {
+    "platform": "platform",
+    "flow": "CASE uid % 3 WHEN 0 THEN '13' WHEN 1 THEN '7' ELSE '5' END",
+    "step": _STEP,
+    "bucket": _choice("(k % 13 + 1) % 3", BUCKET_BY_REMAINDER),
+    "value": "CAST(value AS STRING)",
+    "exit": _choice("k % 4", ("closed_app", "backgrounded", "timeout", "unknown")),
+    "k": "CAST(k AS STRING)",
+    "signup": _choice("k % 3", ("email", "google", "apple")),
+    "plan": _choice("k % 2", ("monthly", "annual")),
+    "price": _choice("k % 2", ("12.99", "89.99")),
+    "reason": _choice("k % 4", ("not_as_expected", "too_expensive", "found_free_alternative", "other")),
+    "screen": _choice("k % 4", ("onboarding", "lesson", "home", "checkout")),
+    "related": _choice("k % 2", ("true", "false")),
+    "category": _choice("k % 4", ("billing_confusion", "permission_confusion", "cant_find_feature", "other")),
+    "relevance": "CAST(k % 5 + 1 AS STRING)",
 }
 
 
 def payload_sql(catalog: dict[str, tuple[str, ...]]) -> str:
-    """SQL text building the JSON payload, over the columns above plus event_name and platform."""
+    """SQL text for the JSON payload: the event's template with its marks replaced."""
     cases = []
     for event, keys in catalog.items():
-        parts = []
-        for position, key in enumerate(keys):
-            text, quoted = _VALUES[key]
-            mark = '"' if quoted else ""
-            opening = "{" if position == 0 else ", "
-            parts += [f"'{opening}\"{key}\": {mark}'", text]
-            if mark:
-                parts.append("'\"'")
-        parts.append("'}'")
-        cases.append(f"WHEN '{event}' THEN " + (f"concat({', '.join(parts)})" if keys else "'{}'"))
-    return "CASE event_name " + " ".join(cases) + " END"
+        body = ", ".join(f'"{key}": {_VALUES[key]}' for key in keys)
+        cases.append(f"WHEN '{event}' THEN '{{{body}}}'")
+    text = "CASE event_name " + " ".join(cases) + " END"
+    for mark, value in _MARKS.items():
+        text = f"replace({text}, '<{mark}>', {value})"
+    return text
 
 
 def read_events_table(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/events.parquet")
+    return spread(spark.read.parquet(f"{folder}/events.parquet"))
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """Give a table stored in fewer splits than half the cores to all of them.
+
+    A file of one row group is one task, however many cores wait. Tables of any size have more
+    splits than that and pass through untouched.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() * 2 <= cores else table
 
 
 def envelope_rows(events: DataFrame) -> DataFrame:
@@ -123,12 +138,17 @@ def envelope_rows(events: DataFrame) -> DataFrame:
         F.expr(TEST_GROUP).alias("test_group"),
         F.expr(PLATFORM).alias("platform"),
         F.expr("concat('s_', CAST(uid AS STRING))").alias("session_id"),
-        F.when(F.col("eid") % 50 == 0, F.array(F.lit(0), F.lit(1)))
-        .otherwise(F.array(F.lit(0))).alias("deliveries"),
+        (F.col("eid") % 50 == 0).alias("twice"),
     )
-    # The explode stands between the two projections on purpose: one generated method holding all
-    # of these rules would be too long for the JIT compiler.
-    return named.select("*", F.explode("deliveries").alias("_ingest_seq")).select(
+    # A delivery carries its row, so filters on the rows stay above the explode instead of being
+    # rewritten into these rules and evaluating them once more per comparison. The payload comes
+    # after it, which keeps each generated method short enough for the JIT compiler.
+    kept = [c for c in named.columns if c != "twice"]
+    deliveries = [F.struct(*kept, F.lit(n).alias("_ingest_seq")) for n in (0, 1)]
+    delivered = named.select(F.explode(
+        F.when(F.col("twice"), F.array(*deliveries)).otherwise(F.array(deliveries[0]))
+    ).alias("row")).select("row.*")
+    return delivered.select(
         *[c for c in ENVELOPE if c != "properties"],
         F.expr(payload_sql(EVENT_CATALOG)).alias("properties"),
         "_ingest_seq",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from armlens.domain import ENVELOPE
 from armlens.sources.landing import RAW_COLUMNS, append_batches, land
+from armlens.sources.local import local_frame
 
 # Six rows that each break one rule.
 _AT = "2026-07-01T00:00:00"
@@ -26,7 +27,7 @@ def inject_dirty(raw: DataFrame) -> DataFrame:
     spark = raw.sparkSession
     schema = ", ".join(f"{name} string" for name in ENVELOPE)
     bad = land(
-        spark.createDataFrame([(*row, "s1", "{}") for row in MALFORMED], schema),
+        local_frame(spark, [(*row, "s1", "{}") for row in MALFORMED], schema),
         source_file="dirty_injection", ingest_seq=1,
     )
     first = raw.orderBy(F.col("event_id").asc_nulls_last(), "_ingest_seq").limit(DUPLICATES)
