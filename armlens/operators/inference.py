@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -215,11 +213,13 @@ def power_recheck(kpi: DataFrame, control: str = CONTROL) -> DataFrame:
 
 
 def required_sample_size(scenarios: DataFrame) -> DataFrame:
-    """Users per arm needed to detect ``mde`` above ``baseline`` (both fractions)."""
+    """Users per arm a two-proportion z-test needs to find ``mde`` above ``baseline`` (fractions)."""
     p1 = F.col("baseline")
     p2 = p1 + F.col("mde")
-    h = (F.asin(F.sqrt(p2)) - F.asin(F.sqrt(p1))) * 2.0
-    needed = F.try_divide(F.lit(2.0 * math.pow(Z_ALPHA + Z_POWER, 2)), h * h)
+    middle = (p1 + p2) / 2.0
+    under_null = F.sqrt(middle * (1.0 - middle) * 2.0) * Z_ALPHA
+    under_effect = F.sqrt(p1 * (1.0 - p1) + p2 * (1.0 - p2)) * Z_POWER
+    needed = F.try_divide(F.pow(under_null + under_effect, 2), F.pow(p2 - p1, 2))
     possible = (p1 >= 0) & (p2 <= 1)
     return scenarios.select("*", F.when(possible, F.round(needed, 1)).alias("users_per_arm"))
 

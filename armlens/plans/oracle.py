@@ -455,10 +455,12 @@ def _bodies() -> dict[str, str]:
         "regression_flags_extended": " UNION ALL ".join(_FLAGS + _MORE_FLAGS),
         "power_recheck": "SELECT * FROM power",
         "recommendation": "SELECT * FROM verdicts",
-        "required_sample_size": f"""SELECT test_group, p1 AS baseline, mde, CASE WHEN p1 + mde <= 1 THEN
-            ROUND(2 * {Z_SUM} * {Z_SUM} / NULLIF(pow(2 * (asin(sqrt(LEAST(p1 + mde, 1))) - asin(sqrt(p1))), 2), 0), 1)
+        "required_sample_size": f"""SELECT test_group, p1 AS baseline, mde, CASE WHEN p2 <= 1 THEN
+            ROUND(pow({Z} * sqrt(p1 + p2) * sqrt(1 - (p1 + p2) / 2) + 0.8416212335729143
+              * sqrt(p1 * (1 - p1) + LEAST(p2, 1) * (1 - LEAST(p2, 1))), 2) / pow(p2 - p1, 2), 1)
             END AS users_per_arm FROM (SELECT test_group, onboarding_completion_rate AS p1,
-              CAST(i AS DOUBLE) / 100 AS mde FROM kpi, generate_series(1, 10) AS g(i))""",
+              CAST(i AS DOUBLE) / 100 AS mde, onboarding_completion_rate + CAST(i AS DOUBLE) / 100 AS p2
+              FROM kpi, generate_series(1, 10) AS g(i))""",
         "revenue_projection": _PROJECTED,
         "revenue_delta": f"""SELECT 'A' AS baseline, 'B' AS scenario, {_delta('completions')},
             {_delta('paying_users')}, {_delta('revenue')} FROM ({_PROJECTED})""",
