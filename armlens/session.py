@@ -38,6 +38,9 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None, memory:
     return builder.getOrCreate()
 
 
+_OWN_FOLDERS: dict[str, str] = {}  # application id -> folder, for local sessions without one
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can see, as the cluster names it in ``spark.checkpoint.dir``.
 
@@ -49,9 +52,10 @@ def scratch_root(spark: SparkSession) -> str:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="armlens-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    application = spark.sparkContext.applicationId
+    if application not in _OWN_FOLDERS:
+        _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="armlens-")
+    return _OWN_FOLDERS[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

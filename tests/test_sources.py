@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,15 +110,25 @@ def test_layer_partitioned_by_a_hot_date(spark, tmp_path):
     assert read_layer(spark, str(tmp_path), "t").count() == 1000
 
 
-def test_scratch_folder_is_the_shared_one(spark, tmp_path):
-    own = scratch_root(spark)
-    assert scratch_root(spark) == own
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
-        assert first.startswith(str(tmp_path)) and first != second
-    finally:
-        spark.conf.set("spark.checkpoint.dir", own)
+class Session:
+    """Stands in for a session with a given master and checkpoint setting."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = SimpleNamespace(master=master, applicationId=f"app-{master}")
+
+
+def test_scratch_folder_is_the_shared_one(tmp_path):
+    cluster = Session("spark://host:7077", f"{tmp_path}/")
+    assert scratch_root(cluster) == str(tmp_path)
+    assert scratch_path(cluster, "x") != scratch_path(cluster, "x")
+
+
+def test_only_a_local_session_gets_a_folder_of_its_own():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Session("yarn"))
+    local = Session("local[2]")
+    assert scratch_root(local) == scratch_root(local)
 
 
 RUNS = [("success", 3.0), ("success", 5.0), ("failed_validation", 9.0)]
