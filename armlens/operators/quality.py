@@ -58,24 +58,21 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def dq_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """The twelve checks as (check_name, value).
-
-    Tables: raw, rejects, staged, dim_user, user_funnel, kpi. The five funnel predicates share
-    one scan.
-    """
-    funnel, kpi = tables["user_funnel"], tables["kpi"]
+def event_checks(raw: DataFrame, rejects: DataFrame, staged: DataFrame) -> DataFrame:
+    """Rows landed, rows rejected, ids staged more than once."""
     every = F.lit(True)
-    outside = [
-        F.col(c).isNotNull() & ~F.col(c).between(0, 1)
-        for c in ("onboarding_completion_rate", "activation_rate", "paid_conversion_rate")
-    ]
     return _union([
-        _counted(tables["raw"], raw_row_count=every),
-        _counted(tables["rejects"], staging_rejects=every),
-        _counted(duplicate_keys(tables["staged"], "event_id"), staging_duplicate_event_ids=every),
-        _counted(tables["dim_user"], users_missing_install_event=F.col("install_ts").isNull()),
-        _counted(orphan_users(funnel, tables["dim_user"]), orphan_fact_users=every),
+        _counted(raw, raw_row_count=every),
+        _counted(rejects, staging_rejects=every),
+        _counted(duplicate_keys(staged, "event_id"), staging_duplicate_event_ids=every),
+    ])
+
+
+def user_checks(users: DataFrame, funnel: DataFrame) -> DataFrame:
+    """Users without install, orphans, and the five funnel predicates in one scan."""
+    return _union([
+        _counted(users, users_missing_install_event=F.col("install_ts").isNull()),
+        _counted(orphan_users(funnel, users), orphan_fact_users=F.lit(True)),
         _counted(
             funnel,
             completed_without_started=(F.col("completed_onboarding") == 1) & (F.col("started_onboarding") == 0),
@@ -84,21 +81,44 @@ def dq_report(tables: dict[str, DataFrame]) -> DataFrame:
             invalid_test_group_values=~F.col("test_group").isin(*ARMS),
             negative_time_to_first_lesson=F.col("time_to_first_lesson_seconds") < 0,
         ),
-        _counted(
-            kpi,
-            mart_kpi_group_count=every,
-            kpi_rates_out_of_bounds=reduce(lambda a, b: a | b, outside),
-        ),
     ])
 
 
+def mart_checks(kpi: DataFrame) -> DataFrame:
+    """Number of arms, and arms with a rate outside 0..1."""
+    outside = [
+        F.col(c).isNotNull() & ~F.col(c).between(0, 1)
+        for c in ("onboarding_completion_rate", "activation_rate", "paid_conversion_rate")
+    ]
+    return _counted(
+        kpi,
+        mart_kpi_group_count=F.lit(True),
+        kpi_rates_out_of_bounds=reduce(lambda a, b: a | b, outside),
+    )
+
+
+def dq_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """The twelve checks as (check_name, value).
+
+    Tables: raw, rejects, staged, dim_user, user_funnel, kpi.
+    """
+    return _union([
+        event_checks(tables["raw"], tables["rejects"], tables["staged"]),
+        user_checks(tables["dim_user"], tables["user_funnel"]),
+        mart_checks(tables["kpi"]),
+    ])
+
+
+def unique_key_check(table: DataFrame, name: str, key: str) -> DataFrame:
+    """Keys of a table that should be unique and are not."""
+    return _counted(duplicate_keys(table, key), **{f"{name}_duplicate_{key}s": F.lit(True)})
+
+
 def unique_key_report(users: DataFrame, dates: DataFrame, funnel: DataFrame) -> DataFrame:
-    """Keys that should be unique and are not, per table."""
-    every = F.lit(True)
     return _union([
-        _counted(duplicate_keys(users, "user_id"), dim_user_duplicate_user_ids=every),
-        _counted(duplicate_keys(dates, "date_key"), dim_date_duplicate_date_keys=every),
-        _counted(duplicate_keys(funnel, "user_id"), fact_user_funnel_duplicate_user_ids=every),
+        unique_key_check(users, "dim_user", "user_id"),
+        unique_key_check(dates, "dim_date", "date_key"),
+        unique_key_check(funnel, "fact_user_funnel", "user_id"),
     ])
 
 

@@ -52,26 +52,49 @@ def build(rows: DataFrame, folder: str, design: DataFrame | None = None,
     def write(name: str, table: DataFrame, files: int | None = None) -> DataFrame:
         return write_layer(table, folder, name, files=files)
 
+    values: list[tuple[str, int]] = []
+
+    def check(report: DataFrame) -> None:
+        values.extend(tuple(row) for row in report.collect())  # one row per check
+
     raw = write("raw_events", landing.land(rows, source_file))
+    tables = {"raw_events": raw} | together(
+        spark,
+        stg_events=lambda: write("stg_events", staging.stage(raw)),
+        stg_events_rejects=lambda: write("stg_events_rejects", staging.rejects(raw)),
+    )
+    events = tables["stg_events"]
 
-    def user_tables(events: DataFrame) -> dict[str, DataFrame]:
+    def user_tables() -> dict[str, DataFrame]:
         users = write("user_rollup", warehouse.user_rollup(events))
         made = together(
             spark,
             dim_user=lambda: write("dim_user", warehouse.dim_user(users)),
             fact_user_funnel=lambda: write("fact_user_funnel", warehouse.user_funnel(users)),
         )
-        funnel = made["fact_user_funnel"]
-        return made | together(
+        members, funnel = made["dim_user"], made["fact_user_funnel"]
+
+        def kpi_table() -> DataFrame:
+            kpi = write("mart_kpi_by_group", marts.kpi_by_group(funnel), files=1)
+            check(quality.mart_checks(kpi))
+            return kpi
+
+        built = together(
             spark,
-            mart_kpi_by_group=lambda: write("mart_kpi_by_group", marts.kpi_by_group(funnel), files=1),
+            mart_kpi_by_group=kpi_table,
             mart_guardrails_by_group=lambda: write(
                 "mart_guardrails_by_group", marts.guardrails_by_group(funnel), files=1
             ),
             mart_daily_funnel=lambda: write("mart_daily_funnel", marts.daily_funnel(funnel)),
+            checks=lambda: check(quality.user_checks(members, funnel)),
+            unique=lambda: check(
+                quality.unique_key_check(members, "dim_user", "user_id")
+                .unionByName(quality.unique_key_check(funnel, "fact_user_funnel", "user_id"))
+            ),
         )
+        return made | {name: table for name, table in built.items() if table is not None}
 
-    def step_tables(events: DataFrame) -> dict[str, DataFrame]:
+    def step_tables() -> dict[str, DataFrame]:
         facts = write("fact_onboarding_step_events", warehouse.step_events(events))
         steps = write("dim_step", design, files=1)
         return {
@@ -79,33 +102,27 @@ def build(rows: DataFrame, folder: str, design: DataFrame | None = None,
             "mart_step_dropoff": write("mart_step_dropoff", marts.step_dropoff(facts, steps)),
         }
 
-    def event_tables() -> dict[str, DataFrame]:
-        events = write("stg_events", staging.stage(raw))
-        branches = together(
-            spark,
-            users=lambda: user_tables(events),
-            steps=lambda: step_tables(events),
-            dates=lambda: {"dim_date": write("dim_date", warehouse.dim_date(events), files=1)},
-        )
-        return {"stg_events": events} | branches["users"] | branches["steps"] | branches["dates"]
+    def date_table() -> dict[str, DataFrame]:
+        dates = write("dim_date", warehouse.dim_date(events), files=1)
+        check(quality.unique_key_check(dates, "dim_date", "date_key"))
+        return {"dim_date": dates}
+
+    branches = together(
+        spark, users=user_tables, steps=step_tables, dates=date_table,
+        checks=lambda: check(quality.event_checks(raw, tables["stg_events_rejects"], events)),
+    )
+    tables |= branches["users"] | branches["steps"] | branches["dates"]
 
-    halves = together(
+    report = local_frame(spark, sorted(values), "check_name string, value bigint")
+    last = together(
         spark,
-        events=event_tables,
-        rejects=lambda: {"stg_events_rejects": write("stg_events_rejects", staging.rejects(raw))},
+        dq_report=lambda: write("dq_report", report, files=1),
+        gate=lambda: quality.enforce(
+            quality.dq_gate(report, {**policy, **quality.UNIQUE_POLICY})
+        ),
     )
-    tables = {"raw_events": raw} | halves["events"] | halves["rejects"]
-    funnel = tables["fact_user_funnel"]
-    checks = quality.dq_report({
-        "raw": raw, "rejects": tables["stg_events_rejects"], "staged": tables["stg_events"],
-        "dim_user": tables["dim_user"], "user_funnel": funnel, "kpi": tables["mart_kpi_by_group"],
-    })
-    unique = quality.unique_key_report(tables["dim_user"], tables["dim_date"], funnel)
-    values = checks.unionByName(unique).collect()  # one row per check
-    report = local_frame(spark, values, checks.schema)
-    tables["dq_report"] = write("dq_report", report)
-    quality.enforce(quality.dq_gate(report, {**policy, **quality.UNIQUE_POLICY}))
-    return tables, {row["check_name"]: row["value"] for row in values}
+    tables["dq_report"] = last["dq_report"]
+    return tables, dict(values)
 
 
 def refresh(rows: DataFrame, root: str, **options) -> dict[str, DataFrame]:
