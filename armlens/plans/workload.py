@@ -16,7 +16,8 @@ from armlens.operators import (
 from armlens.plans import refresh
 from armlens.session import pin, scratch_path
 from armlens.sources import designs, documents, event_table, events_csv, faults, landing, run_log
-from armlens.sources.layers import through_scratch
+from armlens.sources.layers import read_layer, through_scratch, write_layer
+from armlens.streaming import landing as stream_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -480,9 +481,17 @@ def csv_roundtrip(spark, folder):
 
 
 @query
-def layer_roundtrip(spark, folder):
-    from armlens.sources.layers import write_layer
+def streamed_landing(spark, folder):
+    """Event files landed by a stream that is started twice; the second start finds nothing new."""
+    root = scratch_path(spark, "stream")
+    files = events_csv.write_events_csv(landed(spark, folder), f"{root}/events_csv")
+    for _ in range(2):
+        stream_landing.land_stream(stream_landing.events_stream(spark, files), root).awaitTermination()
+    return read_layer(spark, root, "raw_events").select(*ENVELOPE)
+
 
+@query
+def layer_roundtrip(spark, folder):
     root = scratch_path(spark, "layers")
     table = write_layer(staged(spark, folder), root, "stg_events", partition_by="event_date")
     return table.select("event_id", "user_id", "event_name", "event_timestamp", "event_date", "step_number")
