@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from armlens.domain import STEP_EVENTS
 from armlens.functions.scalars import ratio
 
 
-def _total(column: str):
+def _total(column: str) -> Column:
     return F.sum(column)
 
 
-def kpi_by_group(funnel: DataFrame) -> DataFrame:
+def _kpis() -> list[Column]:
     users, completed = F.count(F.lit(1)), _total("completed_onboarding")
     activated, purchased = _total("activated"), _total("purchased")
-    return funnel.groupBy("test_group").agg(
+    return [
         users.alias("users_started"),
         completed.alias("users_completed"),
         ratio(completed, users).alias("onboarding_completion_rate"),
@@ -28,18 +28,31 @@ def kpi_by_group(funnel: DataFrame) -> DataFrame:
         ratio(_total("returned_day1"), completed).alias("day1_return_rate"),
         ratio(_total("returned_day7"), completed).alias("day7_return_rate"),
         ratio(_total("returned_day30"), completed).alias("day30_return_rate"),
-    )
+    ]
 
 
-def guardrails_by_group(funnel: DataFrame) -> DataFrame:
+def _guardrails() -> list[Column]:
     users, purchased = F.count(F.lit(1)), _total("purchased")
-    return funnel.groupBy("test_group").agg(
+    return [
         F.round(F.avg("avg_relevance_score"), 3).alias("avg_lesson_relevance_score"),
         ratio(_total("refund_requested"), purchased).alias("refund_rate"),
         ratio(_total("subscription_cancelled"), purchased).alias("cancellation_rate"),
         ratio(_total("filed_support_ticket"), users).alias("support_ticket_rate"),
         ratio(_total("notif_accepted"), _total("notif_shown")).alias("notification_optin_rate"),
-    )
+    ]
+
+
+def kpi_by_group(funnel: DataFrame) -> DataFrame:
+    return funnel.groupBy("test_group").agg(*_kpis())
+
+
+def guardrails_by_group(funnel: DataFrame) -> DataFrame:
+    return funnel.groupBy("test_group").agg(*_guardrails())
+
+
+def metrics_by_group(funnel: DataFrame) -> DataFrame:
+    """The columns of both arm marts from one pass over the funnel."""
+    return funnel.groupBy("test_group").agg(*_kpis(), *_guardrails())
 
 
 def step_dropoff(events: DataFrame, design: DataFrame) -> DataFrame:

@@ -14,13 +14,14 @@ from datetime import datetime, timezone
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from armlens.operators import inference, marts, monitoring, quality, staging, warehouse
 from armlens.session import pin
 from armlens.sources import designs, documents, landing, run_log
+from armlens.sources.events_csv import read_events_csv
 from armlens.sources.layers import layer_path, read_layer, write_layer
 from armlens.sources.local import local_frame
 
@@ -125,10 +126,31 @@ def build(rows: DataFrame, folder: str, design: DataFrame | None = None,
     return tables, dict(values)
 
 
-def refresh(rows: DataFrame, root: str, **options) -> dict[str, DataFrame]:
-    """Build, gate, publish and record one run; a failed run is recorded and raised again."""
-    retries_used = options.pop("retries_used", 0)
-    spark = pin(rows.sparkSession)
+def _hopeless(failure: Exception) -> bool:
+    """Wrong inputs or design: the same run would fail again, whoever repeats it."""
+    if isinstance(failure, (designs.DesignError, AnalysisException)):
+        return True
+    return isinstance(failure, PySparkException) and failure.getCondition() == "USER_RAISED_EXCEPTION"
+
+
+def refresh_files(spark: SparkSession, events: str, root: str, step_map: str | None = None,
+                  **options) -> dict[str, DataFrame]:
+    """A refresh from event CSV files and, if given, a step map file."""
+    def design() -> DataFrame:
+        return designs.read_dim_step(spark, step_map) if step_map else designs.step_design(spark)
+
+    return refresh(lambda: (read_events_csv(spark, events), design()), root, spark=spark, **options)
+
+
+def refresh(source: DataFrame | Callable[[], tuple[DataFrame, DataFrame]], root: str,
+            spark: SparkSession | None = None, design: DataFrame | None = None,
+            retries_used: int = 0, **options) -> dict[str, DataFrame]:
+    """Build, gate, publish and record one run; a failed run is recorded and raised again.
+
+    ``source`` is the envelope rows, or a function opening rows and step design, so that files
+    which cannot be opened are a recorded failure too.
+    """
+    spark = pin(spark or source.sparkSession)
     started = datetime.now(timezone.utc)
     run_id = f"{started:%Y%m%dT%H%M%SZ}_{uuid.uuid4().hex[:8]}"
     folder = layer_path(root, f"runs/{run_id}")
@@ -140,15 +162,13 @@ def refresh(rows: DataFrame, root: str, **options) -> dict[str, DataFrame]:
         ), layer_path(root, "run_history"))
 
     try:
-        tables, summary = build(rows, folder, **options)
+        rows, design = source() if callable(source) else (source, design)
+        tables, summary = build(rows, folder, design, **options)
     except quality.GateFailure as failure:
         record("failed_validation", error=failure)
         raise
-    except (designs.DesignError, AnalysisException) as failure:
-        record("failed_fatal", error=failure)
-        raise
     except Exception as failure:
-        record("failed_unclassified", error=failure)
+        record("failed_fatal" if _hopeless(failure) else "failed_unclassified", error=failure)
         raise
     published = [(run_id, datetime.now(timezone.utc).isoformat(), folder)]
     local_frame(spark, published, PUBLISHED_SCHEMA).write.mode("append").json(

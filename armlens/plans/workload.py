@@ -80,17 +80,10 @@ def design(spark: SparkSession) -> DataFrame:
     return designs.step_design(spark, event_table.ARM_STEPS, event_table.STEP_BUCKETS)
 
 
-def written_funnel(spark: SparkSession, folder: str) -> DataFrame:
-    """The funnel as a table, for queries that build several marts from it."""
-    return through_scratch(funnel(spark, folder), "user_funnel")
-
-
 def written_marts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    table = written_funnel(spark, folder)
-    return (
-        through_scratch(marts.kpi_by_group(table), "kpi"),
-        through_scratch(marts.guardrails_by_group(table), "guardrails"),
-    )
+    """KPI and guardrail columns by arm, written once, for queries that use both many times."""
+    both = through_scratch(marts.metrics_by_group(funnel(spark, folder)), "metrics_by_group")
+    return both, both
 
 
 def quality_tables(spark: SparkSession, raw: DataFrame) -> dict[str, DataFrame]:

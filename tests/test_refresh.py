@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
-from armlens.domain import ARM_STEPS, ENVELOPE, STEP_BUCKETS
+from armlens.domain import ARM_STEPS, STEP_BUCKETS
 from armlens.operators.quality import GateFailure
 from armlens.plans import refresh
-from armlens.sources import designs, run_log
+from armlens.sources import run_log
+from armlens.sources.events_csv import write_events_csv
 from armlens.sources.faults import inject_dirty
 from armlens.sources.landing import land
 from armlens.sources.local import local_frame
-from conftest import ENVELOPE_SCHEMA, as_dicts, event
+from conftest import event
 
 USERS = 2000
 # Users who saw each step, then those who finished the last one.
@@ -143,23 +146,38 @@ def test_a_failed_run_is_recorded_and_not_published(spark, envelope, run, tmp_pa
         refresh.published(spark, root, "mart_kpi_by_group")
 
 
-def test_missing_source_is_fatal(spark, tmp_path):
-    missing = spark.read.schema(ENVELOPE_SCHEMA)
+def statuses(spark, root):
+    runs = run_log.read_runs(spark, f"{root}/run_history").orderBy("started_at")
+    return [(r.status, r.retries_used) for r in runs.collect()]
+
+
+def test_files_in_published_marts_out(spark, envelope, tmp_path):
+    root, events = str(tmp_path / "out"), str(tmp_path / "events")
+    rows = [event(f"{name}{i}", f"u_{i}", name, f"2026-06-15T10:0{at}:00", "ABC"[i % 3])
+            for i in range(6) for at, name in enumerate(("app_installed", "onboarding_started"))]
+    write_events_csv(envelope(rows), events)
+    design = tmp_path / "map.json"
+    design.write_text(json.dumps({
+        "all_steps_master_list": [{"step_number": 1, "step_name": "hello", "bucket": "must_have"}],
+        "variants": {arm: {"label": arm, "step_names": ["hello"]} for arm in "ABC"},
+    }))
+    refresh.refresh_files(spark, events, root, str(design))
+    assert refresh.published(spark, root, "dim_step").count() == 3
+    assert {r.users_started for r in refresh.published(spark, root, "mart_kpi_by_group").collect()} == {2}
+
     with pytest.raises(Exception):
-        refresh.refresh(missing.csv(str(tmp_path / "nowhere")), str(tmp_path / "out"))
-    gone = tmp_path / "gone"
-    local_frame(spark, [event("e1")], ENVELOPE_SCHEMA).write.parquet(str(gone))
-    rows = spark.read.schema(ENVELOPE_SCHEMA).parquet(str(gone)).withColumn("properties", F.lit("{}"))
-
-    def broken(_):
-        raise designs.DesignError("no such step")
-
-    with pytest.raises(designs.DesignError):
-        original, refresh.build = refresh.build, lambda *a, **k: broken(a)
-        try:
-            refresh.refresh(rows, str(tmp_path / "out"))
-        finally:
-            refresh.build = original
-    (record,) = run_log.read_runs(spark, f"{tmp_path}/out/run_history").collect()
-    assert (record.status, record.error) == ("failed_fatal", "no such step")
-    assert list(ENVELOPE)[0] == "event_id"
+        refresh.refresh_files(spark, str(tmp_path / "nowhere"), root, retries_used=2)
+    design.write_text(design.read_text().replace('"step_name": "hello"', '"step_name": "other"'))
+    with pytest.raises(Exception, match="hello"):
+        refresh.refresh_files(spark, events, root, str(design))
+    assert statuses(spark, root) == [("success", 0), ("failed_fatal", 2), ("failed_fatal", 0)]
+    assert refresh.published(spark, root, "dim_step").count() == 3
+
+
+def test_an_unexpected_error_is_unclassified(spark, tmp_path):
+    def source():
+        raise OSError("disk on fire")
+
+    with pytest.raises(OSError):
+        refresh.refresh(source, str(tmp_path), spark=spark)
+    assert statuses(spark, str(tmp_path)) == [("failed_unclassified", 0)]
