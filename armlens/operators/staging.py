@@ -135,14 +135,47 @@ def contract_violations(
     """Staged events that break the tracking contract: one row per event and finding.
 
     The catalogue and the step design (arm -> ordered step names) are constants of the
-    expression, so the check is a single pass without any join.
+    expression, so the check is a single pass without any join. Rows whose keys and values are all
+    as expected, nearly all of them, are dropped before any finding is put together.
     """
-    name = F.col("event_name")
-    keys = F.json_object_keys("properties")
-    unreadable = F.col("properties").isNotNull() & keys.isNull()
-    expected = F.try_element_at(literal_map(catalog), name)
-    present = F.coalesce(keys, F.array().cast("array<string>"))
-    step, score = F.col("step_number"), F.col("relevance_score")
+    name, step = F.col("event_name"), F.col("step_number")
+    no_keys = F.array().cast("array<string>")
+    keys = F.when(F.col("properties").isNull(), no_keys).otherwise(F.json_object_keys("properties"))
+    in_order = literal_map({event: tuple(sorted(names)) for event, names in catalog.items()})
+    keys_as_expected = F.sort_array(keys).eqNullSafe(F.try_element_at(in_order, name))
+
+    def holds(condition: Column) -> Column:
+        return F.coalesce(condition, F.lit(False))
+
+    step_event = name.isin(*STEP_EVENTS)
+    step_in_range = holds(step.between(*STEP_RANGE))
+    # (when it is wrong, code, what was found)
+    values = [
+        (step_event & ~step_in_range, "bad_step_number", step),
+        (
+            (name == "lesson_feedback_submitted")
+            & ~holds(F.col("relevance_score").between(*RELEVANCE_RANGE)),
+            "bad_relevance_score", F.col("relevance_score"),
+        ),
+    ]
+    for column, (event, allowed) in ENUMERATIONS.items():
+        wrong = (name == event) & ~holds(F.col(column).isin(*allowed))
+        values.append((wrong, f"bad_{column}", F.col(column)))
+    if design is not None:
+        steps_of_arm = F.try_element_at(literal_map(design), F.col("test_group"))
+        designed = F.try_element_at(steps_of_arm, F.greatest(step, F.lit(1)))
+        placed = step_event & step_in_range
+        values += [
+            (placed & designed.isNull(), "step_outside_design", step),
+            (
+                placed & designed.isNotNull() & ~designed.eqNullSafe(F.col("step_name")),
+                "step_name_mismatch", F.col("step_name"),
+            ),
+        ]
+
+    suspicious = ~keys_as_expected
+    for wrong, _, _ in values:
+        suspicious |= wrong
 
     def finding(code: str, detail: Column) -> Column:
         return F.struct(F.lit(code).alias("code"), detail.cast("string").alias("detail"))
@@ -150,52 +183,23 @@ def contract_violations(
     def per_key(code: str, names: Column) -> Column:
         return F.transform(names, lambda key: finding(code, key))
 
-    def when(condition: Column, code: str, detail: Column) -> Column:
-        return F.array(F.when(condition, finding(code, detail)))
+    def one(wrong: Column, code: str, detail: Column) -> Column:
+        return F.array(F.when(wrong, finding(code, detail)))
 
-    known_and_readable = expected.isNotNull() & ~unreadable
-    none = F.array().cast("array<struct<code:string,detail:string>>")
+    expected, present = F.col("_expected"), F.col("_keys")
+    comparable = expected.isNotNull() & present.isNotNull()
+    nothing = F.array().cast("array<struct<code:string,detail:string>>")
     found = [
-        when(expected.isNull(), "unknown_event", name),
-        when(unreadable, "bad_json", F.col("properties")),
-        F.when(known_and_readable, per_key("missing_key", F.array_except(expected, present)))
-        .otherwise(none),
-        F.when(known_and_readable, per_key("extra_key", F.array_except(present, expected)))
-        .otherwise(none),
-        when(
-            name.isin(*STEP_EVENTS) & ~F.coalesce(step.between(*STEP_RANGE), F.lit(False)),
-            "bad_step_number", step,
-        ),
-        when(
-            (name == "lesson_feedback_submitted")
-            & ~F.coalesce(score.between(*RELEVANCE_RANGE), F.lit(False)),
-            "bad_relevance_score", score,
-        ),
+        one(expected.isNull(), "unknown_event", name),
+        one(present.isNull(), "bad_json", F.col("properties")),
+        F.when(comparable, per_key("missing_key", F.array_except(expected, present))).otherwise(nothing),
+        F.when(comparable, per_key("extra_key", F.array_except(present, expected))).otherwise(nothing),
+        *[one(*value) for value in values],
     ]
-    for column, (event, allowed) in ENUMERATIONS.items():
-        value = F.col(column)
-        found.append(when(
-            (name == event) & ~F.coalesce(value.isin(*allowed), F.lit(False)),
-            f"bad_{column}", value,
-        ))
-    if design is not None:
-        in_design = F.try_element_at(
-            F.try_element_at(_nested_names(design), F.col("test_group")), F.greatest(step, F.lit(1))
-        )
-        in_range = F.coalesce(step.between(*STEP_RANGE), F.lit(False))
-        found += [
-            when(
-                name.isin(*STEP_EVENTS) & in_range & in_design.isNull(),
-                "step_outside_design", step,
-            ),
-            when(
-                name.isin(*STEP_EVENTS) & in_range
-                & in_design.isNotNull() & ~in_design.eqNullSafe(F.col("step_name")),
-                "step_name_mismatch", F.col("step_name"),
-            ),
-        ]
     return (
-        staged.select(
+        staged.filter(suspicious)
+        .withColumns({"_keys": keys, "_expected": F.try_element_at(literal_map(catalog), name)})
+        .select(
             "event_id", "event_name", "test_group",
             F.explode(F.array_compact(F.concat(*found))).alias("finding"),
         )
@@ -203,10 +207,6 @@ def contract_violations(
     )
 
 
-def _nested_names(design: dict[str, tuple[str, ...]]) -> Column:
-    return literal_map({arm: tuple(steps) for arm, steps in design.items()})
-
-
 def reconciliation(raw: DataFrame, staged: DataFrame, rejected: DataFrame) -> DataFrame:
     """Do the layers add up: landed = staged + rejected + repeated deliveries.
 
