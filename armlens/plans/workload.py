@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from armlens.domain import ENVELOPE, EVENT_CATALOG
+from armlens.domain import ENVELOPE, EVENT_CATALOG, STEP_RANGE
 from armlens.functions import payload
 from armlens.operators import (
     assignment, inference, marts, monitoring, panels, quality, staging, warehouse,
@@ -495,9 +495,10 @@ def read_dim_step(spark, folder):
     """A step map drawn from the events, written as JSON and read as dim_step."""
     events = through_scratch(staged(spark, folder), "staged")
     master = (
-        events.filter(F.col("event_name") == "onboarding_step_viewed")
-        .groupBy("step_number", "step_name", F.col("step_bucket").alias("bucket")).agg(F.count(F.lit(1)))
-        .select("step_number", "step_name", "bucket")
+        events.filter(
+            (F.col("event_name") == "onboarding_step_viewed") & F.col("step_number").between(*STEP_RANGE)
+        )
+        .groupBy("step_number").agg(F.min("step_name").alias("step_name"), F.min("step_bucket").alias("bucket"))
     )
     length = events.groupBy("test_group").agg(F.max("total_steps_in_flow").alias("steps"))
     steps = F.sort_array(F.collect_list(F.struct("step_number", "step_name", "bucket")))
@@ -519,18 +520,16 @@ def read_dim_step(spark, folder):
 
 @query
 def read_event_catalog(spark, folder):
-    """The catalogue the events themselves follow, written as JSON and read back."""
+    """The catalogue the events themselves follow, written as JSON, an event a line, and read back."""
     keys = (
         landed(spark, folder)
         .select("event_name", F.explode_outer(F.json_object_keys("properties")).alias("property"))
         .groupBy("event_name", "property").agg(F.count(F.lit(1)))
     )
     per_event = keys.groupBy("event_name").agg(F.sort_array(F.collect_set("property")).alias("keys"))
-    document = per_event.agg(
-        F.map_from_entries(F.collect_list(F.struct("event_name", "keys"))).alias("event_catalog")
-    )
-    path = documents.write_document(document, scratch_path(spark, "catalog"))
-    return designs.read_event_catalog(spark, path)
+    path = scratch_path(spark, "catalog")
+    per_event.select(F.create_map("event_name", "keys").alias("event_catalog")).write.json(path)
+    return designs.read_event_catalog(spark, path, multi_line=False)
 
 
 @query

@@ -52,10 +52,13 @@ def read_dim_step(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_event_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """One row per event and payload key; an event without keys has one row with a NULL key."""
+def read_event_catalog(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """One row per event and payload key; an event without keys has one row with a NULL key.
+
+    Without ``multi_line`` every line is a catalogue of its own, for one written by many tasks.
+    """
     return (
-        spark.read.schema(CATALOG_SCHEMA).option("multiLine", "true").json(path)
+        spark.read.schema(CATALOG_SCHEMA).option("multiLine", str(multi_line).lower()).json(path)
         .select(F.explode("event_catalog").alias("event_name", "keys"))
         .select("event_name", F.explode_outer("keys").alias("property"))
     )

@@ -30,7 +30,7 @@ def inject_dirty(raw: DataFrame) -> DataFrame:
         local_frame(spark, [(*row, "s1", "{}") for row in MALFORMED], schema),
         source_file="dirty_injection", ingest_seq=1,
     )
-    first = raw.orderBy(F.col("event_id").asc_nulls_last(), "_ingest_seq").limit(DUPLICATES)
+    first = _first_rows(raw, DUPLICATES)
     again = first.select(
         *ENVELOPE,
         F.current_timestamp().alias("_ingested_at"),
@@ -42,5 +42,10 @@ def inject_dirty(raw: DataFrame) -> DataFrame:
 
 def corrupt_arm(raw: DataFrame, n: int | None = None) -> DataFrame:
     """Rows whose arm is 'INVALID': the first ``n`` (a demonstration needs few), or all of them."""
-    rows = raw if n is None else raw.limit(n)
+    rows = raw if n is None else _first_rows(raw, n)
     return rows.withColumn("test_group", F.lit("INVALID"))
+
+
+def _first_rows(raw: DataFrame, n: int) -> DataFrame:
+    """In a fixed order, so a task that runs again picks the same rows."""
+    return raw.orderBy(F.col("event_id").asc_nulls_last(), "_ingest_seq").limit(n)
