@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from armlens.llm import exact, packing, urls
+from armlens.llm import exact, licenses, packing, quality, urls
 from armlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,11 +30,21 @@ def statements() -> dict[str, str]:
     return dict(_SQL)
 
 
+@query
+def op1_quality(spark, folder):
+    return quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op5_packing(spark, folder):
     return packing.pack_documents(table(spark, folder, "documents"), TOKENIZER, with_ids=False)
 
 
+@query
+def op6_license_scan(spark, folder):
+    return licenses.summarised(licenses.find_notices(table(spark, folder, "documents")))
+
+
 @query
 def op7_exact_dedup(spark, folder):
     return exact.mark_copies(table(spark, folder, "documents"))
