@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from armlens.llm import exact, licenses, packing, quality, urls
+from armlens.llm import exact, licenses, packing, quality, secrets, urls
 from armlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +36,14 @@ def op1_quality(spark, folder):
     return quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op4_secret_scan(spark, folder):
+    """The owner of a document is its source; a source's documents in one language are a repository."""
+    documents, spans = secrets.find_secrets(
+        table(spark, folder, "documents"), repository=F.concat_ws("/", "source", "lang"))
+    return secrets.summarised(documents, spans)
+
+
 @query
 def op5_packing(spark, folder):
     return packing.pack_documents(table(spark, folder, "documents"), TOKENIZER, with_ids=False)
