@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from armlens.llm import exact, licenses, packing, quality, secrets, urls
+from armlens.llm import decontamination, exact, licenses, packing, quality, secrets, urls
 from armlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,13 @@ def op1_quality(spark, folder):
     return quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op3_decontamination(spark, folder):
+    documents, hits = decontamination.find_overlaps(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return decontamination.summarised(documents, hits)
+
+
 @query
 def op4_secret_scan(spark, folder):
     """The owner of a document is its source; a source's documents in one language are a repository."""
@@ -101,3 +108,25 @@ WITH plain AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
 FROM plain JOIN groups USING (t)"""
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_SQL["op3_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT item, list_slice(w, i, i + least(10, len(w)) - 1) AS win
+  FROM b, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS t(i) WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT len(win) AS n FROM iw),
+dw AS (
+  SELECT doc_id, i, n, list_slice(w, i, i + n - 1) AS win
+  FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS t(i)
+), hits AS (SELECT doc_id, i, n, item FROM dw JOIN iw USING (win)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + n)) AS t(p) GROUP BY 1),
+met AS (
+  SELECT doc_id, count(DISTINCT item) AS n_items, array_to_string(list_sort(list(DISTINCT item)), ',') AS items
+  FROM hits GROUP BY 1
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN met USING (doc_id)"""
