@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from armlens.llm import decontamination, exact, licenses, packing, quality, secrets, urls
+from armlens.llm import decontamination, exact, licenses, packing, quality, secrets, substrings, suffixes, urls
 from armlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,12 @@ def op1_quality(spark, folder):
     return quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op2_substring_dedup(spark, folder):
+    out = substrings.remove_repeated_spans(table(spark, folder, "documents"))
+    return out.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 @query
 def op3_decontamination(spark, folder):
     documents, hits = decontamination.find_overlaps(
@@ -66,6 +72,12 @@ def op7_exact_dedup(spark, folder):
     return exact.mark_copies(table(spark, folder, "documents"))
 
 
+@query
+def op8_suffix_dedup(spark, folder):
+    out = suffixes.remove_earlier_strings(table(spark, folder, "documents"))
+    return out.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 URL_RULES = [
     urls.Rule("com", "/", "allow"),
     urls.Rule("example.com", "/en/", "block"),
