@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from armlens.llm import decontamination, exact, licenses, packing, quality, secrets, substrings, suffixes, urls
+from armlens.llm import decontamination, exact, jaccard, licenses, packing, quality, secrets, substrings, suffixes, urls
 from armlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,11 @@ def op8_suffix_dedup(spark, folder):
     return out.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
+@query
+def op10_jaccard_join(spark, folder):
+    return jaccard.join_similar(table(spark, folder, "documents"))
+
+
 URL_RULES = [
     urls.Rule("com", "/", "allow"),
     urls.Rule("example.com", "/en/", "block"),

@@ -18,8 +18,9 @@ compressed, chunk by chunk. A chunk sends each key once however often it has it,
 third of all rows share, or a group of copies, is at most one row per chunk. The chunk is read again for
 each step, so the documents have to be a stored table; a chunk that reads differently stops the run.
 
-A key has forty bits beside those of its bucket. The buckets grow with the data, which keeps the chance
-of a false match for a row the same at every size (about the rows of a bucket in 10^12).
+Keys are hashes. An edge is known by eighty bits and a window by 56, beside those of its bucket; the
+number of buckets follows the data, so the chance that a row meets a false equal stays about the rows of
+a bucket in 10^16 at every size.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ from armlens.llm.common import (
 
 CHUNK_BYTES = 8 << 20
 SLICE_BYTES = 1 << 20
-KEY_BITS = 40
+KEY_BYTES, WINDOW_BYTES = 5, 7  # of a hash beside its bucket
 WHOLE, SPLIT = 1, 2  # codes: every window repeats; the windows have to be compared
 
 
@@ -210,6 +211,8 @@ class Sent:
     several: np.ndarray  # more than one occurrence
     path: np.ndarray | None = None  # 0: several paths
 
+    width: int = KEY_BYTES
+
     def bounds(self) -> tuple[np.ndarray, np.ndarray]:
         """The buckets met and where each begins (one more at the end)."""
         heads = np.flatnonzero(np.diff(self.bucket, prepend=-1))
@@ -217,19 +220,18 @@ class Sent:
 
 
 def distinct(hashes: np.ndarray, order: np.ndarray, parts: int, path: np.ndarray | None = None,
-             weight: np.ndarray | None = None) -> Sent:
+             weight: np.ndarray | None = None, width: int = KEY_BYTES) -> Sent:
     bucket = hashes % np.uint64(parts)
-    rest = (hashes // np.uint64(parts)) & np.uint64((1 << KEY_BITS) - 1)
-    whole = (bucket << np.uint64(KEY_BITS)) | rest
-    by = np.argsort(whole, kind="stable")
+    rest = (hashes // np.uint64(parts)) & np.uint64((1 << 8 * width) - 1)
+    by = np.lexsort((rest, bucket))
     new = np.ones(len(by), bool)
-    new[1:] = whole[by[1:]] != whole[by[:-1]]
+    new[1:] = (rest[by[1:]] != rest[by[:-1]]) | (bucket[by[1:]] != bucket[by[:-1]])
     heads = np.flatnonzero(new)
     member = np.empty(len(by), np.int64)
     member[by] = np.cumsum(new) - 1
     if not len(by):
         empty = np.zeros(0, np.int64)
-        return Sent(empty, empty.astype(np.uint64), member, empty, empty.astype(bool), empty.astype(np.uint64))
+        return Sent(empty, empty.astype(np.uint64), member, empty, empty.astype(bool), empty.astype(np.uint64), width)
     counts = np.diff(np.append(heads, len(by)))
     several = counts > 1
     if weight is not None:
@@ -237,19 +239,20 @@ def distinct(hashes: np.ndarray, order: np.ndarray, parts: int, path: np.ndarray
     single = None
     if path is not None:
         low, high = np.minimum.reduceat(path[by], heads), np.maximum.reduceat(path[by], heads)
-        single = np.where(low == high, (low >> np.uint64(64 - KEY_BITS)) | np.uint64(1), np.uint64(0))
+        single = np.where(low == high, (low >> np.uint64(64 - 8 * KEY_BYTES)) | np.uint64(1), np.uint64(0))
     return Sent(bucket[by[heads]].astype(np.int64), rest[by[heads]], member,
-                np.minimum.reduceat(order[by], heads), several, single)
+                np.minimum.reduceat(order[by], heads), several, single, width)
 
 
-def five_bytes(x: np.ndarray) -> np.ndarray:
-    """Forty-bit numbers, byte by byte (all lowest bytes first), which compresses well."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].T)
+def low_bytes(x: np.ndarray, width: int = KEY_BYTES) -> bytes:
+    """The ``width`` lowest bytes of numbers, place by place, which compresses well."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
-def from_five_bytes(x: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(x) // 5, 8), np.uint8)
-    out[:, :5] = x.reshape(5, -1).T
+def from_low_bytes(data: bytes, width: int = KEY_BYTES) -> np.ndarray:
+    x = np.frombuffer(data, np.uint8)
+    out = np.zeros((len(x) // width, 8), np.uint8)
+    out[:, :width] = x.reshape(width, -1).T
     return out.view("<u8").ravel()
 
 
@@ -263,8 +266,8 @@ def sent_rows(chunk: Chunk, sent: Sent, ordered: bool) -> pa.RecordBatch:
     nothing = [b""] * rows
     return pa.RecordBatch.from_arrays(
         [*_keys(chunk.key, rows), pa.array(met, pa.int32()),
-         pa.array([five_bytes(sent.key[a:b]).tobytes() for a, b in cut], pa.binary()),
-         pa.array([five_bytes(sent.path[a:b]).tobytes() for a, b in cut] if sent.path is not None else nothing, pa.binary()),
+         pa.array([low_bytes(sent.key[a:b], sent.width) for a, b in cut], pa.binary()),
+         pa.array([low_bytes(sent.path[a:b]) for a, b in cut] if sent.path is not None else nothing, pa.binary()),
          pa.array([_pack(sent.order[a:b].astype("<i8").view(np.uint8).reshape(-1, 8).T) for a, b in cut]
                   if ordered else nothing, pa.binary()),
          pa.array([np.packbits(sent.several[a:b]).tobytes() for a, b in cut], pa.binary())],
@@ -282,7 +285,7 @@ def compared(ordered: bool, paths: bool) -> Callable[[pa.Table], pa.Table]:
     """Codes for the keys of one bucket, from all chunks that sent some."""
 
     def compare(rows: pa.Table) -> pa.Table:
-        keys = [from_five_bytes(np.frombuffer(k, np.uint8)) for k in rows["keys"].to_pylist()]
+        keys = [from_low_bytes(k, KEY_BYTES if paths else WINDOW_BYTES) for k in rows["keys"].to_pylist()]
         sizes = np.array([len(k) for k in keys])
         key = np.concatenate(keys)
         several = np.concatenate([
@@ -290,7 +293,7 @@ def compared(ordered: bool, paths: bool) -> Callable[[pa.Table], pa.Table]:
         order = np.concatenate([
             np.ascontiguousarray(_unpack(o, np.uint8).reshape(8, -1).T).view("<i8").ravel()
             for o in rows["orders"].to_pylist()]) if ordered else np.zeros(len(key), np.int64)
-        path = np.concatenate([from_five_bytes(np.frombuffer(p, np.uint8)) for p in rows["paths"].to_pylist()]) \
+        path = np.concatenate([from_low_bytes(p) for p in rows["paths"].to_pylist()]) \
             if paths else np.ones(len(key), np.uint64)
         codes = _codes(key, path, order, several, ordered)
         ends = np.cumsum(sizes)
@@ -356,7 +359,7 @@ class Work:
                 hashes[a:b] = self.rule.symbols(x, o).runs(self.start[a:b], self.start[a:b] + self.rule.window)
         single = self.edges.path[self.edges.member[self.owner]] != 0
         weight = np.where(single & (code[self.owner] & WHOLE > 0), 2, 1)
-        return distinct(hashes, self.order[self.row[self.owner]], self.parts, weight=weight)
+        return distinct(hashes, self.order[self.row[self.owner]], self.parts, weight=weight, width=WINDOW_BYTES)
 
     def marked(self, codes: np.ndarray, windows: Sent, window_codes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Per slice: its first row, the bounds of its rows in symbols, and which symbols repeat."""
