@@ -250,7 +250,7 @@ def _posts(shingle: int, percent: int, parts: int):
         at = np.cumsum([0] + [len(h[0]) for h in held])
         owner = np.concatenate([h[4] + a for h, a in zip(held, at)])
         some = np.flatnonzero(counts)
-        sent = distinct(whole[some], nodes[some], 1)
+        sent = distinct(whole[some], nodes[some], 1, width=8)
         same = sent.order[sent.member]
         equal = np.stack((same, nodes[some]), 1)[same != nodes[some]]
         # Of equal sets only the one with the smallest identifier goes on.

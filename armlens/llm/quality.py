@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from armlens.llm.common import BETWEEN_SPACES, mixed, prepared, slices, text_bytes, window_hashes, word_hashes, word_spans, written
 
@@ -89,10 +90,12 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.stack(columns, 1)
 
 
-def featured(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """Identifier and ``x``, the figures of its whole text."""
+def featured(docs: DataFrame, ident: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
+    """Identifier and ``x``, the figures of its whole text; with ``carry`` the struct ``row`` of all
+    columns in place of the identifier."""
     prepared(docs.sparkSession)
-    rows = docs.select(F.col(ident).alias("ident"), F.col(text).alias("text"))
+    body = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else F.col(ident)
+    rows = docs.select(body.alias("ident"), F.col(text).alias("text"))
 
     def run(batches):
         for batch in batches:
@@ -106,8 +109,8 @@ def featured(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> Data
             yield pa.RecordBatch.from_arrays(
                 [batch.column("ident"), pa.ListArray.from_arrays(ends, flat)], names=["ident", "x"])
 
-    kind = dict(rows.dtypes)["ident"]
-    return rows.mapInArrow(run, f"ident {kind}, x array<float>").withColumnRenamed("ident", ident)
+    schema = rows.select("ident").schema.add("x", ArrayType(FloatType()))
+    return rows.mapInArrow(run, schema).withColumnRenamed("ident", "row" if carry else ident)
 
 
 @dataclass(frozen=True)
@@ -135,7 +138,7 @@ class Model:
             z = (F.col(x)[i].cast("double") - float(self.mean[i])) / float(self.scale[i])
             z = F.greatest(F.lit(-4.0), F.least(F.lit(4.0), z))
             total = total + z * (float(self.weights[i]) + z * float(self.weights[n + i]))
-        shift = float(np.log(CUT / (1 - CUT)))
+        shift = float(np.log(CUT / (1 - CUT))) + 1e-9  # at the threshold the score is not below
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-((total - self.threshold) * self.slope + shift)))
 
 
@@ -176,25 +179,39 @@ def held_out(ident: str) -> Column:
     return F.coalesce(F.crc32(F.col(ident).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def learn(figures: DataFrame, labels: DataFrame, ident: str = "doc_id", label: str = "quality",
-          sample: int = SAMPLE) -> Model:
-    """The model of a bounded sample of the labelled rows outside the held-out fifth."""
+def sampled(labels: DataFrame, ident: str, label: str, sample: int) -> tuple[DataFrame, dict[int, int]]:
+    """A bounded sample (identifier, y) of each label outside the held-out fifth, and all their counts."""
     known = labels.filter(F.col(label).isin(0, 1) & ~held_out(ident)).select(F.col(ident), F.col(label).alias("y"))
     totals = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not totals.get(0) or not totals.get(1):
-        return fit(np.zeros((0, len(FEATURES))), np.zeros((0, len(FEATURES))))
     rank = F.xxhash64(F.col(ident), F.lit(11))
     parts = [known.filter(F.col("y") == y).orderBy(rank, ident).limit(sample) for y in (0, 1)]
-    rows = parts[0].unionByName(parts[1]).join(figures, ident).select("y", "x").toArrow()
+    return parts[0].unionByName(parts[1]), totals
+
+
+def learn(figures: DataFrame, totals: dict[int, int]) -> Model:
+    """The model of the sampled figures (y, x)."""
+    rows = figures.select("y", "x").toArrow()
     y = rows.column("y").to_numpy()
     x = np.array(rows.column("x").combine_chunks().flatten() if len(y) else [], float).reshape(len(y), len(FEATURES))
-    return fit(x[y == 1], x[y == 0], share_worse=totals[0] / (totals[0] + totals[1]))
+    return fit(x[y == 1], x[y == 0], share_worse=totals.get(0, 0) / max(1, sum(totals.values())))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text",
                   label: str = "quality", sample: int = SAMPLE) -> DataFrame:
     """Identifier, held_out, score and predicted for every row of ``docs``."""
     figures = written(featured(docs, ident, text), "figures")
-    model = learn(figures, labels, ident, label, sample)
+    chosen, totals = sampled(labels, ident, label, sample)
+    model = learn(chosen.join(figures, ident), totals)
     return figures.select(F.col(ident), held_out(ident).alias("held_out"), model.score().alias("score")).withColumn(
         "predicted", (F.col("score") >= CUT).cast("int"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text",
+              label: str = "quality", sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs`` with a score of at least ``CUT``, all their columns."""
+    chosen, totals = sampled(labels, ident, label, sample)
+    known = docs.select(F.col(ident).alias("ident"), F.col(text).alias("text")).join(
+        chosen.select(F.col(ident).alias("ident"), "y"), "ident")
+    figures = featured(known, "ident", "text", carry=True).select(F.col("row.y").alias("y"), "x")
+    model = learn(figures, totals)
+    return featured(docs, ident, text, carry=True).filter(model.score() >= CUT).select("row.*")
