@@ -85,12 +85,11 @@ def cells(hashes: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndar
     sizes = np.diff(bounds)
     edges = bands(int(sizes.max(initial=0)) * 100 // percent + 1)
     home = np.searchsorted(edges, sizes, "right") - 1
+    top = np.searchsorted(edges, sizes * 100 // percent, "right") - 1  # where the largest partner may be
     keys, owners = [], []
-    for step in (0, 1):
+    for step in range(int((top - home)[sizes > 0].max(initial=-1)) + 1):
         band = home + step
-        chosen = np.flatnonzero((sizes > 0) & ((step == 0) | (sizes * 100 // percent >= edges[np.minimum(band, len(edges) - 1)])))
-        if not len(chosen):
-            continue
+        chosen = np.flatnonzero((sizes > 0) & (band <= top))
         allowed = (edges[np.minimum(band[chosen] + 1, len(edges) - 1)] - 1) * (100 - percent) // percent
         parts = allowed + 1 + (allowed + 7) // 8
         base = np.concatenate(([0], np.cumsum(parts)))
@@ -272,7 +271,8 @@ def _posts(shingle: int, percent: int, parts: int):
         met, cut = cell.bounds()
         check = np.zeros(len(cell.key), np.uint64)  # more of the hash of a whole set
         check[cell.member[len(cell.member) - len(heads):]] = (whole[heads] >> np.uint64(24)) | np.uint64(1)
-        body = [[int(b) for b in met] + [-1],
+        spread = -1 - int(nodes[0]) % parts
+        body = [[int(b) for b in met] + [spread],
                 [low_bytes(cell.key[a:b]) for a, b in zip(cut[:-1], cut[1:])] + [b""],
                 [_pack(check[a:b]) for a, b in zip(cut[:-1], cut[1:])] + [b""],
                 [_columns(cell.order[a:b]) for a, b in zip(cut[:-1], cut[1:])] + [b""],
@@ -312,8 +312,18 @@ def _numbers(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(_unpack(data, np.uint8).reshape(8, -1).T).view("<i8").ravel()
 
 
+EQUAL, NEAR, COUNT = 0, 1, 2  # kinds of rows: links of equal sets, shared cells, numbers of shingles
+
+
 def _met(rows: pa.Table) -> pa.Table:
-    """Links of one bucket: documents of different chunks with a cell in common."""
+    """Rows (kind, a, b) of one bucket: documents of different chunks with a cell in common, or what
+    chunks have found in themselves."""
+    if rows["bucket"][0].as_py() < 0:
+        parts = [(kind, _numbers(data).reshape(-1, 2)) for kind, name in enumerate(("equal", "links", "counts"))
+                 for data in rows[name].to_pylist()]
+        pairs = np.concatenate([p for _, p in parts])
+        kinds = np.repeat([kind for kind, _ in parts], [len(p) for _, p in parts])
+        return _rows(kinds, pairs[:, 0], pairs[:, 1])
     key = np.concatenate([from_low_bytes(k) for k in rows["keys"].to_pylist()])
     check = np.concatenate([_unpack(c, np.uint64) for c in rows["checks"].to_pylist()])
     node = np.concatenate([_numbers(n) for n in rows["nodes"].to_pylist()])
@@ -323,28 +333,12 @@ def _met(rows: pa.Table) -> pa.Table:
     new[1:] = (key[1:] != key[:-1]) | (check[1:] != check[:-1])
     lowest = node[np.flatnonzero(new)][np.cumsum(new) - 1]
     linked = lowest != node
-    pairs = np.unique(np.stack((check[linked] > 0, lowest[linked], node[linked]), 1), axis=0)
-    return pa.table([pa.array(pairs[:, 0] == 1), pa.array(pairs[:, 1]), pa.array(pairs[:, 2])], names=["equal", "a", "b"])
-
-
-def _inner(batches):
-    """Links found inside chunks."""
-    for batch in batches:
-        for name, equal in (("equal", True), ("links", False)):
-            for data in batch.column(name).to_pylist():
-                pairs = _numbers(data).reshape(-1, 2)
-                if len(pairs):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([equal] * len(pairs)), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])],
-                        names=["equal", "a", "b"])
+    kinds = np.where(check[linked] > 0, EQUAL, NEAR)
+    return _rows(*np.unique(np.stack((kinds, lowest[linked], node[linked]), 1), axis=0).T)
 
 
-def _counts(batches):
-    for batch in batches:
-        for data in batch.column("counts").to_pylist():
-            pairs = _numbers(data).reshape(-1, 2)
-            if len(pairs):
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["node", "n_shingles"])
+def _rows(kinds: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Table:
+    return pa.table([pa.array(kinds, pa.int32()), pa.array(a), pa.array(b)], names=["kind", "a", "b"])
 
 
 def _sets(shingle: int):
@@ -411,14 +405,10 @@ def join_similar(docs: DataFrame, ident: str = "doc_id", text: str = "text", shi
     if kind not in ("tinyint", "smallint", "int", "bigint"):
         raise TypeError(f"{ident} has to be a whole number")
     rows = docs.select(F.coalesce(F.col(ident).cast("bigint"), F.lit(NULL)).alias("node"), F.col(text).alias("text"))
-    posts = written(rows.mapInArrow(_posts(shingle, percent, buckets(spark)), POSTS), "posts")
-    inner, across = posts.filter(F.col("bucket") < 0), posts.filter(F.col("bucket") >= 0)
-    schema = "equal boolean, a bigint, b bigint"
-    near = written(
-        across.select("bucket", "keys", "checks", "nodes").groupBy("bucket").applyInArrow(_met, schema)
-        .unionByName(inner.select("equal", "links").mapInArrow(_inner, schema)), "cell_links")
-    equal = near.filter("equal").select("a", "b")
-    regions = components(near.select("a", "b"), "regions")
+    posts = rows.mapInArrow(_posts(shingle, percent, buckets(spark)), POSTS)
+    found = written(posts.groupBy("bucket").applyInArrow(_met, "kind int, a bigint, b bigint"), "cell_links")
+    equal = found.filter(F.col("kind") == EQUAL).select("a", "b")
+    regions = components(found.filter(F.col("kind") != COUNT).select("a", "b"), "regions")
     copies = equal.select(F.col("b").alias("node")).distinct()
     members = regions.join(copies, "node", "left_anti")
     sized = members.groupBy("label").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
@@ -435,7 +425,7 @@ def join_similar(docs: DataFrame, ident: str = "doc_id", text: str = "text", shi
         grouped = sets.filter(F.col("size") <= limit).drop("size")
     links = links.unionByName(grouped.groupBy("region").applyInArrow(region_links(percent), "a bigint, b bigint"))
     labels = components(links)
-    counted = inner.select("counts").mapInArrow(_counts, "node bigint, n_shingles bigint")
+    counted = found.filter(F.col("kind") == COUNT).select(F.col("a").alias("node"), F.col("b").alias("n_shingles"))
     real = lambda c: F.when(c != NULL, c).cast(kind)
     return counted.join(labels, "node", "left").select(
         real(F.col("node")).alias(ident), "n_shingles", real(F.coalesce("label", "node")).alias("component_id"))

@@ -31,7 +31,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that similar shingles link: the one with the smallest identifier."""
-    groups = jaccard.join_similar(docs)
+    groups = jaccard.join_similar(docs, shingle=5, percent=80)
     gone = groups.filter(~F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("gone"))
     return docs.join(gone.distinct(), F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
 
