@@ -105,28 +105,39 @@ class PatriciaTrie:
         return middle
 
     def _spill(self) -> None:
-        """Frees the largest subtree; goes down while one child holds most of the trie."""
-        path = [self.root]
+        """Frees the largest subtree below a branching; goes down while one child holds most of the trie.
+
+        The subtree's own prefix is longer than what all entries share, so the trie that takes it up
+        again starts from fewer entries or deeper, and the work ends.
+        """
+        path, branched = [self.root], False
         while path[-1].children:
-            child = max(path[-1].children.values(), key=lambda n: n.size)
-            path.append(child)
-            if child.size <= self.limit // 2 or child.spilled is not None:
+            above = path[-1]
+            branched = branched or len(above.children) > 1 or above.count > 0
+            path.append(max(above.children.values(), key=lambda n: n.size))
+            if path[-1].spilled is not None or (branched and path[-1].size <= self.limit // 2):
                 break
         node = path[-1]
+        if not branched or node.spilled is not None:
+            self.limit = 2 * self.root.size  # one text, or prefixes of spilled files only: nothing to free
+            return
         freed = node.size - NODE_BYTES - len(node.label)
-        entries = _walk(node, b"".join(n.label for n in path[:-1]))
+        files: list = []
+        entries = _walk(node, b"".join(n.label for n in path[:-1]), files)
         if self.on_spill is not None:
             self.on_spill(list(entries))
             freed += NODE_BYTES + len(node.label)
             del path[-2].children[node.label[0]]
             path.pop()
-        elif node.spilled is not None or node is self.root:
-            self.limit = 2 * self.root.size  # nothing left to free: prefixes of spilled files only
-            return
         else:
             file = tempfile.TemporaryFile()
             for entry in entries:
                 _write(file, entry)
+            for inner in files:  # subtrees of this one that went before
+                inner.seek(0)
+                for entry in _read(inner):
+                    _write(file, entry)
+                inner.close()
             node.children, node.count, node.ident, node.spilled = {}, 0, None, file
         for above in path:
             above.size -= freed

@@ -359,7 +359,7 @@ def _sets(shingle: int):
 
 def _large_regions(sets: DataFrame, percent: int, limit: int, rounds: int) -> DataFrame:
     """Connecting links of regions over the limit (region, node, shingles, size)."""
-    blocks = F.ceil(F.col("size") / limit).cast("int")
+    blocks, zero = F.ceil(F.col("size") / limit).cast("bigint"), F.lit(0).cast("bigint")
     dealt = written(sets.withColumn("block", F.pmod(F.xxhash64("node"), blocks)), "large_sets")
     links = None
     outside = dealt.select("region", "node")
@@ -372,14 +372,14 @@ def _large_regions(sets: DataFrame, percent: int, limit: int, rounds: int) -> Da
             chosen = outside.withColumn("at", order).filter(F.col("at") <= PIVOTS).drop("at")
         visitors = dealt.drop("block").join(chosen, ["region", "node"])
         # Visitors of one group are bounded too: their own share of blocks is a further key.
-        share = F.pmod(F.xxhash64("node", F.lit(1)), blocks) if last else F.lit(0)
+        share = F.pmod(F.xxhash64("node", F.lit(1)), blocks) if last else zero
         visitors = visitors.withColumn("share", share).withColumn("role", F.lit(1)).select(
-            "*", F.explode(F.sequence(F.lit(0), blocks - 1)).cast("bigint").alias("block"))
-        shares = blocks if last else F.lit(1)
+            "*", F.explode(F.sequence(zero, blocks - 1)).alias("block"))
+        shares = blocks if last else zero + 1
         hosts = dealt.withColumn("role", F.lit(0)).select(
-            "*", F.explode(F.sequence(F.lit(0), shares - 1)).cast("bigint").alias("share"))
+            "*", F.explode(F.sequence(zero, shares - 1)).alias("share"))
         columns = ["region", "block", "share", "role", "node", "shingles"]
-        rows = hosts.select(columns).unionByName(visitors.withColumn("share", F.col("share").cast("bigint")).select(columns))
+        rows = hosts.select(columns).unionByName(visitors.select(columns))
         found = written(rows.groupBy("region", "block", "share").applyInArrow(
             block_links(percent), "a bigint, b bigint"), "large_links")
         links = found if links is None else links.unionByName(found)

@@ -94,6 +94,7 @@ class Rule:
     window: int
     kmer: int
     ordered: bool
+    chunk: int = CHUNK_BYTES
 
 
 @dataclass
@@ -157,8 +158,8 @@ class Chunk:
             yield a, self.data[low:self.offsets[b]], self.offsets[a:b + 1] - low
 
 
-def chunked(batches) -> Iterator[Chunk]:
-    """Neighbouring documents of a task, about ``CHUNK_BYTES`` at a time."""
+def chunked(batches, size: int) -> Iterator[Chunk]:
+    """Neighbouring documents of a task, about ``size`` bytes at a time."""
     part = TaskContext.get().partitionId() if TaskContext.get() else 0
     ids: list[pa.Array] = []
     texts: list[np.ndarray] = []
@@ -175,12 +176,12 @@ def chunked(batches) -> Iterator[Chunk]:
     held = 0
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
-        for a, b in slices(offsets, SLICE_BYTES):
+        for a, b in slices(offsets, min(SLICE_BYTES, size)):
             ids.append(batch.column("ident").slice(a, b - a))
             texts.append(data[offsets[a]:offsets[b]].copy())
             sizes.append(np.diff(offsets[a:b + 1]))
             held += len(texts[-1])
-            if held >= CHUNK_BYTES:
+            if held >= size:
                 yield chunk()
                 ids, texts, sizes, held, seq = [], [], [], 0, seq + 1
     if ids:
@@ -411,12 +412,12 @@ def take_out(docs: DataFrame, rule: Rule, render: Callable, schema: str, ident:
     rows = docs.select(F.col(ident).alias("ident"), F.col(text).alias("text"))
 
     def edges(batches):
-        for chunk in chunked(batches):
+        for chunk in chunked(batches, rule.chunk):
             yield sent_rows(chunk, Work(chunk, rule, parts).edges, rule.ordered)
 
     def texts(batches):
         squeeze = zstandard.ZstdCompressor(level=3)
-        for chunk in chunked(batches):
+        for chunk in chunked(batches, rule.chunk):
             yield pa.RecordBatch.from_arrays(
                 [*_keys(chunk.key, 1), pa.array([chunk.ids.to_pylist()], pa.list_(chunk.ids.type)),
                  pa.array([_pack(chunk.offsets)], pa.binary()),

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from armlens.llm.repeats import Rule, Words, take_out
+from armlens.llm.repeats import CHUNK_BYTES, Rule, Words, take_out
 
 WINDOW, KMER = 35, 10
 
@@ -36,9 +36,9 @@ def _render(ids, data, offsets, bounds, marked) -> pa.RecordBatch:
 
 
 def remove_repeated_spans(docs: DataFrame, ident: str = "doc_id", text: str = "text",
-                          window: int = WINDOW, kmer: int = KMER) -> DataFrame:
+                          window: int = WINDOW, kmer: int = KMER, chunk: int = CHUNK_BYTES) -> DataFrame:
     """Identifier, n_words, n_removed and ``kept``: the other words, joined by one space, in UTF-8."""
     kind = dict(docs.dtypes)[ident]
-    out = take_out(docs, Rule(Words, window, min(kmer, window), False), _render,
+    out = take_out(docs, Rule(Words, window, min(kmer, window), False, chunk), _render,
                    f"ident {kind}, n_words bigint, n_removed bigint, kept binary", ident, text)
     return out.withColumnRenamed("ident", ident)

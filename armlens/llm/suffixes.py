@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from armlens.llm.repeats import Bytes, Rule, take_out
+from armlens.llm.repeats import CHUNK_BYTES, Bytes, Rule, take_out
 
 WINDOW, KMER = 50, 16
 
@@ -40,11 +40,11 @@ def _render(ids, data, offsets, bounds, marked) -> pa.RecordBatch:
 
 
 def remove_earlier_strings(docs: DataFrame, ident: str = "doc_id", text: str = "text",
-                           window: int = WINDOW, kmer: int = KMER) -> DataFrame:
+                           window: int = WINDOW, kmer: int = KMER, chunk: int = CHUNK_BYTES) -> DataFrame:
     """Identifier, n_bytes, n_removed, n_spans (maximal removed runs) and ``kept``, the other bytes."""
     if not 8 <= kmer <= min(16, window):
         raise ValueError("kmer has to be from 8 to 16 and not longer than the window")
     kind = dict(docs.dtypes)[ident]
-    out = take_out(docs, Rule(Bytes, window, kmer, True), _render,
+    out = take_out(docs, Rule(Bytes, window, kmer, True, chunk), _render,
                    f"ident {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary", ident, text)
     return out.withColumnRenamed("ident", ident)
