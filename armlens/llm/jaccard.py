@@ -4,10 +4,12 @@ Unrelated documents all lie at distance 1 or nearly so, so pivots drawn from the
 every document into every window. The join therefore goes down in three steps, each exact:
 
 1. Sizes and parts. Linked sets differ in few shingles, and so in few of the parts that a hash deals the
-   shingles to. With more parts than allowed differences they agree on some part entirely, that is, they
-   lie in one cell of it. The number of parts depends on the size, so sizes form bands, and a set whose
-   partners may be in the next band goes to both (the triangle inequality with the empty set as pivot).
-2. Coarse regions are the components of the sets that share cells.
+   shingles to: in all others they agree, that is, they lie in one cell. There are half as many more parts
+   than differences allowed, so a set has a partner only if it shares at least a third of its cells, and
+   sets that merely have a passage in common drop out here. The number of parts depends on the size, so
+   sizes form bands, and a set whose partners may be in the next band goes to both (the triangle
+   inequality with the empty set as pivot).
+2. Coarse regions are the components of the remaining sets by the cells they share.
 3. In a region pivots are drawn from its sets. Each pivot's Voronoi cell gets its sets and those of other
    cells whose distances differ by at most twice the threshold; no link is lost. Cells are joined by the
    same method until they are small or no longer shrink; there links are searched from set to set, and the
@@ -26,6 +28,7 @@ null identifier is smaller than any. Identifiers are whole numbers. An empty tab
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +40,7 @@ from armlens.llm.common import (
     word_spans, written,
 )
 from armlens.llm.components import components
-from armlens.llm.repeats import _pack, _unpack, distinct, from_low_bytes, low_bytes
+from armlens.llm.repeats import KEY_BYTES, _pack, _unpack, distinct, from_low_bytes, low_bytes
 
 SHINGLE, PERCENT = 3, 90
 CHUNK_BYTES, SLICE_BYTES = 8 << 20, 1 << 20
@@ -80,18 +83,28 @@ def bands(largest: int) -> np.ndarray:
     return np.array(edges)
 
 
-def cells(hashes: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the cells each set lies in, and the set of each key."""
+@dataclass
+class Cells:
+    """Key, set and band of every cell a set lies in; set, band and number of cells to be shared."""
+
+    key: np.ndarray
+    owner: np.ndarray
+    band: np.ndarray
+    needs: np.ndarray
+
+
+def cells(hashes: np.ndarray, bounds: np.ndarray, percent: int) -> Cells:
     sizes = np.diff(bounds)
     edges = bands(int(sizes.max(initial=0)) * 100 // percent + 1)
     home = np.searchsorted(edges, sizes, "right") - 1
     top = np.searchsorted(edges, sizes * 100 // percent, "right") - 1  # where the largest partner may be
-    keys, owners = [], []
+    none = np.zeros(0, np.int64)
+    keys, owners, numbers, needs = [none.astype(np.uint64)], [none], [none], [none.reshape(0, 3)]
     for step in range(int((top - home)[sizes > 0].max(initial=-1)) + 1):
         band = home + step
         chosen = np.flatnonzero((sizes > 0) & (band <= top))
         allowed = (edges[np.minimum(band[chosen] + 1, len(edges) - 1)] - 1) * (100 - percent) // percent
-        parts = allowed + 1 + (allowed + 7) // 8
+        parts = allowed + 1 + (allowed + 1) // 2
         base = np.concatenate(([0], np.cumsum(parts)))
         lengths = sizes[chosen]
         source = np.repeat(bounds[chosen] - np.concatenate(([0], np.cumsum(lengths)))[:-1], lengths) + np.arange(lengths.sum())
@@ -104,13 +117,16 @@ def cells(hashes: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndar
         of = np.repeat(np.arange(len(chosen)), parts)
         number = np.arange(base[-1]) - base[of]
         key = mixed(sums + mixed((band[chosen][of].astype(np.uint64) << np.uint64(32)) + number.astype(np.uint64)))
-        # Parts without a shingle count only for sets that might agree on nothing else.
-        few = np.bincount(of, held) <= lengths * (100 - percent) // percent
-        posted = held | few[of]
+        # At most so many parts of a set differ from a partner's. Parts without a shingle count only
+        # where a set might agree on nothing else.
+        differ = lengths * (100 - percent) // percent
+        filled = np.bincount(of, held, minlength=len(chosen)).astype(np.int64)
+        posted = held | (filled <= differ)[of]
         keys.append(key[posted])
         owners.append(chosen[of[posted]])
-    none = np.zeros(0, np.int64)
-    return (np.concatenate(keys), np.concatenate(owners)) if keys else (none.astype(np.uint64), none)
+        numbers.append(band[chosen][of[posted]])
+        needs.append(np.stack((chosen, band[chosen], np.maximum(1, filled - differ)), 1))
+    return Cells(*map(np.concatenate, (keys, owners, numbers, needs)))
 
 
 def whole_keys(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -234,53 +250,71 @@ def _links(nodes: np.ndarray, pairs) -> pa.Table:
 
 # ---- cells over the corpus ------------------------------------------------------------------------------
 
-POSTS = "bucket int, keys binary, checks binary, nodes binary, equal binary, links binary, counts binary"
+POSTS = ("bucket int, keys binary, checks binary, nodes binary, bands binary, equal binary, members binary, "
+         "counts binary, needs binary")
+EQUAL, MEMBER, COUNT, NEED = range(4)  # kinds of rows found
+
+
+@dataclass
+class _Part:
+    """What a slice of documents brings to its chunk."""
+
+    nodes: np.ndarray
+    counts: np.ndarray
+    whole: np.ndarray
+    cells: Cells
 
 
 def _posts(shingle: int, percent: int, parts: int):
-    """Per chunk and bucket: its cells, each once with its smallest document; per chunk: the links of
-    equal sets and of documents that share a cell inside it, and every document's number of shingles."""
-
-    def chunk(held: list) -> pa.RecordBatch:
-        nodes = np.concatenate([h[0] for h in held])
-        counts = np.concatenate([h[1] for h in held])
-        whole = np.concatenate([h[2] for h in held])
-        key = np.concatenate([h[3] for h in held])
-        at = np.cumsum([0] + [len(h[0]) for h in held])
-        owner = np.concatenate([h[4] + a for h, a in zip(held, at)])
+    """Per chunk and bucket: its cells, each once with its smallest document; per chunk: links of equal
+    sets, members of cells that are shared inside it, every document's number of shingles, and how many
+    cells it has to share."""
+
+    def chunk(held: list[_Part]) -> pa.RecordBatch:
+        nodes, counts, whole = (np.concatenate([getattr(h, c) for h in held]) for c in ("nodes", "counts", "whole"))
+        at = np.cumsum([0] + [len(h.nodes) for h in held])
+        owner = np.concatenate([h.cells.owner + a for h, a in zip(held, at)])
+        key, band = (np.concatenate([getattr(h.cells, c) for h in held]) for c in ("key", "band"))
+        needs = np.concatenate([h.cells.needs + (a, 0, 0) for h, a in zip(held, at)])
         some = np.flatnonzero(counts)
         sent = distinct(whole[some], nodes[some], 1, width=8)
         same = sent.order[sent.member]
         equal = np.stack((same, nodes[some]), 1)[same != nodes[some]]
         # Of equal sets only the one with the smallest identifier goes on.
-        leads = np.zeros(len(nodes), bool)
-        first = np.full(len(sent.key), -1)
-        first[sent.member[::-1]] = some[::-1]
         lead = np.flatnonzero(same == nodes[some])
+        first = np.full(len(sent.key), -1)
         first[sent.member[lead[::-1]]] = some[lead[::-1]]
-        leads[first[first >= 0]] = True
+        heads = first[first >= 0]
+        leads = np.zeros(len(nodes), bool)
+        leads[heads] = True
         chosen = leads[owner]
-        key, owner = key[chosen], owner[chosen]
         heads = np.flatnonzero(leads)
-        key = np.concatenate((key & ~np.uint64(1 << 20), mixed(whole[heads]) | np.uint64(1 << 20)))
-        owner = np.concatenate((owner, heads))
+        key = np.concatenate((key[chosen] & ~np.uint64(1 << 20), mixed(whole[heads]) | np.uint64(1 << 20)))
+        owner = np.concatenate((owner[chosen], heads))
+        band = np.concatenate((band[chosen], np.full(len(heads), 255)))
         cell = distinct(key, nodes[owner], parts)
-        lowest = cell.order[cell.member]
-        inner = np.stack((lowest, nodes[owner]), 1)[lowest != nodes[owner]]
-        inner = np.unique(inner, axis=0) if len(inner) else inner
-        met, cut = cell.bounds()
         check = np.zeros(len(cell.key), np.uint64)  # more of the hash of a whole set
-        check[cell.member[len(cell.member) - len(heads):]] = (whole[heads] >> np.uint64(24)) | np.uint64(1)
+        check[cell.member[len(owner) - len(heads):]] = (whole[heads] >> np.uint64(24)) | np.uint64(1)
+        kind = np.zeros(len(cell.key), np.int64)
+        kind[cell.member] = band
+        inner = cell.several[cell.member] & (band < 255)
+        names = (cell.bucket << 8 * cell.width) | cell.key.astype(np.int64)
+        members = np.stack((names[cell.member[inner]], nodes[owner[inner]], band[inner]), 1)
+        needs = needs[leads[needs[:, 0]]]
+        needs[:, 0] = nodes[needs[:, 0]]
+        met, cut = cell.bounds()
+        cut = list(zip(cut[:-1], cut[1:]))
+        nothing = [b""] * len(met)
+        columns = [
+            [low_bytes(cell.key[a:b]) for a, b in cut] + [b""], [_pack(check[a:b]) for a, b in cut] + [b""],
+            [_columns(cell.order[a:b]) for a, b in cut] + [b""],
+            [_pack(kind[a:b].astype(np.uint8)) for a, b in cut] + [b""], nothing + [_columns(equal.ravel())],
+            nothing + [_columns(members.T.ravel())], nothing + [_columns(np.stack((nodes, counts)).ravel())],
+            nothing + [_columns(needs.T.ravel())]]
         spread = -1 - int(nodes[0]) % parts
-        body = [[int(b) for b in met] + [spread],
-                [low_bytes(cell.key[a:b]) for a, b in zip(cut[:-1], cut[1:])] + [b""],
-                [_pack(check[a:b]) for a, b in zip(cut[:-1], cut[1:])] + [b""],
-                [_columns(cell.order[a:b]) for a, b in zip(cut[:-1], cut[1:])] + [b""],
-                [b""] * len(met) + [_columns(equal.ravel())], [b""] * len(met) + [_columns(inner.ravel())],
-                [b""] * len(met) + [_columns(np.stack((nodes, counts), 1).ravel())]]
         return pa.RecordBatch.from_arrays(
-            [pa.array(body[0], pa.int32()), *[pa.array(b, pa.binary()) for b in body[1:]]],
-            names=["bucket", "keys", "checks", "nodes", "equal", "links", "counts"])
+            [pa.array([int(b) for b in met] + [spread], pa.int32()), *[pa.array(c, pa.binary()) for c in columns]],
+            names=["bucket", "keys", "checks", "nodes", "bands", "equal", "members", "counts", "needs"])
 
     def run(batches):
         held, size = [], 0
@@ -289,8 +323,8 @@ def _posts(shingle: int, percent: int, parts: int):
             nodes = batch.column("node").to_numpy(zero_copy_only=False)
             for a, b in slices(offsets, SLICE_BYTES):
                 hashes, bounds = shingle_sets(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], shingle)
-                held.append((nodes[a:b].astype(np.int64), np.diff(bounds), whole_keys(hashes, bounds),
-                             *cells(hashes, bounds, percent)))
+                held.append(_Part(nodes[a:b].astype(np.int64), np.diff(bounds), whole_keys(hashes, bounds),
+                                  cells(hashes, bounds, percent)))
                 size += int(offsets[b] - offsets[a])
                 if size >= CHUNK_BYTES:
                     yield chunk(held)
@@ -312,33 +346,54 @@ def _numbers(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(_unpack(data, np.uint8).reshape(8, -1).T).view("<i8").ravel()
 
 
-EQUAL, NEAR, COUNT = 0, 1, 2  # kinds of rows: links of equal sets, shared cells, numbers of shingles
+FOUND = "kind int, a bigint, b bigint, c bigint"
 
 
 def _met(rows: pa.Table) -> pa.Table:
-    """Rows (kind, a, b) of one bucket: documents of different chunks with a cell in common, or what
-    chunks have found in themselves."""
+    """Rows of one bucket: documents of different chunks with a cell in common, or what chunks have
+    found in themselves."""
     if rows["bucket"][0].as_py() < 0:
-        parts = [(kind, _numbers(data).reshape(-1, 2)) for kind, name in enumerate(("equal", "links", "counts"))
-                 for data in rows[name].to_pylist()]
-        pairs = np.concatenate([p for _, p in parts])
-        kinds = np.repeat([kind for kind, _ in parts], [len(p) for _, p in parts])
-        return _rows(kinds, pairs[:, 0], pairs[:, 1])
+        parts = []
+        for kind, name, width in ((EQUAL, "equal", 2), (MEMBER, "members", 3), (COUNT, "counts", 2), (NEED, "needs", 3)):
+            for data in rows[name].to_pylist():
+                numbers = _numbers(data)
+                numbers = numbers.reshape(-1, 2).T if kind == EQUAL else numbers.reshape(width, -1)
+                parts.append(_rows(kind, *numbers))
+        return pa.concat_tables(parts)
+    bucket = rows["bucket"][0].as_py()
     key = np.concatenate([from_low_bytes(k) for k in rows["keys"].to_pylist()])
     check = np.concatenate([_unpack(c, np.uint64) for c in rows["checks"].to_pylist()])
     node = np.concatenate([_numbers(n) for n in rows["nodes"].to_pylist()])
+    band = np.concatenate([_unpack(b, np.uint8) for b in rows["bands"].to_pylist()]).astype(np.int64)
     by = np.lexsort((node, check, key))
-    key, node, check = key[by], node[by], check[by]
+    key, node, check, band = key[by], node[by], check[by], band[by]
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (check[1:] != check[:-1])
-    lowest = node[np.flatnonzero(new)][np.cumsum(new) - 1]
-    linked = lowest != node
-    kinds = np.where(check[linked] > 0, EQUAL, NEAR)
-    return _rows(*np.unique(np.stack((kinds, lowest[linked], node[linked]), 1), axis=0).T)
+    heads, group = np.flatnonzero(new), np.cumsum(new) - 1
+    lowest = node[heads][group]
+    shared = (np.bincount(group) > 1)[group]
+    same, cell = (check > 0) & (lowest != node), shared & (check == 0)
+    names = (bucket << 8 * KEY_BYTES) | key.astype(np.int64)
+    return pa.concat_tables([_rows(EQUAL, lowest[same], node[same]), _rows(MEMBER, names[cell], node[cell], band[cell])])
+
+
+def _rows(kind: int, a: np.ndarray, b: np.ndarray, c: np.ndarray | None = None) -> pa.Table:
+    c = np.zeros(len(a), np.int64) if c is None else c
+    return pa.table([pa.array(np.full(len(a), kind), pa.int32()), pa.array(a), pa.array(b), pa.array(c)],
+                    names=["kind", "a", "b", "c"])
 
 
-def _rows(kinds: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Table:
-    return pa.table([pa.array(kinds, pa.int32()), pa.array(a), pa.array(b)], names=["kind", "a", "b"])
+def candidates(found: DataFrame) -> DataFrame:
+    """Links (a, b) of sets that share cells, without the sets that share too few to have a partner."""
+    members = found.filter(F.col("kind") == MEMBER).select(
+        F.col("a").alias("cell"), F.col("b").alias("node"), F.col("c").alias("band")).distinct()
+    needs = found.filter(F.col("kind") == NEED).groupBy(F.col("a").alias("node"), F.col("b").alias("band")).agg(
+        F.min("c").alias("need"))
+    enough = members.groupBy("node", "band").agg(F.count(F.lit(1)).alias("shared")).join(needs, ["node", "band"]).filter(
+        F.col("shared") >= F.col("need")).select("node", "band")
+    left = written(members.join(enough, ["node", "band"], "left_semi"), "members")
+    stars = left.groupBy("cell").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    return left.join(stars, "cell").select("a", F.col("node").alias("b")).filter(F.col("a") != F.col("b")).distinct()
 
 
 def _sets(shingle: int):
@@ -406,9 +461,9 @@ def join_similar(docs: DataFrame, ident: str = "doc_id", text: str = "text", shi
         raise TypeError(f"{ident} has to be a whole number")
     rows = docs.select(F.coalesce(F.col(ident).cast("bigint"), F.lit(NULL)).alias("node"), F.col(text).alias("text"))
     posts = rows.mapInArrow(_posts(shingle, percent, buckets(spark)), POSTS)
-    found = written(posts.groupBy("bucket").applyInArrow(_met, "kind int, a bigint, b bigint"), "cell_links")
+    found = written(posts.groupBy("bucket").applyInArrow(_met, FOUND), "cell_links")
     equal = found.filter(F.col("kind") == EQUAL).select("a", "b")
-    regions = components(found.filter(F.col("kind") != COUNT).select("a", "b"), "regions")
+    regions = components(candidates(found), "regions")
     copies = equal.select(F.col("b").alias("node")).distinct()
     members = regions.join(copies, "node", "left_anti")
     sized = members.groupBy("label").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
