@@ -38,31 +38,32 @@ SHIP_MODERATE = "SHIP WITH MITIGATION (Arm B, not C)"
 SHIP_CAREFULLY = "SHIP WITH MITIGATION"
 
 
-def srm_check(kpi: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """Chi-square test of the realised split, equal by default; one row."""
+EQUAL_SPLIT = {arm: 1.0 for arm in ARMS}
+
+
+def srm_check(kpi: DataFrame, weights: dict[str, float] = EQUAL_SPLIT) -> DataFrame:
+    """Chi-square test of the realised split against the planned one, by default equal over the
+    designed arms; one row. An arm of the plan that got nobody counts with all it was due."""
     rows = F.sort_array(F.collect_list(F.struct("test_group", "users_started")))
     gathered = kpi.agg(rows.alias("observed"), F.sum("users_started").alias("users"))
-    users, arms = F.col("users").cast("double"), F.size("observed")
-    if weights is None:
-        expected = lambda row: users / arms
-        degrees = arms - 1
-    else:
-        whole = float(sum(weights.values()))
-        share = literal_map({arm: weight / whole for arm, weight in weights.items()})
-        expected = lambda row: users * share[row["test_group"]]
-        degrees = F.lit(len(weights) - 1)
+    users = F.col("users").cast("double")
+    whole = float(sum(weights.values()))
+    share = literal_map({arm: weight / whole for arm, weight in weights.items()})
+
+    def expected(row: Column) -> Column:
+        return users * share[row["test_group"]]
 
     def add(total: Column, row: Column) -> Column:
         gap = row["users_started"] - expected(row)
         return total + gap * gap / expected(row)
 
-    chi2 = F.aggregate("observed", F.lit(0.0), add)
-    if weights is not None:
-        # An arm of the plan that got nobody misses all it was due.
-        present = F.aggregate("observed", F.lit(0.0), lambda t, row: t + share[row["test_group"]])
-        chi2 = chi2 + users * (F.lit(1.0) - present)
-    scored = gathered.filter(arms > 0).select(
-        "observed", (users / arms).alias("expected"), chi2.alias("chi2"), degrees.alias("degrees")
+    present = F.aggregate("observed", F.lit(0.0), lambda t, row: t + share[row["test_group"]])
+    missing = F.size("observed") < len(weights)
+    absent = F.when(missing, users * (F.lit(1.0) - present)).otherwise(0.0)
+    chi2 = F.aggregate("observed", F.lit(0.0), add) + absent
+    scored = gathered.filter(F.size("observed") > 0).select(
+        "observed", (users / len(weights)).alias("expected"), chi2.alias("chi2"),
+        F.lit(len(weights) - 1).alias("degrees"),
     ).withColumn("p", chi2_tail(F.col("chi2"), F.col("degrees")))
     passes = F.col("p") >= SRM_THRESHOLD
     return scored.select(
@@ -96,19 +97,22 @@ def pairwise_tests(kpi: DataFrame) -> DataFrame:
     z is pooled, from raw counts, and negative when the second arm is better. Difference, lift
     and interval start from the published, rounded rates.
     """
-    def side(suffix: str) -> list[Column]:
-        return [
-            F.col("test_group").alias(f"arm_{suffix}"),
-            F.col("users_completed").cast("double").alias(f"x_{suffix}"),
-            F.col("users_started").cast("double").alias(f"n_{suffix}"),
-            F.col("onboarding_completion_rate").alias(f"rate_{suffix}"),
-        ]
-
-    partners = {a: tuple(b for first, b in PAIRS if first == a) for a, _ in PAIRS}
-    first = kpi.select(
-        *side("a"), F.explode(literal_map(partners)[F.col("test_group")]).alias("arm_b")
+    # The few arms meet in one row, so the marts behind them are computed once.
+    figures = F.struct(
+        F.col("users_completed").cast("double").alias("x"), F.col("users_started").cast("double").alias("n"),
+        F.col("onboarding_completion_rate").alias("rate"),
     )
-    pairs = first.join(kpi.select(*side("b")), "arm_b")
+    met = kpi.agg(F.map_from_entries(F.collect_list(F.struct("test_group", figures))).alias("arms"))
+    arms = F.col("arms")
+    tested = F.array(*[
+        F.struct(F.lit(a).alias("arm_a"), F.lit(b).alias("arm_b"), arms[a].alias("a"), arms[b].alias("b"))
+        for a, b in PAIRS
+    ])
+    pairs = met.select(F.explode(tested).alias("pair")).select("pair.*").filter(
+        F.col("a").isNotNull() & F.col("b").isNotNull()
+    ).select("arm_a", "arm_b", *[
+        F.col(f"{side}.{name}").alias(f"{name}_{side}") for side in "ab" for name in ("x", "n", "rate")
+    ])
 
     x_a, n_a, p_a = F.col("x_a"), F.col("n_a"), F.col("rate_a")
     x_b, n_b, p_b = F.col("x_b"), F.col("n_b"), F.col("rate_b")
@@ -132,6 +136,9 @@ def pairwise_tests(kpi: DataFrame) -> DataFrame:
         "rate_a", "rate_b", "absolute_diff", "relative_lift_pct",
         F.round(F.col("absolute_diff") - F.col("margin"), 4).alias("diff_ci_low"),
         F.round(F.col("absolute_diff") + F.col("margin"), 4).alias("diff_ci_high"),
+        F.array(
+            F.round(F.col("absolute_diff") - F.col("margin"), 4), F.round(F.col("absolute_diff") + F.col("margin"), 4),
+        ).alias("diff_ci_95"),
         F.round("z", 4).alias("z_statistic"),
         "p_value",
         F.coalesce(F.col("p_value") < ALPHA, F.lit(False)).alias("significant_at_05"),
@@ -180,10 +187,9 @@ def regression_flags(guardrails: DataFrame, kpi: DataFrame | None = None,
     def shown(value: Column) -> Column:
         return F.when(metric == "avg_lesson_relevance_score", fixed(value, 2)).otherwise(percent_text(value))
 
-    copula = F.lit(" is ")
-    message = F.concat(
-        label, copula, worse, F.lit(f" in {treatment} ("), shown(tried),
-        F.lit(f") than {control} ("), shown(base), F.lit(")"),
+    # Fixed form of the message.
+    message = F.format_string(
+        f"%s is %s in {treatment} (%s) than {control} (%s)", label, worse, shown(tried), shown(base)
     )
     return turned.select(
         "metric", worse.alias("bad_direction"), base.alias("control_value"),
@@ -202,13 +208,17 @@ def power_recheck(kpi: DataFrame, control: str = CONTROL) -> DataFrame:
     base = F.max(F.when(F.col("test_group") == control, F.col("onboarding_completion_rate")))
     seen = kpi.agg(F.min("users_started").alias("n"), base.alias("p"))
     h = F.lit(Z_ALPHA + Z_POWER) / F.sqrt(F.col("n") / 2.0)
+    points = F.abs(_second_proportion(F.col("p"), h) - F.col("p")) * 100
     return seen.select(
         F.col("n").alias("n_per_arm_achieved"),
         F.col("p").alias("baseline_completion_rate"),
         F.lit(ALPHA).alias("alpha"),
         F.lit(POWER).alias("target_power"),
-        F.round(F.abs(_second_proportion(F.col("p"), h) - F.col("p")) * 100, 2)
-        .alias("achievable_mde_pp_at_80pct_power"),
+        F.round(points, 2).alias("achievable_mde_pp_at_80pct_power"),
+        F.concat(
+            F.lit("At 80% power, arms of "), F.col("n").cast("string"), F.lit(" users show completion rates that differ by "),
+            fixed(points, 1), F.lit(" points or more; smaller differences may be missed"),
+        ).alias("interpretation"),
     )
 
 

@@ -42,6 +42,17 @@ def _guardrails() -> list[Column]:
     ]
 
 
+KPI_COLUMNS = (
+    "users_started", "users_completed", "onboarding_completion_rate", "users_activated", "activation_rate",
+    "users_purchased", "paid_conversion_rate", "avg_time_to_first_lesson_seconds", "day1_return_rate",
+    "day7_return_rate", "day30_return_rate",
+)
+GUARDRAIL_COLUMNS = (
+    "avg_lesson_relevance_score", "refund_rate", "cancellation_rate", "support_ticket_rate",
+    "notification_optin_rate",
+)
+
+
 def kpi_by_group(funnel: DataFrame) -> DataFrame:
     return funnel.groupBy("test_group").agg(*_kpis())
 

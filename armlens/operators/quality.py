@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from armlens.domain import ARMS
 from armlens.functions.scalars import literal_map
+from armlens.operators.staging import refused
 from armlens.sources.local import local_frame
 
 # Policed check -> (comparison, bound). staging_rejects is informational.
@@ -58,12 +59,11 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def event_checks(raw: DataFrame, rejects: DataFrame, staged: DataFrame) -> DataFrame:
-    """Rows landed, rows rejected, ids staged more than once."""
+def event_checks(raw: DataFrame, staged: DataFrame, strict_null: bool = False) -> DataFrame:
+    """Rows landed and rows rejected from one pass over the raw layer, ids staged more than once."""
     every = F.lit(True)
     return _union([
-        _counted(raw, raw_row_count=every),
-        _counted(rejects, staging_rejects=every),
+        _counted(raw, raw_row_count=every, staging_rejects=refused(strict_null)),
         _counted(duplicate_keys(staged, "event_id"), staging_duplicate_event_ids=every),
     ])
 
@@ -100,10 +100,10 @@ def mart_checks(kpi: DataFrame) -> DataFrame:
 def dq_report(tables: dict[str, DataFrame]) -> DataFrame:
     """The twelve checks as (check_name, value).
 
-    Tables: raw, rejects, staged, dim_user, user_funnel, kpi.
+    Tables: raw, staged, dim_user, user_funnel, kpi.
     """
     return _union([
-        event_checks(tables["raw"], tables["rejects"], tables["staged"]),
+        event_checks(tables["raw"], tables["staged"]),
         user_checks(tables["dim_user"], tables["user_funnel"]),
         mart_checks(tables["kpi"]),
     ])
@@ -145,6 +145,24 @@ def dq_gate(report: DataFrame, policy: dict[str, tuple[str, int]] = POLICY) -> D
     return judged.select("check_name", "value", passed.cast("int").alias("passed"), detail.alias("detail"))
 
 
+def violations(values: dict[str, int], policy: dict[str, tuple[str, int]] = POLICY) -> dict[str, str]:
+    """What is wrong with check values already at hand: check -> detail, failed ones only."""
+    wrong = {}
+    for name, (comparison, bound) in policy.items():
+        value = values.get(name)
+        if value is None:
+            wrong[name] = "check did not run"
+        elif not (value > bound if comparison == ">" else value == bound):
+            wrong[name] = f"value {value} violates policy"
+    return wrong
+
+
+def enforce_values(values: dict[str, int], policy: dict[str, tuple[str, int]] = POLICY) -> None:
+    """Raise with every failed check."""
+    if wrong := violations(values, policy):
+        raise GateFailure("; ".join(f"{name}: {wrong[name]}" for name in sorted(wrong)))
+
+
 def enforce(gate: DataFrame) -> None:
     """Raise with every failed check; only failed rows, at most one per check, reach the driver."""
     failed = gate.filter("passed = 0").orderBy("check_name").collect()

@@ -61,6 +61,15 @@ def valid_event(strict_null: bool = False) -> Column:
     return F.coalesce(passes(strict_null), F.lit(False))
 
 
+def refused(strict_null: bool = False) -> Column:
+    """True for a row of the quarantine."""
+    if not strict_null:
+        return ~valid_event()
+    return F.coalesce(
+        ~_keys_present(True) | ~F.col("test_group").isin(*ARMS) | ~F.col("platform").isin(*PLATFORMS), F.lit(False)
+    )
+
+
 def rejects(raw: DataFrame, strict_null: bool = False) -> DataFrame:
     """The quarantine: raw rows that are not staged, with the reason.
 
@@ -68,15 +77,7 @@ def rejects(raw: DataFrame, strict_null: bool = False) -> DataFrame:
     layers. With ``strict_null`` a NULL arm or platform compares as unknown and the row lands in
     neither table.
     """
-    if strict_null:
-        refused = (
-            ~_keys_present(True)
-            | ~F.col("test_group").isin(*ARMS)
-            | ~F.col("platform").isin(*PLATFORMS)
-        )
-    else:
-        refused = ~valid_event()
-    return raw.filter(refused).select(
+    return raw.filter(refused(strict_null)).select(
         "*", F.lit(REJECT_REASON).alias("reject_reason"), reject_codes().alias("reject_codes")
     )
 
@@ -135,14 +136,11 @@ def contract_violations(
     """Staged events that break the tracking contract: one row per event and finding.
 
     The catalogue and the step design (arm -> ordered step names) are constants of the
-    expression, so the check is a single pass without any join. Rows whose keys and values are all
-    as expected, nearly all of them, are dropped before any finding is put together.
+    expression, so the check is a single pass without any join that parses each payload once.
     """
     name, step = F.col("event_name"), F.col("step_number")
     no_keys = F.array().cast("array<string>")
     keys = F.when(F.col("properties").isNull(), no_keys).otherwise(F.json_object_keys("properties"))
-    in_order = literal_map({event: tuple(sorted(names)) for event, names in catalog.items()})
-    keys_as_expected = F.sort_array(keys).eqNullSafe(F.try_element_at(in_order, name))
 
     def holds(condition: Column) -> Column:
         return F.coalesce(condition, F.lit(False))
@@ -173,10 +171,6 @@ def contract_violations(
             ),
         ]
 
-    suspicious = ~keys_as_expected
-    for wrong, _, _ in values:
-        suspicious |= wrong
-
     def finding(code: str, detail: Column) -> Column:
         return F.struct(F.lit(code).alias("code"), detail.cast("string").alias("detail"))
 
@@ -196,45 +190,30 @@ def contract_violations(
         F.when(comparable, per_key("extra_key", F.array_except(present, expected))).otherwise(nothing),
         *[one(*value) for value in values],
     ]
-    return (
-        staged.filter(suspicious)
-        .withColumns({"_keys": keys, "_expected": F.try_element_at(literal_map(catalog), name)})
-        .select(
-            "event_id", "event_name", "test_group",
-            F.explode(F.array_compact(F.concat(*found))).alias("finding"),
-        )
-        .select("event_id", "event_name", "test_group", "finding.code", "finding.detail")
-    )
+    # Findings are exploded where they are made: a filter on them would be moved below the parsing of
+    # the payload and parse it again for every condition. A good row has no findings and drops out.
+    noted = staged.withColumns({"_keys": keys, "_expected": F.try_element_at(literal_map(catalog), name)})
+    return noted.select(
+        "event_id", "event_name", "test_group",
+        F.explode(F.array_compact(F.concat(*found))).alias("finding"),
+    ).select("event_id", "event_name", "test_group", "finding.code", "finding.detail")
 
 
-def reconciliation(raw: DataFrame, staged: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Do the layers add up: landed = staged + rejected + repeated deliveries.
+def reconciliation(raw: DataFrame, staged: DataFrame) -> DataFrame:
+    """Do the layers add up: landed = staged + rejected + repeated deliveries; one row.
 
-    Repeats are counted on their own from the raw ids (partial counts per task, so a hot id is
-    no burden), not as the difference of the other three.
+    One pass over the raw rows counts them by id and validity (partial counts per task, so a hot id is
+    no burden); rejected rows and repeats follow from these. The staged table is counted itself.
     """
-    repeats = (
-        raw.filter(passes()).groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("rows"))
-    )
-    stages = {
-        "landed": raw.agg(F.count(F.lit(1)).alias("rows")),
-        "staged": staged.agg(F.count(F.lit(1)).alias("rows")),
-        "rejected": rejected.agg(F.count(F.lit(1)).alias("rows")),
-        "duplicates": repeats,
-    }
-    counted = [
-        frame.select(F.lit(stage_name).alias("stage"), F.col("rows").cast("bigint").alias("rows"))
-        for stage_name, frame in stages.items()
-    ]
-    union = counted[0]
-    for frame in counted[1:]:
-        union = union.unionByName(frame)
-
-    def rows_of(stage_name: str) -> Column:
-        return F.max(F.when(F.col("stage") == stage_name, F.col("rows")))
-
-    return union.agg(*[rows_of(s).alias(s) for s in stages]).withColumn(
-        "balanced",
-        (F.col("landed") == F.col("staged") + F.col("rejected") + F.col("duplicates")).cast("int"),
+    n = F.col("n")
+    counted = raw.groupBy("event_id", valid_event().alias("valid")).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.sum(n).alias("landed"),
+        F.sum(F.when(~F.col("valid"), n)).alias("rejected"),
+        F.sum(F.when(F.col("valid"), n - 1)).alias("duplicates"),
     )
+    both = counted.unionByName(staged.agg(F.count(F.lit(1)).alias("staged")), allowMissingColumns=True)
+    whole = both.agg(*[
+        F.coalesce(F.max(c), F.lit(0).cast("bigint")).alias(c) for c in ("landed", "staged", "rejected", "duplicates")
+    ])
+    adds_up = F.col("landed") == F.col("staged") + F.col("rejected") + F.col("duplicates")
+    return whole.withColumn("balanced", adds_up.cast("int"))

@@ -1,7 +1,10 @@
 """DuckDB statements stating what each registered query must return.
 
 They are written from the table definitions in plain SQL (window dedupe, join-then-group funnel,
-distinct counts), not from the Spark plans. Only the adapter rules are shared text.
+distinct counts), not from the Spark plans. Shared with the library are the adapter rules and the
+lists of fixed values: payload fields, funnel flags, metric names, policed checks, malformed rows. A
+wrong entry there would match itself; tests/test_refresh.py and tests/test_staging.py hold those
+against published figures and hand-written rows.
 """
 
 from __future__ import annotations
@@ -9,9 +12,10 @@ from __future__ import annotations
 from armlens.domain import ARM_LABELS, ARM_SHORT_LABELS, ENUMERATIONS, EVENT_CATALOG
 from armlens.functions.payload import FIELDS
 from armlens.operators.inference import GUARDRAILS, SECONDARY
-from armlens.operators.quality import POLICY
+from armlens.operators.quality import POLICY, UNIQUE_POLICY
 from armlens.operators.warehouse import FUNNEL_FLAGS
 from armlens.sources import event_table as rules
+from armlens.sources.faults import MALFORMED
 
 Z = "1.959963984540054"
 Z_SUM = "2.801585218112969"
@@ -46,16 +50,29 @@ def _first(event: str, alias: str) -> str:
     return f"MIN(CASE WHEN e.event_name = '{event}' THEN e.event_timestamp END) AS {alias}"
 
 
+_MALFORMED = ", ".join(
+    "(" + ", ".join("NULL" if v is None else f"'{v}'" for v in row) + ")" for row in MALFORMED
+)
+
+
+def _journeys() -> list[tuple[str, str]]:
+    stops = ", ".join(f"({at}, '{name}', {minutes})" for at, (name, minutes, _) in enumerate(rules.JOURNEY))
+    return [
+        ("travellers", "SELECT user_id AS uid, MIN(ts) AS first FROM events GROUP BY user_id"),
+        ("stops", f"""SELECT *, CAST(uid % 100 AS INTEGER) AS k, CAST(uid % 50 + 0.5 AS DOUBLE) AS value,
+            {rules.JOURNEY_ARM} AS test_group, {rules.JOURNEY_PLATFORM} AS platform
+            FROM travellers, (VALUES {stops}) AS s(leg, event_name, minutes) WHERE {rules.IN_JOURNEY}"""),
+        ("journeys", f"""SELECT concat_ws('_', 'j', uid, leg) AS event_id, concat('u_', CAST(uid AS STRING)) AS user_id,
+            event_name, strftime(first + to_minutes(CAST(minutes AS BIGINT)), '%Y-%m-%dT%H:%M:%S.%f') AS event_timestamp,
+            test_group, platform, concat('s_', CAST(uid AS STRING)) AS session_id,
+            {rules.payload_sql(EVENT_CATALOG)} AS properties FROM stops"""),
+    ]
+
+
 def _landed(arm: str = "test_group", injected: bool = False) -> list[tuple[str, str]]:
     extra = f"""
         UNION ALL SELECT event_id, user_id, event_name, event_timestamp, test_group, platform, 's1', '{{}}',
-         'dirty_injection', 1 FROM (VALUES
-          (NULL, 'u_9999999', 'onboarding_started', '2026-07-01T00:00:00', 'A', 'iOS'),
-          ('bad_evt_1', NULL, 'onboarding_started', '2026-07-01T00:00:00', 'A', 'iOS'),
-          ('bad_evt_2', 'u_9999998', NULL, '2026-07-01T00:00:00', 'A', 'iOS'),
-          ('bad_evt_3', 'u_9999997', 'onboarding_started', NULL, 'A', 'iOS'),
-          ('bad_evt_4', 'u_9999996', 'onboarding_started', '2026-07-01T00:00:00', 'Z', 'iOS'),
-          ('bad_evt_5', 'u_9999995', 'onboarding_started', '2026-07-01T00:00:00', 'A', 'Windows')
+         'dirty_injection', 1 FROM (VALUES {_MALFORMED}
          ) AS bad(event_id, user_id, event_name, event_timestamp, test_group, platform)
         UNION ALL SELECT * FROM (SELECT {_ENV}, 'dirty_injection_dup', _ingest_seq + 1
          FROM delivered ORDER BY event_id, _ingest_seq LIMIT 3)""" if injected else ""
@@ -93,6 +110,7 @@ _STAGING = [
         FROM dedup"""),
 ]
 
+
 _WAREHOUSE = [
     ("users", f"""SELECT user_id, test_group, platform, {_first('app_installed', 'install_ts')},
         CAST(MIN(CASE WHEN event_name = 'app_installed' THEN event_date END) AS DATE) AS install_date,
@@ -208,6 +226,11 @@ _STATISTICS = [
     ("srm_out", """SELECT observed, expected_per_arm, ROUND(chi2, 4) AS chi2_statistic,
         ROUND(exp(-chi2 / 2), 4) AS p_value, CASE WHEN exp(-chi2 / 2) >= 0.001 THEN 1 ELSE 0 END AS passes
         FROM srm"""),
+    ("srm_two", """SELECT string_agg(test_group || '=' || users_started, ',' ORDER BY test_group) AS observed,
+        ROUND(SUM(users_started) / 3.0::DOUBLE, 1) AS expected_per_arm,
+        SUM((users_started - t.e) * (users_started - t.e) / t.e) + MAX(t.e) AS chi2
+        FROM kpi, (SELECT SUM(users_started) / 3.0::DOUBLE AS e FROM kpi WHERE test_group <> 'C') t
+        WHERE test_group <> 'C'"""),
     ("arms", f"""SELECT test_group, {_LABEL.format('test_group')} AS label, users_started, users_completed,
         onboarding_completion_rate AS completion_rate,
         ROUND((p + {Z}*{Z}/(2*n) - {Z}*sqrt(p*(1-p)/n + {Z}*{Z}/(4*n*n))) / (1 + {Z}*{Z}/n), 4) AS ci_95_low,
@@ -231,10 +254,9 @@ _STATISTICS = [
     ("flags", " UNION ALL ".join(_FLAGS)),
     ("power", f"""SELECT n AS n_per_arm_achieved, p AS baseline_completion_rate, CAST(0.05 AS DOUBLE) AS alpha,
         CAST(0.8 AS DOUBLE) AS target_power,
-        ROUND(abs(pow(sin(({Z_SUM} / sqrt(n / 2.0::DOUBLE) + 2 * asin(sqrt(p))) / 2), 2) - p) * 100, 2)
-          AS achievable_mde_pp_at_80pct_power
-        FROM (SELECT MIN(users_started) AS n,
-              MAX(CASE WHEN test_group = 'A' THEN onboarding_completion_rate END) AS p FROM kpi)"""),
+        ROUND(points, 2) AS achievable_mde_pp_at_80pct_power, points
+        FROM (SELECT *, abs(pow(sin(({Z_SUM} / sqrt(n / 2.0::DOUBLE) + 2 * asin(sqrt(p))) / 2), 2) - p) * 100 AS points FROM (SELECT MIN(users_started) AS n,
+              MAX(CASE WHEN test_group = 'A' THEN onboarding_completion_rate END) AS p FROM kpi))"""),
     ("signals", f"""SELECT (SELECT passes FROM srm_out) AS srm,
         MAX(CASE WHEN arm_a = 'A' AND arm_b = 'B' AND abs(z) > {Z} THEN 1 ELSE 0 END) AS ab,
         MAX(CASE WHEN arm_a = 'A' AND arm_b = 'C' AND abs(z) > {Z} THEN 1 ELSE 0 END) AS ac,
@@ -361,40 +383,81 @@ _STAGED_TEXT = f"""SELECT * REPLACE ({_TS_TEXT.format('event_timestamp')} AS eve
     {_DATE_TEXT.format('event_date')} AS event_date) FROM """
 
 
+_MART_FIELDS = {
+    "kpi_by_group": ("kpi", ("test_group",), (
+        "users_started", "users_completed", "onboarding_completion_rate", "users_activated", "activation_rate",
+        "users_purchased", "paid_conversion_rate", "avg_time_to_first_lesson_seconds", "day1_return_rate",
+        "day7_return_rate", "day30_return_rate")),
+    "guardrails_by_group": ("guards", ("test_group",), (
+        "avg_lesson_relevance_score", "refund_rate", "cancellation_rate", "support_ticket_rate",
+        "notification_optin_rate")),
+    "step_dropoff": ("dropoff", ("test_group", "step_number", "step_name"), (
+        "step_bucket", "users_viewed", "users_completed", "users_abandoned", "step_abandon_rate")),
+    "daily_funnel": ("daily", ("install_date", "test_group"), (
+        "users_started", "users_completed", "onboarding_completion_rate")),
+}
+
+
+def _long(section: str, name: str, field: str, source: str) -> str:
+    text = f"CAST({field} AS VARCHAR)"
+    return (f"SELECT '{section}' AS section, {name} AS label, '{field}' AS field, TRY_CAST({text} AS DOUBLE) AS value, "
+            f"CASE WHEN TRY_CAST({text} AS DOUBLE) IS NULL THEN {text} END AS text FROM {source}")
+
+
+def _bundle() -> str:
+    """Every field of every mart row."""
+    parts = []
+    for section, (source, order, rest) in _MART_FIELDS.items():
+        name = " || '/' || ".join(f"COALESCE(CAST({c} AS VARCHAR), '-')" for c in order)
+        parts += [_long(section, name, field, source) for field in (*order, *rest)]
+    return " UNION ALL ".join(parts)
+
+
+def _figures(section: str, prefix: str, source: str, numbers: dict[str, str], texts: dict[str, str]) -> list[str]:
+    parts = [f"SELECT '{section}' AS section, {prefix} || '{name}' AS name, ROUND(CAST({column} AS DOUBLE), 8) AS value, "
+             f"CAST(NULL AS VARCHAR) AS text FROM {source}" for name, column in numbers.items()]
+    return parts + [f"SELECT '{section}', {prefix} || '{name}', CAST(NULL AS DOUBLE), {column} FROM {source}"
+                    for name, column in texts.items()]
+
+
+def _document() -> list[str]:
+    """Every figure of the results document."""
+    def same(*names: str) -> dict[str, str]:
+        return {n: n for n in names}
+
+    tested = "(SELECT pairs.*, tails.p FROM pairs JOIN tails USING (arm_a, arm_b))"
+    low, high = "ROUND(absolute_diff - margin, 4)", "ROUND(absolute_diff + margin, 4)"
+    numbers = same("rate_a", "rate_b", "absolute_diff", "relative_lift_pct") | {
+        "diff_ci_low": low, "diff_ci_high": high, "diff_ci_95/0": low, "diff_ci_95/1": high,
+        "z_statistic": "ROUND(z, 4)", "p_value": "p", "significant_at_05": f"CASE WHEN abs(z) > {Z} THEN 1 ELSE 0 END"}
+    pair = "arm_a || '_vs_' || arm_b || '/'"
+    parts = _figures("srm", "''", "srm_out", same("expected_per_arm", "chi2_statistic", "p_value", "passes"), {
+        "interpretation": "CASE WHEN passes = 1 THEN 'Allocation is consistent with the planned split' "
+                          "ELSE 'Sample ratio mismatch: check the randomizer and the logging first' END"})
+    parts += _figures("power", "''", "power", same(
+        "n_per_arm_achieved", "baseline_completion_rate", "alpha", "target_power", "achievable_mde_pp_at_80pct_power"), {
+        "interpretation": "'At 80% power, arms of ' || n_per_arm_achieved || ' users show completion rates that differ by ' "
+                          "|| format('{:.1f}', points) || ' points or more; smaller differences may be missed'"})
+    parts += _figures("verdict", "''", "verdicts", {
+        "guardrail_regression_count_C_vs_A": "guardrail_regression_count", "any_significant": "any_significant"},
+        same("verdict", "reasoning"))
+    parts += ["SELECT 'observed', test_group, CAST(users_started AS DOUBLE), NULL FROM kpi",
+              "SELECT 'flags', CAST(ROW_NUMBER() OVER (ORDER BY CASE metric WHEN 'avg_lesson_relevance_score' THEN 0 "
+              "WHEN 'refund_rate' THEN 1 WHEN 'support_ticket_rate' THEN 2 ELSE 3 END) - 1 AS VARCHAR), NULL, message "
+              "FROM flags WHERE flagged = 1"]
+    for section in ("pairwise", "supporting"):
+        parts += _figures(section, pair, tested, numbers, same("arm_a", "arm_b", "label"))
+    parts += _figures("per_arm", "test_group || '/'", "arms", same(
+        "users_started", "users_completed", "completion_rate", "ci_95_low", "ci_95_high"), same("label"))
+    for section, metrics, source in (("secondary", SECONDARY, "kpi"), ("guardrail", GUARDRAILS, "guards")):
+        parts += [f"SELECT '{section}', '{m}/' || test_group, ROUND(CAST({m} AS DOUBLE), 8), NULL FROM {source}" for m in metrics]
+    return parts
+
+
 def _bodies() -> dict[str, str]:
     """Final SELECT of each statement over the named subqueries."""
-    kpi_figures = {
-        "kpi_by_group": ("kpi", "onboarding_completion_rate", "test_group", "test_group"),
-        "guardrails_by_group": ("guards", "notification_optin_rate", "test_group", "test_group"),
-        "step_dropoff": ("dropoff", "step_abandon_rate", "concat_ws('/', test_group, step_name)",
-                         "test_group, step_number, step_name"),
-        "daily_funnel": ("daily", "onboarding_completion_rate",
-                         f"concat_ws('/', {_DATE_TEXT.format('install_date')}, test_group)",
-                         "install_date NULLS FIRST, test_group"),
-    }
-    bundle = " UNION ALL ".join(
-        f"SELECT '{section}' AS section, CAST(ROW_NUMBER() OVER (ORDER BY {order}) AS INTEGER) AS position, "
-        f"{label} AS label, {figure} AS value FROM {source}"
-        for section, (source, figure, label, order) in kpi_figures.items()
-    ) + (
-        " UNION ALL SELECT 'stats', 1, (SELECT verdict FROM verdicts), "
-        "(SELECT achievable_mde_pp_at_80pct_power FROM power)"
-    )
-    long = []
-    for section, metrics, source in (("secondary", SECONDARY, "kpi"), ("guardrail", GUARDRAILS, "guards")):
-        long += [
-            f"SELECT '{section}', '{m}/' || test_group, CAST({m} AS DOUBLE), NULL FROM {source}" for m in metrics
-        ]
-    results = (
-        "SELECT 'srm' AS section, 'chi2' AS name, chi2_statistic AS value, CAST(NULL AS VARCHAR) AS text FROM srm_out"
-        " UNION ALL SELECT 'per_arm', test_group, ci_95_low, label FROM arms"
-        " UNION ALL SELECT 'pairwise', arm_a || '_vs_' || arm_b, ROUND(z, 4), NULL FROM pairs"
-        " UNION ALL SELECT 'power', 'mde', achievable_mde_pp_at_80pct_power, NULL FROM power"
-        " UNION ALL SELECT 'verdict', 'verdict', CAST(guardrail_regression_count AS DOUBLE), verdict FROM verdicts"
-        " UNION ALL SELECT 'supporting', arm_a || '_vs_' || arm_b, absolute_diff, NULL FROM pairs"
-        " UNION ALL SELECT 'flags', 'flag', NULL, message FROM flags WHERE flagged = 1"
-        " UNION ALL " + " UNION ALL ".join(long)
-    )
+    bundle = _bundle() + " UNION ALL SELECT 'stats', 'verdict', 'verdict', NULL, (SELECT verdict FROM verdicts)"
+    results = " UNION ALL ".join(_document())
     pair = "SELECT arm_a, arm_b, "
     return {
         "landed_events": f"SELECT {_ENV}, _source_file, _ingest_seq FROM landed",
@@ -453,7 +516,9 @@ def _bodies() -> dict[str, str]:
         "guardrail_metrics": _by_metric(GUARDRAILS, "guards"),
         "regression_flags": "SELECT * FROM flags",
         "regression_flags_extended": " UNION ALL ".join(_FLAGS + _MORE_FLAGS),
-        "power_recheck": "SELECT * FROM power",
+        "power_recheck": "SELECT * EXCLUDE (points), 'At 80% power, arms of ' || n_per_arm_achieved || "
+                         "' users show completion rates that differ by ' || format('{:.1f}', points) || "
+                         "' points or more; smaller differences may be missed' AS interpretation FROM power",
         "recommendation": "SELECT * FROM verdicts",
         "required_sample_size": f"""SELECT test_group, p1 AS baseline, mde, CASE WHEN p2 <= 1 THEN
             ROUND(pow({Z} * sqrt(p1 + p2) * sqrt(1 - (p1 + p2) / 2) + 0.8416212335729143
@@ -505,13 +570,33 @@ def _bodies() -> dict[str, str]:
             THEN [NULL] ELSE json_keys(properties) END) AS property FROM landed""",
         "export_bundle": bundle,
         "results_document": results,
-        "full_refresh": "SELECT * FROM kpi",
+        "full_refresh": _bundle() + " UNION ALL SELECT 'dq_report', check_name, 'value', CAST(value AS DOUBLE), NULL "
+            "FROM (SELECT * FROM checks UNION ALL " + " UNION ALL ".join(
+                f"SELECT '{name}', 0" for name in UNIQUE_POLICY) + ")",
+        "refresh_history": f"""SELECT CAST(1 AS INTEGER) AS run, CASE WHEN COUNT(*) > 0 THEN 'failed_validation' ELSE 'success' END AS status,
+              CAST(0 AS INTEGER) AS retries_used, string_agg(check_name || ': ' || detail, '; ' ORDER BY check_name) AS error,
+              CASE WHEN COUNT(*) = 0 THEN (SELECT COUNT(*) FROM landed) END AS raw_row_count,
+              CASE WHEN COUNT(*) = 0 THEN (SELECT COUNT(*) FROM rejected) END AS staging_rejects
+            FROM ({_GATE}) WHERE passed = 0
+            UNION ALL SELECT 2, 'success', 0, NULL, (SELECT COUNT(*) FROM journeys), 0""",
+        "staged_strict_null": f"{_STAGED_TEXT} staged",
+        "srm_missing_arm": """SELECT observed, expected_per_arm, ROUND(chi2, 4) AS chi2_statistic,
+            ROUND(exp(-chi2 / 2), 4) AS p_value, CASE WHEN exp(-chi2 / 2) >= 0.001 THEN 1 ELSE 0 END AS passes FROM srm_two""",
+        "assign_arms_by_hash": "SELECT DISTINCT 'u_' || user_id AS user_id, 1 AS arm_fits, 1 AS platform_fits FROM events",
+        "required_fields": " UNION ALL ".join(
+            f"SELECT '{c}' AS field, COUNT(*) - COUNT({c}) AS rows_without FROM landed"
+            for c in ("event_id", "user_id", "event_name", "event_timestamp", "test_group", "platform")),
     }
 
 
 def statements() -> dict[str, str]:
     chain = _STAGING + _WAREHOUSE + _MARTS + _STATISTICS + [("checks", _CHECKS)]
-    sources = {"corrupt_arm_gate": _landed(arm="'INVALID'"), "dirty_injection": _landed(injected=True)}
+    sources = {
+        "corrupt_arm_gate": _landed(arm="'INVALID'"), "dirty_injection": _landed(injected=True),
+        "full_refresh": _journeys() + [
+            ("landed", f"SELECT {_ENV}, 'events.parquet' AS _source_file, 0 AS _ingest_seq FROM journeys")],
+        "refresh_history": _journeys() + _landed(),
+    }
     built = {}
     for name, body in _bodies().items():
         parts = sources.get(name, _landed()) + chain

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from armlens.operators import inference, marts, monitoring, quality, staging, warehouse
-from armlens.session import pin
+from armlens.session import drop_path, pin
 from armlens.sources import designs, documents, landing, run_log
 from armlens.sources.events_csv import read_events_csv
 from armlens.sources.layers import layer_path, read_layer, write_layer
@@ -41,28 +41,29 @@ def together(spark: SparkSession, **steps: Callable[[], Any]) -> dict[str, Any]:
 
 
 def build(rows: DataFrame, folder: str, design: DataFrame | None = None,
-          source_file: str | None = None,
+          source_file: str | None = None, landed: bool = False, strict_null: bool = False,
           policy: dict[str, tuple[str, int]] = quality.POLICY) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Write all layers of one run under ``folder``; returns the tables and the check values.
 
+    ``landed`` tells that ``rows`` are a stored raw layer already, which is then read in place.
     Raises ``GateFailure`` when a check fails; what was written is then never published.
     """
     spark = rows.sparkSession
     design = designs.step_design(spark) if design is None else design
 
-    def write(name: str, table: DataFrame, files: int | None = None) -> DataFrame:
-        return write_layer(table, folder, name, files=files)
+    def write(name: str, table: DataFrame, **layout) -> DataFrame:
+        return write_layer(table, folder, name, **layout)
 
     values: list[tuple[str, int]] = []
 
     def check(report: DataFrame) -> None:
         values.extend(tuple(row) for row in report.collect())  # one row per check
 
-    raw = write("raw_events", landing.land(rows, source_file))
+    raw = rows if landed else write("raw_events", landing.land(rows, source_file))
     tables = {"raw_events": raw} | together(
         spark,
-        stg_events=lambda: write("stg_events", staging.stage(raw)),
-        stg_events_rejects=lambda: write("stg_events_rejects", staging.rejects(raw)),
+        stg_events=lambda: write("stg_events", staging.stage(raw, strict_null), partition_by="event_date"),
+        stg_events_rejects=lambda: write("stg_events_rejects", staging.rejects(raw, strict_null)),
     )
     events = tables["stg_events"]
 
@@ -75,25 +76,31 @@ def build(rows: DataFrame, folder: str, design: DataFrame | None = None,
         )
         members, funnel = made["dim_user"], made["fact_user_funnel"]
 
-        def kpi_table() -> DataFrame:
-            kpi = write("mart_kpi_by_group", marts.kpi_by_group(funnel), files=1)
-            check(quality.mart_checks(kpi))
-            return kpi
+        def arm_marts() -> dict[str, DataFrame]:
+            # One pass over the funnel; both marts are columns of its one row per arm.
+            by_arm = marts.metrics_by_group(funnel)
+            figures = local_frame(spark, [tuple(row) for row in by_arm.collect()], by_arm.schema)
+            kpi = figures.select("test_group", *marts.KPI_COLUMNS)
+            made = together(
+                spark,
+                mart_kpi_by_group=lambda: write("mart_kpi_by_group", kpi, files=1),
+                mart_guardrails_by_group=lambda: write(
+                    "mart_guardrails_by_group", figures.select("test_group", *marts.GUARDRAIL_COLUMNS), files=1),
+            )
+            check(quality.mart_checks(made["mart_kpi_by_group"]))
+            return made
 
         built = together(
             spark,
-            mart_kpi_by_group=kpi_table,
-            mart_guardrails_by_group=lambda: write(
-                "mart_guardrails_by_group", marts.guardrails_by_group(funnel), files=1
-            ),
+            arms=arm_marts,
             mart_daily_funnel=lambda: write("mart_daily_funnel", marts.daily_funnel(funnel)),
-            checks=lambda: check(quality.user_checks(members, funnel)),
-            unique=lambda: check(
-                quality.unique_key_check(members, "dim_user", "user_id")
+            checks=lambda: check(
+                quality.user_checks(members, funnel)
+                .unionByName(quality.unique_key_check(members, "dim_user", "user_id"))
                 .unionByName(quality.unique_key_check(funnel, "fact_user_funnel", "user_id"))
             ),
         )
-        return made | {name: table for name, table in built.items() if table is not None}
+        return made | built["arms"] | {"mart_daily_funnel": built["mart_daily_funnel"]}
 
     def step_tables() -> dict[str, DataFrame]:
         facts = write("fact_onboarding_step_events", warehouse.step_events(events))
@@ -110,19 +117,13 @@ def build(rows: DataFrame, folder: str, design: DataFrame | None = None,
 
     branches = together(
         spark, users=user_tables, steps=step_tables, dates=date_table,
-        checks=lambda: check(quality.event_checks(raw, tables["stg_events_rejects"], events)),
+        checks=lambda: check(quality.event_checks(raw, events, strict_null)),
     )
     tables |= branches["users"] | branches["steps"] | branches["dates"]
 
     report = local_frame(spark, sorted(values), "check_name string, value bigint")
-    last = together(
-        spark,
-        dq_report=lambda: write("dq_report", report, files=1),
-        gate=lambda: quality.enforce(
-            quality.dq_gate(report, {**policy, **quality.UNIQUE_POLICY})
-        ),
-    )
-    tables["dq_report"] = last["dq_report"]
+    tables["dq_report"] = write("dq_report", report, files=1)
+    quality.enforce_values(dict(values), {**policy, **quality.UNIQUE_POLICY})
     return tables, dict(values)
 
 
@@ -142,6 +143,18 @@ def refresh_files(spark: SparkSession, events: str, root: str, step_map: str | N
     return refresh(lambda: (read_events_csv(spark, events), design()), root, spark=spark, **options)
 
 
+def prune_runs(spark: SparkSession, root: str, keep: int = 3) -> list[str]:
+    """Delete the folders of failed and superseded runs; returns their run ids.
+
+    The ``keep`` runs published last stay, for readers that are still at it. The logs keep every run.
+    """
+    history = run_log.read_runs(spark, layer_path(root, "run_history")).select("run_id")
+    log = spark.read.schema(PUBLISHED_SCHEMA).json(layer_path(root, "published")).orderBy(
+        F.col("published_at").desc(), F.col("run_id").desc()).limit(keep).select("run_id")
+    gone = [row["run_id"] for row in history.join(log, "run_id", "left_anti").toLocalIterator()]
+    return sorted(run for run in gone if drop_path(spark, layer_path(root, f"runs/{run}")))
+
+
 def refresh(source: DataFrame | Callable[[], tuple[DataFrame, DataFrame]], root: str,
             spark: SparkSession | None = None, design: DataFrame | None = None,
             retries_used: int = 0, **options) -> dict[str, DataFrame]:
@@ -178,21 +191,26 @@ def refresh(source: DataFrame | Callable[[], tuple[DataFrame, DataFrame]], root:
     return tables
 
 
-def published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table of the run published last."""
+def latest_folder(spark: SparkSession, root: str) -> str:
+    """The folder of the run published last."""
     log = spark.read.schema(PUBLISHED_SCHEMA).json(layer_path(root, "published"))
     latest = log.orderBy(F.col("published_at").desc(), F.col("run_id").desc()).first()
     if latest is None:
         raise LookupError(f"nothing published under {root}")
-    return read_layer(spark, latest["folder"], name)
+    return latest["folder"]
+
+
+def published(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table of the run published last."""
+    return read_layer(spark, latest_folder(spark, root), name)
 
 
 def evaluate(spark: SparkSession, root: str, out: str | None = None) -> DataFrame:
-    """Statistics over the published marts, with the dashboard bundle written to ``out``."""
-    frames = {name.removeprefix("mart_"): published(spark, root, name) for name in MARTS}
+    """Statistics over the marts of the run published last, with the dashboard bundle in ``out``."""
+    folder = latest_folder(spark, root)
+    frames = {name.removeprefix("mart_"): read_layer(spark, folder, name) for name in MARTS}
     stats = inference.results_document(frames["kpi_by_group"], frames["guardrails_by_group"])
     if out is not None:
         documents.write_document(stats, layer_path(out, "results"))
-        bundle = documents.export_bundle(frames, stats)
-        documents.write_document(bundle, layer_path(out, "dashboard"))
+        documents.export_bundle(frames, stats, layer_path(out, "dashboard"))
     return stats

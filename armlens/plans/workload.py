@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from armlens.domain import ENVELOPE, EVENT_CATALOG, STEP_RANGE
+from armlens.domain import ENVELOPE, EVENT_CATALOG, KEYS, STEP_RANGE
 from armlens.functions import payload
 from armlens.operators import (
     assignment, inference, marts, monitoring, panels, quality, staging, warehouse,
@@ -17,6 +18,7 @@ from armlens.plans import refresh
 from armlens.session import pin, scratch_path
 from armlens.sources import designs, documents, event_table, events_csv, faults, landing, run_log
 from armlens.sources.layers import read_layer, through_scratch, write_layer
+from armlens.sources.local import local_frame
 from armlens.streaming import landing as stream_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,7 +93,7 @@ def quality_tables(spark: SparkSession, raw: DataFrame) -> dict[str, DataFrame]:
     users = through_scratch(warehouse.user_rollup(events), "user_rollup")
     facts = warehouse.user_funnel(users)
     return {
-        "raw": raw, "rejects": staging.rejects(raw), "staged": events,
+        "raw": raw, "staged": events,
         "dim_user": warehouse.dim_user(users), "dim_date": warehouse.dim_date(events),
         "user_funnel": facts, "kpi": marts.kpi_by_group(facts),
     }
@@ -130,6 +132,11 @@ def rejects_strict_null(spark, folder):
     return _with_codes(staging.rejects(landed(spark, folder), strict_null=True))
 
 
+@query
+def staged_strict_null(spark, folder):
+    return staging.stage(landed(spark, folder), strict_null=True)
+
+
 @query
 def dedup_events(spark, folder):
     rows = landed(spark, folder).filter(staging.passes())
@@ -158,7 +165,7 @@ def contract_violations(spark, folder):
 @query
 def stage_reconciliation(spark, folder):
     raw = landed(spark, folder)
-    return staging.reconciliation(raw, staging.stage(raw), staging.rejects(raw))
+    return staging.reconciliation(raw, through_scratch(staging.stage(raw), "staged"))
 
 
 # ---- warehouse ----------------------------------------------------------------------------------
@@ -247,7 +254,7 @@ def dq_unique_keys(spark, folder):
 def dirty_injection(spark, folder):
     """The layers must still add up after bad rows and repeats are slipped in."""
     raw = faults.inject_dirty(landed(spark, folder))
-    return staging.reconciliation(raw, staging.stage(raw), staging.rejects(raw))
+    return staging.reconciliation(raw, through_scratch(staging.stage(raw), "staged"))
 
 
 @query
@@ -259,15 +266,25 @@ def corrupt_arm_gate(spark, folder):
 
 # ---- statistics ---------------------------------------------------------------------------------
 
-@query
-def srm_check(spark, folder):
-    return inference.srm_check(kpi(spark, folder)).select(
+def _srm_figures(by_kpi: DataFrame) -> DataFrame:
+    return inference.srm_check(by_kpi).select(
         F.array_join(F.transform(F.sort_array(F.map_entries("observed")), lambda e: F.concat(
             e["key"], F.lit("="), e["value"].cast("string"))), ",").alias("observed"),
         "expected_per_arm", "chi2_statistic", "p_value", "passes",
     )
 
 
+@query
+def srm_check(spark, folder):
+    return _srm_figures(kpi(spark, folder))
+
+
+@query
+def srm_missing_arm(spark, folder):
+    """An arm that vanished has to fail the check."""
+    return _srm_figures(kpi(spark, folder).filter(F.col("test_group") != "C"))
+
+
 @query
 def wilson_ci(spark, folder):
     return inference.completion_by_arm(kpi(spark, folder))
@@ -411,6 +428,20 @@ def assign_arms(spark, folder):
     return _assigned(spark, folder)
 
 
+@query
+def assign_arms_by_hash(spark, folder):
+    """Users known by a text id; the arm and platform of each, and whether the slot fits the hash."""
+    users = event_table.read_events_table(spark, folder).select(
+        F.concat(F.lit("u_"), F.col("user_id").cast("string")).alias("user_id")).distinct()
+    slot = F.pmod(F.xxhash64("user_id"), F.lit(6))
+    return assignment.assign_arms_by_hash(users, "user_id").select(
+        "user_id",
+        (F.element_at(F.array(*map(F.lit, "ABC")), (slot % 3 + 1).cast("int")) == F.col("test_group")).alias("arm_fits"),
+        (F.element_at(F.array(F.lit("iOS"), F.lit("Android")), (F.floor(slot / 3) + 1).cast("int"))
+         == F.col("platform")).alias("platform_fits"),
+    )
+
+
 @query
 def arm_balance(spark, folder):
     return assignment.arm_balance(_assigned(spark, folder))
@@ -429,7 +460,7 @@ def daily_runs(raw: DataFrame) -> DataFrame:
     summary = F.create_map(
         F.lit("raw_row_count"), F.col("n"), F.lit("staging_rejects"), F.col("rejected")
     )
-    seconds = F.unix_timestamp(F.to_timestamp("finished_at")) - F.unix_timestamp(F.to_timestamp("started_at"))
+    seconds = F.unix_timestamp(F.try_to_timestamp("finished_at")) - F.unix_timestamp(F.try_to_timestamp("started_at"))
     return per_day.select(
         F.concat(F.lit("run_"), "day").alias("run_id"),
         "started_at", "finished_at",
@@ -520,18 +551,30 @@ def read_dim_step(spark, folder):
 
 @query
 def read_event_catalog(spark, folder):
-    """The catalogue the events themselves follow, written as JSON, an event a line, and read back."""
+    """The catalogue the events themselves follow, written as JSON, a property a line, and read back."""
     keys = (
         landed(spark, folder)
         .select("event_name", F.explode_outer(F.json_object_keys("properties")).alias("property"))
         .groupBy("event_name", "property").agg(F.count(F.lit(1)))
     )
-    per_event = keys.groupBy("event_name").agg(F.sort_array(F.collect_set("property")).alias("keys"))
     path = scratch_path(spark, "catalog")
-    per_event.select(F.create_map("event_name", "keys").alias("event_catalog")).write.json(path)
+    known = F.when(F.col("property").isNull(), F.array().cast("array<string>")).otherwise(F.array("property"))
+    keys.select(F.create_map("event_name", known).alias("event_catalog")).write.json(path)
     return designs.read_event_catalog(spark, path, multi_line=False)
 
 
+@query
+def required_fields(spark, folder):
+    """The required fields of a written catalogue, each with the rows that lack it."""
+    path = scratch_path(spark, "required")
+    required = (*KEYS, "test_group", "platform")
+    local_frame(spark, [(list(required),)], "required_envelope_fields array<string>").write.json(path)
+    raw = landed(spark, folder)
+    lacking = raw.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]).unpivot(
+        [], list(required), "field", "rows_without")
+    return designs.read_required_fields(spark, path).join(lacking, "field", "left")
+
+
 @query
 def export_bundle(spark, folder):
     """The bundle written and read back; position and main figure of every mart row in it."""
@@ -545,30 +588,26 @@ def export_bundle(spark, folder):
     }
     frames = {name: through_scratch(frame, name) for name, frame in frames.items()}
     stats = inference.results_document(frames["kpi_by_group"], frames["guardrails_by_group"])
-    document = documents.export_bundle(frames, stats)
-    path = documents.write_document(document, scratch_path(spark, "bundle"))
-    read = spark.read.schema(document.schema).json(path)
-    figures = {
-        "kpi_by_group": ("onboarding_completion_rate", ("test_group",)),
-        "guardrails_by_group": ("notification_optin_rate", ("test_group",)),
-        "step_dropoff": ("step_abandon_rate", ("test_group", "step_name")),
-        "daily_funnel": ("onboarding_completion_rate", ("install_date", "test_group")),
-    }
-    parts = []
-    for section, (figure, label) in figures.items():
-        rows = read.select(F.posexplode(section).alias("at", "row"))
-        parts.append(rows.select(
-            F.lit(section).alias("section"),
-            (F.col("at") + 1).alias("position"),
-            F.concat_ws("/", *[F.col("row")[c].cast("string") for c in label]).alias("label"),
-            F.col("row")[figure].alias("value"),
-        ))
-    parts.append(read.select(
-        F.lit("stats").alias("section"), F.lit(1).alias("position"),
-        F.col("stats.recommendation.verdict").alias("label"),
-        F.col("stats.power_recheck.achievable_mde_pp_at_80pct_power").alias("value"),
-    ))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    path = documents.export_bundle(frames, stats, scratch_path(spark, "bundle"))
+    return bundle_figures(documents.read_bundle(spark, path))
+
+
+def bundle_figures(rows: DataFrame) -> DataFrame:
+    """Every field of every row of a bundle: section, label, field, and its value as number or text."""
+    fields = rows.filter(F.col("section") != "stats").select(
+        "section",
+        F.array_join(F.map_values(F.from_json("sort_key", "map<string,string>")), "/", "-").alias("label"),
+        F.explode(F.from_json("row", "map<string,string>")).alias("field", "shown"),
+    )
+    stats = rows.filter(F.col("section") == "stats").select(
+        "section", F.lit("verdict").alias("label"), F.lit("verdict").alias("field"),
+        F.get_json_object("row", "$.recommendation.verdict").alias("shown"),
+    )
+    number = F.col("shown").try_cast("double")
+    return fields.unionByName(stats).select(
+        "section", "label", "field", number.alias("value"),
+        F.when(number.isNull(), F.col("shown")).alias("text"),
+    )
 
 
 @query
@@ -577,49 +616,80 @@ def results_document(spark, folder):
     by_kpi, by_guardrail = written_marts(spark, folder)
     document = inference.results_document(by_kpi, by_guardrail)
     path = documents.write_document(document, scratch_path(spark, "results"))
-    read = spark.read.schema(document.schema).json(path)
-
-    def rows(section: str, frame: DataFrame, name, value, text=F.lit(None)) -> DataFrame:
-        return frame.select(
-            F.lit(section).alias("section"), name.alias("name"),
-            value.cast("double").alias("value"), text.cast("string").alias("text"),
-        )
+    return document_figures(spark.read.schema(document.schema).json(path))
+
+
+def document_figures(read: DataFrame) -> DataFrame:
+    """Every figure of a results document: section, name, value or text."""
+    def leaves(at: str, kind: T.DataType) -> list[tuple[str, Column, bool]]:
+        """(name, column, is it a number) of each field below a struct."""
+        if isinstance(kind, T.StructType):
+            return [(f"{f.name}/{name}".rstrip("/"), c, n) for f in kind for name, c, n in leaves(f"{at}.{f.name}", f.dataType)]
+        if isinstance(kind, T.ArrayType):
+            return [(str(i), F.col(at)[i], True) for i in (0, 1)]
+        if isinstance(kind, T.StringType):
+            return [("", F.col(at), False)]
+        return [("", F.col(at), True)] if not isinstance(kind, T.MapType) else []
+
+    def rows(section: str, frame: DataFrame, at: str, key: Column | None = None) -> DataFrame:
+        figures = F.array(*[
+            F.struct(F.lit(name).alias("name"), (F.round(c.cast("double"), 8) if number else F.lit(None).cast("double")).alias("value"),
+                     (F.lit(None) if number else c).cast("string").alias("text"))
+            for name, c, number in leaves(at, frame.schema[at].dataType)])
+        named = frame.select((F.lit("") if key is None else F.concat(key, F.lit("/"))).alias("key"), F.explode(figures).alias("f"))
+        return named.select(F.lit(section).alias("section"), F.concat("key", "f.name").alias("name"), "f.value", "f.text")
 
     def entries(column: str) -> DataFrame:
         return read.select(F.explode(column).alias("key", "at"))
 
-    arms, at = entries("primary_metric.per_arm"), F.col("at")
     pairs = read.select(F.explode("primary_metric.pairwise_tests").alias("at"))
+    flags = read.select(F.posexplode("guardrail_metrics.regression_flags_vs_control").alias("n", "message"))
+    counts = read.select(F.explode("srm_check.observed").alias("arm", "n"))
     parts = [
-        rows("srm", read, F.lit("chi2"), F.col("srm_check.chi2_statistic")),
-        rows("per_arm", arms, F.col("key"), at["ci_95_low"], at["label"]),
-        rows("pairwise", pairs, F.concat_ws("_vs_", at["arm_a"], at["arm_b"]), at["z_statistic"]),
-        rows("power", read, F.lit("mde"), F.col("power_recheck.achievable_mde_pp_at_80pct_power")),
-        rows("verdict", read, F.lit("verdict"),
-             F.col("recommendation.guardrail_regression_count_C_vs_A"), F.col("recommendation.verdict")),
-        rows("supporting", entries("recommendation.supporting_tests"), F.col("key"), at["absolute_diff"]),
-        rows("flags", read.select(
-            F.posexplode("guardrail_metrics.regression_flags_vs_control").alias("key", "at")),
-            F.lit("flag"), F.lit(None), at),
-    ]
-    for section, column in (("secondary", "secondary_metrics"), ("guardrail", "guardrail_metrics.by_arm")):
-        parts += [
-            rows(section, entries(column), F.concat_ws("/", "key", F.lit(arm)), at[arm]) for arm in "ABC"
-        ]
+        rows("srm", read, "srm_check"), rows("power", read, "power_recheck"), rows("verdict", read, "recommendation"),
+        counts.select(F.lit("observed").alias("section"), F.col("arm").alias("name"), F.col("n").cast("double").alias("value"),
+                      F.lit(None).cast("string").alias("text")),
+        rows("pairwise", pairs, "at", F.concat_ws("_vs_", "at.arm_a", "at.arm_b")),
+        flags.select(F.lit("flags").alias("section"), F.col("n").cast("string").alias("name"),
+                     F.lit(None).cast("double").alias("value"), F.col("message").alias("text")),
+    ] + [rows(section, entries(column), "at", F.col("key")) for section, column in (
+        ("per_arm", "primary_metric.per_arm"), ("supporting", "recommendation.supporting_tests"),
+        ("secondary", "secondary_metrics"), ("guardrail", "guardrail_metrics.by_arm"))]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def _refreshed(spark: SparkSession, folder: str, root: str) -> dict[str, DataFrame]:
+    """A run over the ordered journeys, which the full policy lets pass."""
+    rows = event_table.journey_rows(event_table.read_events_table(spark, folder))
+    return refresh.refresh(rows, root, design=design(spark), source_file="events.parquet")
+
+
 @query
 def full_refresh(spark, folder):
-    """A whole policed run over the events; the KPI mart it published.
+    """A whole run under the full policy: every field of the four published marts and of the report."""
+    root = scratch_path(spark, "refresh")
+    _refreshed(spark, folder, root)
+    frames = {name.removeprefix("mart_"): refresh.published(spark, root, name) for name in refresh.MARTS}
+    report = refresh.published(spark, root, "dq_report").select(
+        F.lit("dq_report").alias("section"), F.col("check_name").alias("label"), F.lit("value").alias("field"),
+        F.col("value").cast("double").alias("value"), F.lit(None).cast("string").alias("text"))
+    return bundle_figures(documents.bundle_rows(frames)).unionByName(report)
+
 
-    The order of events is random in this table, so only the checks on size and arms are policed.
-    """
+@query
+def refresh_history(spark, folder):
+    """Two runs under the full policy and what is recorded of them: events as they are, and ordered."""
     root = scratch_path(spark, "refresh")
-    policy = {name: quality.POLICY[name] for name in (
-        "raw_row_count", "staging_duplicate_event_ids", "orphan_fact_users",
-        "invalid_test_group_values", "mart_kpi_group_count",
-    )}
     rows = event_table.envelope_rows(event_table.read_events_table(spark, folder))
-    refresh.refresh(rows, root, design=design(spark), source_file="events.parquet", policy=policy)
-    return refresh.published(spark, root, "mart_kpi_by_group")
+    try:
+        refresh.refresh(rows, root, design=design(spark), source_file="events.parquet")
+    except quality.GateFailure:
+        pass  # recorded, which is what is looked at
+    _refreshed(spark, folder, root)
+    history = run_log.read_runs(spark, f"{root}/run_history")
+    number = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("started_at", "run_id"))
+    return history.select(
+        number.alias("run"), "status", "retries_used", "error",
+        F.col("validation_summary")["raw_row_count"].alias("raw_row_count"),
+        F.col("validation_summary")["staging_rejects"].alias("staging_rejects"),
+    )

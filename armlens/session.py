@@ -39,6 +39,7 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None, memory:
 
 
 _OWN_FOLDERS: dict[str, str] = {}  # application id -> folder, for local sessions without one
+_SCRATCH: dict[str, list[str]] = {}  # application id -> scratch paths handed out
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -60,4 +61,21 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the scratch root; never used twice."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder in whatever store it lies; False when there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables of this application; to be called once their results are stored.
+
+    Frames that still read them are not usable afterwards. Returns how many were there.
+    """
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    return sum(drop_path(spark, path) for path in paths)

@@ -69,19 +69,3 @@ def read_required_fields(spark: SparkSession, path: str) -> DataFrame:
         spark.read.schema(CATALOG_SCHEMA).option("multiLine", "true").json(path)
         .select(F.explode("required_envelope_fields").alias("field"))
     )
-
-
-def catalog_dict(catalog: DataFrame, limit: int = 10_000) -> dict[str, tuple[str, ...]]:
-    """The catalogue as a Python dict, for use as a constant in expressions.
-
-    A catalogue is schema, not data. One with more than ``limit`` rows is refused, not cut.
-    """
-    rows = catalog.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise DesignError(f"event catalogue has more than {limit} entries")
-    names: dict[str, list[str]] = {}
-    for row in rows:
-        keys = names.setdefault(row["event_name"], [])
-        if row["property"] is not None:
-            keys.append(row["property"])
-    return {name: tuple(keys) for name, keys in names.items()}

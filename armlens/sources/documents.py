@@ -1,10 +1,10 @@
-"""Nested result documents: statistics and the dashboard bundle."""
+"""Result documents: nested statistics, and the dashboard bundle a line per row."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Mart -> columns that order its rows in the bundle.
@@ -31,33 +31,28 @@ def bundle_rows(marts: dict[str, DataFrame]) -> DataFrame:
         mart = marts[section]
         parts.append(mart.select(
             F.lit(section).alias("section"),
-            F.to_json(F.struct(*order)).alias("sort_key"),
+            F.to_json(F.struct(*order), {"ignoreNullFields": "false"}).alias("sort_key"),
             F.to_json(F.struct(*mart.columns), {"ignoreNullFields": "false"}).alias("row"),
         ))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _with_columns_in(rows: Column, columns: list[str]) -> Column:
-    return F.transform(rows, lambda row: F.struct(*[row[c].alias(c) for c in columns]))
+def export_bundle(marts: dict[str, DataFrame], stats: DataFrame, path: str) -> str:
+    """The bundle as JSON lines, a mart row each, and the statistics as one line of their own.
 
+    Every task writes its share, so a mart of any size is exported; readers order a section by
+    ``sort_key``.
+    """
+    whole = stats.select(
+        F.lit("stats").alias("section"), F.lit(None).cast("string").alias("sort_key"),
+        F.to_json(F.struct(*stats.columns), {"ignoreNullFields": "false"}).alias("row"),
+    )
+    bundle_rows(marts).unionByName(whole).write.mode("overwrite").json(path)
+    return path
 
-def export_bundle(marts: dict[str, DataFrame], stats: DataFrame, limit: int = 100_000) -> DataFrame:
-    """One document: each mart as an ordered array of rows, plus the statistics.
 
-    A document is one row, so its size is checked first; marts larger than ``limit`` rows are
-    refused and belong in ``bundle_rows``, which has no such bound.
-    """
-    sections = []
-    for section, order in BUNDLE_ORDER.items():
-        mart = marts[section]
-        found = mart.limit(limit + 1).count()
-        if found > limit:
-            raise ValueError(f"{section} has more than {limit} rows; export it with bundle_rows")
-        rest = [c for c in mart.columns if c not in order]
-        ordered = F.sort_array(F.collect_list(F.struct(*order, *rest)))
-        sections.append(mart.agg(_with_columns_in(ordered, mart.columns).alias(section)))
-    whole = F.struct(*[F.col(c) for c in stats.columns]).alias("stats")
-    return side_by_side(*sections, stats.select(whole))
+def read_bundle(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("section string, sort_key string, row string").json(path)
 
 
 def write_document(document: DataFrame, path: str) -> str:

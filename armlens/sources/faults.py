@@ -40,10 +40,9 @@ def inject_dirty(raw: DataFrame) -> DataFrame:
     return append_batches(raw.select(*RAW_COLUMNS), bad, again.select(*RAW_COLUMNS))
 
 
-def corrupt_arm(raw: DataFrame, n: int | None = None) -> DataFrame:
-    """Rows whose arm is 'INVALID': the first ``n`` (a demonstration needs few), or all of them."""
-    rows = raw if n is None else _first_rows(raw, n)
-    return rows.withColumn("test_group", F.lit("INVALID"))
+def corrupt_arm(raw: DataFrame) -> DataFrame:
+    """The same rows with the arm 'INVALID'."""
+    return raw.withColumn("test_group", F.lit("INVALID"))
 
 
 def _first_rows(raw: DataFrame, n: int) -> DataFrame:

@@ -89,12 +89,12 @@ def test_srm_of_an_even_split(kpi):
 
 def test_srm_catches_a_broken_split_and_takes_weights(spark):
     assert inference.srm_check(split(spark, 2000, 2000, 2300)).first().passes is False
-    two = inference.srm_check(split(spark, 1000, 1100)).first()
+    two = inference.srm_check(split(spark, 1000, 1100), {"A": 1, "B": 1}).first()
     assert two.chi2_statistic == pytest.approx(4.7619, abs=1e-4)
     assert two.p_value == pytest.approx(math.erfc(math.sqrt(4.761904761904762 / 2)), abs=1e-4)
     weighted = inference.srm_check(split(spark, 1000, 2000), {"A": 1, "B": 2}).first()
     assert (weighted.chi2_statistic, weighted.passes) == (0.0, True)
-    missing = inference.srm_check(split(spark, 500, 500), {"A": 1, "B": 1, "C": 1}).first()
+    missing = inference.srm_check(split(spark, 500, 500)).first()
     assert (missing.chi2_statistic, missing.passes) == (500.0, False)
 
 
@@ -157,7 +157,7 @@ def test_missing_guardrails_are_not_flagged(spark):
 
 def test_power_recheck(kpi):
     r = inference.power_recheck(kpi).first()
-    assert tuple(r) == (2000, 0.574, 0.05, 0.8, 4.35)
+    assert tuple(r)[:5] == (2000, 0.574, 0.05, 0.8, 4.35)
 
 
 def test_required_sample_size(spark):

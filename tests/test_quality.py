@@ -16,6 +16,7 @@ HEALTHY = {name: {"raw_row_count": 10, "mart_kpi_group_count": 3}.get(name, 0) f
 
 
 def test_a_healthy_report_passes(spark):
+    quality.enforce_values({**HEALTHY, "staging_rejects": 6})
     gate = quality.dq_gate(report_of(spark, {**HEALTHY, "staging_rejects": 6}))
     assert gate.count() == 11 and gate.filter("passed = 0").count() == 0
     quality.enforce(gate)
@@ -26,6 +27,9 @@ def test_failures_and_missing_checks_are_named(spark):
     del values["orphan_fact_users"]
     with pytest.raises(quality.GateFailure) as failure:
         quality.enforce(quality.dq_gate(report_of(spark, values)))
+    with pytest.raises(quality.GateFailure) as at_hand:
+        quality.enforce_values(values)
+    assert str(at_hand.value) == str(failure.value)
     assert str(failure.value) == (
         "completed_without_started: value 2 violates policy; "
         "mart_kpi_group_count: value 2 violates policy; "
@@ -37,7 +41,7 @@ def tables(raw):
     staged = staging.stage(raw)
     rollup = warehouse.user_rollup(staged)
     funnel = warehouse.user_funnel(rollup)
-    return {"raw": raw, "rejects": staging.rejects(raw), "staged": staged,
+    return {"raw": raw, "staged": staged,
             "dim_user": warehouse.dim_user(rollup), "user_funnel": funnel, "kpi": marts.kpi_by_group(funnel)}
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -130,9 +131,12 @@ def test_evaluation_reaches_the_verdict(spark, run, tmp_path):
     assert stats.power_recheck.achievable_mde_pp_at_80pct_power == 4.35
     assert stats.recommendation.guardrail_regression_count_C_vs_A == 1
     assert stats.recommendation.verdict == "SHIP WITH MITIGATION"
-    bundle = spark.read.json(f"{tmp_path}/dashboard").first()
-    assert len(bundle.step_dropoff) == 25 and len(bundle.daily_funnel) == 30
-    assert bundle.stats.srm_check.passes is True
+    assert pairs[("A", "B")].diff_ci_95 == [0.1269, 0.1851]
+    assert "4.3 points" in stats.power_recheck.interpretation or "4.4 points" in stats.power_recheck.interpretation
+    bundle = spark.read.json(f"{tmp_path}/dashboard")
+    sections = {r.section: r["count"] for r in bundle.groupBy("section").count().collect()}
+    assert sections["step_dropoff"] == 25 and sections["daily_funnel"] == 30 and sections["kpi_by_group"] == 3
+    assert json.loads(bundle.filter("section = 'stats'").first().row)["srm_check"]["passes"] is True
 
 
 def test_a_failed_run_is_recorded_and_not_published(spark, envelope, run, tmp_path):
@@ -146,6 +150,39 @@ def test_a_failed_run_is_recorded_and_not_published(spark, envelope, run, tmp_pa
         refresh.published(spark, root, "mart_kpi_by_group")
 
 
+def test_staging_is_laid_out_by_date(spark, run):
+    root, _ = run
+    folder = refresh.latest_folder(spark, root)
+    plan = spark.read.parquet(f"{folder}/stg_events").filter("event_date = DATE'2026-06-16'")
+    assert "PartitionFilters: [isnotnull(event_date" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_landed_raw_layer_is_read_in_place(spark, envelope, tmp_path):
+    rows = [event(f"{name}{i}", f"u_{i}", name, f"2026-06-15T10:0{at}:00", "ABC"[i % 3])
+            for i in range(6) for at, name in enumerate(("app_installed", "onboarding_started"))]
+    land(envelope(rows), "x").write.parquet(str(tmp_path / "raw"))
+    tables = refresh.refresh(spark.read.parquet(str(tmp_path / "raw")), str(tmp_path / "out"), landed=True)
+    assert tables["stg_events"].count() == 12
+    assert not os.path.exists(f"{refresh.latest_folder(spark, str(tmp_path / 'out'))}/raw_events")
+
+
+def test_superseded_and_failed_runs_are_pruned(spark, envelope, tmp_path):
+    root = str(tmp_path)
+    good = envelope([event(f"{name}{i}", f"u_{i}", name, f"2026-06-15T10:0{at}:00", "ABC"[i % 3])
+                     for i in range(3) for at, name in enumerate(("app_installed", "onboarding_started"))])
+    for rows in (good, good.limit(0), good):
+        try:
+            refresh.refresh(rows, root)
+        except GateFailure:
+            pass
+    runs = {r.run_id: r.status for r in run_log.read_runs(spark, f"{root}/run_history").collect()}
+    latest = os.path.basename(refresh.latest_folder(spark, root))
+    assert set(refresh.prune_runs(spark, root, keep=1)) == set(runs) - {latest}
+    assert os.listdir(f"{root}/runs") == [latest]
+    assert refresh.published(spark, root, "mart_kpi_by_group").count() == 3
+    assert refresh.prune_runs(spark, root, keep=1) == []
+
+
 def statuses(spark, root):
     runs = run_log.read_runs(spark, f"{root}/run_history").orderBy("started_at")
     return [(r.status, r.retries_used) for r in runs.collect()]

@@ -96,10 +96,11 @@ def test_event_catalog_file(spark, tmp_path):
         "required_envelope_fields": list(REQUIRED),
     }))
     catalog = designs.read_event_catalog(spark, str(path))
-    assert designs.catalog_dict(catalog) == EVENT_CATALOG
+    names = {}
+    for row in catalog.collect():
+        names.setdefault(row.event_name, []).extend([row.property] * (row.property is not None))
+    assert {event: tuple(keys) for event, keys in names.items()} == EVENT_CATALOG
     assert [r.field for r in designs.read_required_fields(spark, str(path)).collect()] == list(REQUIRED)
-    with pytest.raises(designs.DesignError):
-        designs.catalog_dict(catalog, limit=5)
 
 
 def test_layer_partitioned_by_a_hot_date(spark, tmp_path):
@@ -175,22 +176,35 @@ def test_no_runs_no_health_and_unknown_status(spark):
         monitoring.run_record(spark, "x", datetime.now(), datetime.now(), "fine")
 
 
-def test_bundle_refuses_what_does_not_fit_and_rows_take_it(spark):
+def test_bundle_is_written_row_by_row(spark, tmp_path):
     mart = spark.range(50).select(F.col("id").alias("test_group"))
     marts = {
         "kpi_by_group": mart, "guardrails_by_group": mart,
         "step_dropoff": mart.selectExpr("test_group", "1 AS step_number", "'x' AS step_name"),
-        "daily_funnel": mart.selectExpr("DATE'2026-01-01' AS install_date", "test_group"),
+        "daily_funnel": mart.selectExpr("CAST(NULL AS DATE) AS install_date", "test_group", "CAST(NULL AS DOUBLE) AS rate"),
     }
     stats = spark.range(1).select(F.lit("v").alias("verdict"))
-    document = as_dicts(documents.export_bundle(marts, stats))[0]
-    assert [r["test_group"] for r in document["kpi_by_group"]] == list(range(50))
-    assert document["stats"] == {"verdict": "v"}
-    with pytest.raises(ValueError, match="bundle_rows"):
-        documents.export_bundle(marts, stats, limit=49)
-    rows = documents.bundle_rows(marts)
-    assert rows.count() == 200
-    assert json.loads(rows.filter("section = 'daily_funnel'").first().row)["install_date"] == "2026-01-01"
+    path = documents.export_bundle(marts, stats, str(tmp_path / "bundle"))
+    rows = documents.read_bundle(spark, path).collect()
+    assert len(rows) == 201
+    kpi = sorted(json.loads(r.row)["test_group"] for r in rows if r.section == "kpi_by_group")
+    assert kpi == list(range(50))
+    daily = next(r for r in rows if r.section == "daily_funnel")
+    assert set(json.loads(daily.row)) == {"install_date", "test_group", "rate"}
+    assert json.loads(daily.sort_key)["install_date"] is None
+    assert [json.loads(r.row) for r in rows if r.section == "stats"] == [{"verdict": "v"}]
+
+
+def test_scratch_tables_can_be_cleared(spark, tmp_path):
+    from armlens.session import clear_scratch, drop_path, scratch_path
+    from armlens.sources.layers import through_scratch
+
+    clear_scratch(spark)
+    kept = through_scratch(spark.range(5), "numbers")
+    assert kept.count() == 5
+    scratch_path(spark, "never_written")
+    assert clear_scratch(spark) == 1 and clear_scratch(spark) == 0
+    assert drop_path(spark, str(tmp_path / "nothing")) is False
 
 
 def test_assignment_is_balanced_by_index_and_close_by_hash(spark):

@@ -125,18 +125,27 @@ def test_contract_violations_name_each_finding(landed):
 def test_layers_add_up_after_dirty_injection(landed):
     raw = landed([event(f"e{i}") for i in range(20)])
     dirty = inject_dirty(raw)
-    staged, rejected = staging.stage(dirty), staging.rejects(dirty)
-    row = staging.reconciliation(dirty, staged, rejected).first()
+    row = staging.reconciliation(dirty, staging.stage(dirty)).first()
+    assert staging.rejects(dirty).count() == 6
     assert (row.landed, row.staged, row.rejected, row.duplicates, row.balanced) == (29, 20, 6, 3, 1)
     assert dirty.filter("_source_file = 'dirty_injection_dup'").count() == 3
+    none = staging.reconciliation(raw.limit(0), staging.stage(raw.limit(0))).first()
+    assert (none.landed, none.staged, none.rejected, none.duplicates, none.balanced) == (0, 0, 0, 0, 1)
 
 
-def test_corrupt_arm_takes_the_first_rows_or_all(landed):
+def test_corrupt_arm_spoils_all_rows(landed):
     raw = landed([event(f"e{i}") for i in range(20)])
-    assert corrupt_arm(raw, 5).count() == 5
+    assert corrupt_arm(raw).count() == 20
     assert staging.stage(corrupt_arm(raw)).count() == 0
 
 
+def test_strict_null_refuses_fewer_rows(landed):
+    raw = landed([event("a"), event("b", arm=None), event("c", arm="Z"), event(None), event("d", at="zzz")])
+    counted = raw.agg(F.count_if(staging.refused()).alias("default"), F.count_if(staging.refused(True)).alias("strict")).first()
+    assert (counted.default, counted.strict) == (4, 2)
+    assert staging.rejects(raw, strict_null=True).count() == 2
+
+
 def test_a_hot_id_is_cut_down_before_the_shuffle(spark):
     from armlens.domain import ENVELOPE
 
