@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import armlens
 from armlens.session import pin, scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -21,12 +25,30 @@ ALPHANUMERIC = np.zeros(256, bool)
 ALPHANUMERIC[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
+_SHIPPED: set[str] = set()  # application ids
+
+
 def prepared(spark: SparkSession) -> SparkSession:
-    """Session settings of the library, and Arrow batches small enough for long texts."""
+    """Session settings of the library, Arrow batches small enough for long texts, and the library
+    itself for Python workers that could not import it."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    application = spark.sparkContext.applicationId
+    if application not in _SHIPPED:
+        _SHIPPED.add(application)
+        spark.sparkContext.addPyFile(_archive())
     return pin(spark)
 
 
+def _archive() -> str:
+    """This package as a zip file, which Spark sends to the executors."""
+    package = Path(armlens.__file__).parent
+    path = Path(tempfile.mkdtemp(prefix="armlens-code-"), "armlens.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    return str(path)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{folder}/{name}.parquet")
 

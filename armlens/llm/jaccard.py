@@ -144,12 +144,33 @@ class Sets:
         values, ids, counts = np.unique(hashes, return_inverse=True, return_counts=True)
         shared = counts[ids] > 1  # the others are in no intersection
         self.sizes = np.diff(bounds)
+        # Each set's shingles from rare to frequent; those no other set has come first and are left out.
+        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)[shared]
+        by = np.lexsort((ids[shared], counts[ids[shared]], owner))
+        self.ids = ids[shared][by]
         self.bounds = np.concatenate(([0], np.cumsum(shared)))[bounds]
-        self.ids = ids[shared]
+        self._index(percent)
         self.mark = np.zeros(len(values) + 1, bool)
         self.percent = percent
         self.reach = 1 - percent / 100 + 1e-9
 
+    def _index(self, percent: int) -> None:
+        """Who has a shingle among the rarest so many that linked sets have to meet in one of them."""
+        alone = self.sizes - np.diff(self.bounds)
+        long = np.clip(self.sizes - -(-self.sizes * percent // 100) + 1 - alone, 0, np.diff(self.bounds))
+        self.prefix = self.bounds[:-1] + long
+        at = np.repeat(self.bounds[:-1] - np.concatenate(([0], np.cumsum(long)))[:-1], long) + np.arange(long.sum())
+        owner = np.repeat(np.arange(len(self.sizes)), long)
+        by = np.lexsort((owner, self.ids[at]))
+        self.holders, self.held = owner[by], self.ids[at][by]
+
+    def near(self, x: int) -> np.ndarray:
+        """Sets that may be linked with x."""
+        own = self.ids[self.bounds[x]:self.prefix[x]]
+        low, high = np.searchsorted(self.held, own), np.searchsorted(self.held, own, "right")
+        parts = [self.holders[a:b] for a, b in zip(low.tolist(), high.tolist())]
+        return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+
     def common(self, x: int, others: np.ndarray) -> np.ndarray:
         """Sizes of the intersections of x with each of ``others``."""
         low, high = self.bounds[others], self.bounds[others + 1]
@@ -194,22 +215,28 @@ class Sets:
         yield from self._search(members, table)
 
     def _search(self, members: np.ndarray, table: np.ndarray) -> Iterator[tuple[int, int]]:
-        open_ = np.arange(len(members))
-        while len(open_):
-            queue, open_ = [open_[0]], open_[1:]
-            while queue and len(open_):
+        """From set to set; the rarest shingles and the distances to the pivots tell which to compare."""
+        place = np.full(len(self.sizes), -1)
+        place[members] = np.arange(len(members))
+        unseen = np.ones(len(members), bool)
+        for seed in range(len(members)):
+            if not unseen[seed]:
+                continue
+            unseen[seed] = False
+            queue = [seed]
+            while queue:
                 x = queue.pop()
-                window = np.abs(table[open_] - table[x]).max(1) <= self.reach
-                near = open_[window]
-                if not len(near):
+                at = place[self.near(int(members[x]))]
+                at = at[at >= 0]
+                at = at[unseen[at]]
+                at = at[np.abs(table[at] - table[x]).max(1) <= self.reach] if len(at) else at
+                if not len(at):
                     continue
-                found = self.linked(int(members[x]), members[near])
-                if len(found):
-                    got = near[np.isin(members[near], found)]
-                    for y in got:
-                        yield int(members[x]), int(members[y])
-                    open_ = open_[~np.isin(open_, got)]
-                    queue.extend(got.tolist())
+                found = place[self.linked(int(members[x]), members[at])]
+                for y in found.tolist():
+                    yield int(members[x]), int(members[y])
+                unseen[found] = False
+                queue.extend(found.tolist())
 
 
 def region_links(percent: int):
@@ -228,8 +255,9 @@ def block_links(percent: int):
     def run(rows: pa.Table) -> pa.Table:
         nodes, sets = _loaded(rows, percent)
         role = rows["role"].to_numpy()
-        block, visitors = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
-        pairs = ((x, int(y)) for x in visitors.tolist() for y in (sets.linked(x, block) if len(block) else ()))
+        visitors = np.flatnonzero(role == 1)
+        hosts = lambda x: (n := sets.near(x))[role[n] == 0]
+        pairs = ((x, y) for x in visitors.tolist() if len(n := hosts(x)) for y in sets.linked(x, n).tolist())
         return _links(nodes, pairs)
 
     return run
@@ -384,16 +412,26 @@ def _rows(kind: int, a: np.ndarray, b: np.ndarray, c: np.ndarray | None = None)
 
 
 def candidates(found: DataFrame) -> DataFrame:
-    """Links (a, b) of sets that share cells, without the sets that share too few to have a partner."""
+    """Links (a, b) of sets that share cells, few enough to keep regions small and enough to lose none.
+
+    Sets that share fewer cells than they need drop out. Of the others each leaves aside the most
+    frequent of its cells, one less than it has to share with a partner: with all cells in one order, a
+    pair that shares that many still meets in a rarer one. So a passage that many documents have ties
+    no region together.
+    """
     members = found.filter(F.col("kind") == MEMBER).select(
-        F.col("a").alias("cell"), F.col("b").alias("node"), F.col("c").alias("band")).distinct()
-    needs = found.filter(F.col("kind") == NEED).groupBy(F.col("a").alias("node"), F.col("b").alias("band")).agg(
-        F.min("c").alias("need"))
+        F.col("a").alias("cell"), F.col("b").alias("node"), F.col("c").cast("int").alias("band")).distinct()
+    needs = found.filter(F.col("kind") == NEED).groupBy(
+        F.col("a").alias("node"), F.col("b").cast("int").alias("band")).agg(F.min("c").cast("int").alias("need"))
     enough = members.groupBy("node", "band").agg(F.count(F.lit(1)).alias("shared")).join(needs, ["node", "band"]).filter(
-        F.col("shared") >= F.col("need")).select("node", "band")
-    left = written(members.join(enough, ["node", "band"], "left_semi"), "members")
-    stars = left.groupBy("cell").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    return left.join(stars, "cell").select("a", F.col("node").alias("b")).filter(F.col("a") != F.col("b")).distinct()
+        F.col("shared") >= F.col("need")).select("node", "band", "need")
+    left = written(members.join(enough, ["node", "band"]), "members")
+    often = left.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    place = F.row_number().over(Window.partitionBy("node", "band").orderBy(F.desc("n"), F.desc("cell")))
+    rare = written(left.join(often, "cell").withColumn("place", place).filter(F.col("place") >= F.col("need"))
+                   .select("cell", "node"), "rare_members")
+    stars = rare.groupBy("cell").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    return rare.join(stars, "cell").select("a", F.col("node").alias("b")).filter(F.col("a") != F.col("b")).distinct()
 
 
 def _sets(shingle: int):
