@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -42,7 +44,9 @@ def prepared(spark: SparkSession) -> SparkSession:
 def _archive() -> str:
     """This package as a zip file, which Spark sends to the executors."""
     package = Path(armlens.__file__).parent
-    path = Path(tempfile.mkdtemp(prefix="armlens-code-"), "armlens.zip")
+    folder = tempfile.mkdtemp(prefix="armlens-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = Path(folder, "armlens.zip")
     with zipfile.ZipFile(path, "w") as archive:
         for source in sorted(package.rglob("*.py")):
             archive.write(source, source.relative_to(package.parent))

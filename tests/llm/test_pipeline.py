@@ -20,11 +20,8 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_stages(spark):
     docs = table(spark, FOLDER, "documents")
-    stages = dict(corpus_pipeline.STAGES)
-    state = {name: docs}
     for name, stage in corpus_pipeline.STAGES:
-        state[name] = written(stage(spark, docs, FOLDER), "stage")
-        before, docs = docs, state[name]
+        before, docs = docs, written(stage(spark, docs, FOLDER), "stage")
         rows = [(r["doc_id"], r["text"]) for r in before.collect()]
         if name == "packing":
             break
@@ -44,7 +41,7 @@ def test_stages(spark):
             items = [(r["item_id"], r["text"]) for r in table(spark, FOLDER, "benchmark").collect()]
             assert kept == {r[0] for r in plain_hits(rows, items, 10) if not r[-1]}
     assert {r["doc_id"] for r in docs.collect()} == {i for i, _ in rows}
-    assert len(stages) == len(corpus_pipeline.STAGES) == 5
+    assert len(dict(corpus_pipeline.STAGES)) == len(corpus_pipeline.STAGES) == 5
     assert corpus_pipeline.ORACLE_SQL is None
     assert corpus_pipeline.run(spark, FOLDER).count() == docs.count()
 
