@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -56,6 +58,7 @@ def scratch_root(spark: SparkSession) -> str:
     application = spark.sparkContext.applicationId
     if application not in _OWN_FOLDERS:
         _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="armlens-")
+        atexit.register(shutil.rmtree, _OWN_FOLDERS[application], ignore_errors=True)
     return _OWN_FOLDERS[application]
 
 
