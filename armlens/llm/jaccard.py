@@ -506,7 +506,8 @@ def join_similar(docs: DataFrame, ident: str = "doc_id", text: str = "text", shi
     members = regions.join(copies, "node", "left_anti")
     sized = members.groupBy("label").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
     members = members.join(sized, "label").select(F.col("label").alias("region"), "node", "size")
-    texts = rows.join(members.select("region", "node"), "node")
+    # Candidates grow with the corpus, so they are never broadcast, at no size.
+    texts = rows.join(members.select("region", "node").hint("merge"), "node")
     sets = texts.select("region", "node", "text").mapInArrow(
         _sets(shingle), "region bigint, node bigint, shingles binary")
     largest = sized.agg(F.max("size")).first()[0] or 0

@@ -33,13 +33,14 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that similar shingles link: the one with the smallest identifier."""
     groups = jaccard.join_similar(docs, shingle=5, percent=80)
     gone = groups.filter(~F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("gone"))
-    return docs.join(gone.distinct(), F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    # What goes grows with the corpus, so it is never broadcast, at no size.
+    return docs.join(gone.distinct().hint("merge"), F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
     documents, hits = decontamination.find_overlaps(docs, table(spark, sf_dir, "benchmark"), carry=True)
-    return documents.join(hits.select("row").distinct(), "row", "left_anti").select("document.*")
+    return documents.join(hits.select("row").distinct().hint("merge"), "row", "left_anti").select("document.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
