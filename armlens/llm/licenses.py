@@ -2,9 +2,11 @@
 
 A notice with at most ``k`` edits, cut into ``k + 1`` parts, has a part without an edit. The longest word
 of each part is therefore a seed: a text that holds the notice holds one of its seeds as it is. Texts
-without any seed are settled by plain substring search; around each seed of the others the notice is
-matched with at most ``k`` edits, and the match is reported with its place and edits. A map over the
-documents: nothing is shuffled.
+without any seed are settled by plain substring search. A seed tells where its notice begins and ends up
+to ``k`` letters, so every pair of word boundaries there is compared with the notice. Of all runs with at
+most ``k`` edits those with the fewest are reported first, with place and edits, and of the others what
+does not overlap: an edited notice stays beside a better copy. A map over the documents: nothing is
+shuffled.
 
 Null text is empty; empty texts have no words and no notices. Other columns are not read. An empty
 table gives no rows. A text is searched as a whole, whatever its length; repeats are all reported.
@@ -13,7 +15,7 @@ table gives no rows. A text is searched as a whole, whatever its length; repeats
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 
 import numpy as np
@@ -71,18 +73,66 @@ def seeds(notice: Notice) -> list[str]:
     return found
 
 
+def places(piece: str, text: str) -> list[int]:
+    """Where ``piece`` stands in ``text``, overlapping or not."""
+    found, at = [], text.find(piece)
+    while at >= 0:
+        found.append(at)
+        at = text.find(piece, at + 1)
+    return found
+
+
+def distance(a: str, b: str, most: int) -> int:
+    """Letters to insert, drop or change between both; any number above ``most`` if there are more."""
+    if abs(len(a) - len(b)) > most:
+        return most + 1
+    first, last = 0, 0
+    shorter = min(len(a), len(b))
+    while first < shorter and a[first] == b[first]:
+        first += 1
+    while last < shorter - first and a[-1 - last] == b[-1 - last]:
+        last += 1
+    a, b = a[first:len(a) - last], b[first:len(b) - last]
+    before = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+        if min(row) > most:
+            return most + 1
+        before = row
+    return before[-1]
+
+
+def apart(runs: dict[tuple[int, int], int], length: int) -> list[tuple[int, int, int]]:
+    """Runs (start, end, edits) that do not overlap, those with the fewest edits first."""
+    taken = []
+    for start, end in sorted(runs, key=lambda r: (runs[r], abs(r[1] - r[0] - length), r)):
+        at = bisect_left(taken, (start,))
+        if (at == 0 or taken[at - 1][1] <= start) and (at == len(taken) or taken[at][0] >= end):
+            taken.insert(at, (start, end, runs[start, end]))
+    return taken
+
+
+class _Letters(dict):
+    """Whether a character belongs to words, as the boundaries of the regex library see it."""
+
+    def __missing__(self, character: str) -> bool:
+        import regex
+
+        self[character] = known = regex.match(r"\w", character) is not None
+        return known
+
+
 class Finder:
     """Patterns and seeds, built once per task."""
 
     def __init__(self, phrases=PHRASES, notices=NOTICES):
-        import regex
-
         self.phrases = [(p.split(), re.compile(BETWEEN.join(w.encode() for w in p.split())), label)
                         for p, label in phrases]
-        self.notices = [(n, [s.encode() for s in seeds(n)],
-                         regex.compile(f"(?b)\\b(?:{regex.escape(n.words)}){{e<={n.edits}}}\\b"))
-                        for n in notices]
-        self.seeds = {s for _, own, _ in self.notices for s in own}
+        self.notices = [(n, [(s, at) for s in seeds(n) for at in places(s, n.words)]) for n in notices]
+        self.seeds = {s.encode() for _, own in self.notices for s, _ in own}
+        self.letters = _Letters()
 
     def search(self, lowered: bytes) -> tuple[list, list]:
         """Places of the phrases (word, label) and notices (start, end, edits, label, notice)."""
@@ -92,31 +142,50 @@ class Finder:
             return [], []
         found = list(WORD.finditer(lowered.decode("utf-8", "replace")))
         words = [m.group() for m in found]
-        places = []
+        exact = []
         for parts, _, label in phrases:
             n = len(parts)
-            places += [(i, label) for i, w in enumerate(words) if w == parts[0] and words[i:i + n] == parts]
+            exact += [(i, label) for i, w in enumerate(words) if w == parts[0] and words[i:i + n] == parts]
         matches = self._notices(words, found, held) if held else []
-        return sorted(places), sorted(matches)
+        return sorted(exact), sorted(matches)
 
     def _notices(self, words: list[str], found: list, held: set[bytes]) -> list:
         joined = " ".join(words)
         starts = np.cumsum([0] + [len(w) + 1 for w in words])[:-1].tolist()
-        out = set()
-        for notice, own, pattern in self.notices:
-            around = len(notice.words) + notice.edits + 1
-            done = -1
-            for at in sorted(m.start() for s in own if s in held for m in re.finditer(re.escape(s.decode()), joined)):
-                if at < done:
+        out = []
+        for notice, own in self.notices:
+            own = [(s, at) for s, at in own if s.encode() in held]
+            for start, end, edits in apart(self._runs(joined, notice, own), len(notice.words)):
+                first = bisect_right(starts, start) - 1
+                last = bisect_right(starts, end - 1) - 1
+                out.append((found[first].start(), found[last].end(), edits, notice.label, notice.words))
+        return out
+
+    def _runs(self, joined: str, notice: Notice, own: list[tuple[str, int]]) -> dict[tuple[int, int], int]:
+        """Edits of every run between word boundaries that has at most as many as the notice allows."""
+        runs, size, most = {}, len(notice.words), notice.edits
+        for seed, offset in own:
+            for at in places(seed, joined):
+                low = at - offset
+                begins = [i for i in range(max(0, low - most), min(at, low + most) + 1) if self._begins(joined, i)]
+                if not begins:
                     continue
-                low, high = max(0, at - around), min(len(joined), at + 2 * around)
-                for match in pattern.finditer(joined, low, high):
-                    first = bisect_right(starts, match.start()) - 1
-                    last = bisect_right(starts, match.end() - 1) - 1
-                    out.add((found[first].start(), found[last].end(), sum(match.fuzzy_counts),
-                             notice.label, notice.words))
-                    done = max(done, match.end())
-        return list(out)
+                high = min(len(joined), low + size + most)
+                ends = [i for i in range(max(at + len(seed), low + size - most), high + 1) if self._ends(joined, i)]
+                for run in ((i, j) for i in begins for j in ends):
+                    if run not in runs:
+                        runs[run] = distance(joined[run[0]:run[1]], notice.words, most)
+        return {run: edits for run, edits in runs.items() if edits <= most}
+
+    def _begins(self, text: str, at: int) -> bool:
+        if text[at] == " ":
+            return False
+        return self.letters[text[at]] if not at else self.letters[text[at]] != self.letters[text[at - 1]]
+
+    def _ends(self, text: str, at: int) -> bool:
+        if text[at - 1] == " ":
+            return False
+        return self.letters[text[at - 1]] if at == len(text) else self.letters[text[at]] != self.letters[text[at - 1]]
 
 
 PLACE = pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string())]))

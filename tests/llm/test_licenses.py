@@ -57,6 +57,48 @@ def test_notices_with_allowed_edits_are_found_where_they_stand():
             assert any(abs(m[0] - len(before)) <= notice.edits + 3 and m[2] <= notice.edits for m in hit), (whole, hit)
 
 
+def scanned(text, notice):
+    """All runs between word boundaries, by their edits, without seeds."""
+    joined = " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower()))
+    bounds = [m.start() for m in re.finditer(r"\b", joined)]
+    size = len(notice.words)
+    runs = {(i, j): d for i in bounds for j in bounds if i < j and abs(j - i - size) <= notice.edits
+            and joined[i] != " " != joined[j - 1]
+            and (d := licenses.distance(joined[i:j], notice.words, notice.edits)) <= notice.edits}
+    taken = []
+    for run in sorted(runs, key=lambda r: (runs[r], abs(r[1] - r[0] - size), r)):
+        if all(run[1] <= a or run[0] >= b for a, b, _ in taken):
+            taken.append((*run, runs[run]))
+    return sorted(taken)
+
+
+def test_an_edited_notice_before_a_better_copy_is_found():
+    mozilla = [m for m in licenses.Finder().search(b"mozila public license or the mozilla public license")[1] if m[3] == "mpl"]
+    assert [m[:3] for m in mozilla] == [(0, 21, 1), (29, 51, 0)]
+
+
+def test_several_notices_of_a_text_are_those_of_a_plain_scan():
+    rng = random.Random(12)
+    finder = licenses.Finder()
+    for _ in range(60):
+        parts = []
+        for notice in (rng.choice(licenses.NOTICES) for _ in range(rng.randint(2, 6))):
+            text = list(notice.words)
+            for _ in range(rng.randint(0, notice.edits + 1)):
+                at = rng.randrange(len(text))
+                text[at:at + rng.randint(0, 1)] = rng.choice(("", "x", "\u00e9", " "))
+            parts += ["".join(text)] * rng.randint(1, 2) + rng.choice(([], ["or the"], [notice.words], ["in c by w1"]))
+        whole = " ".join(" ".join(parts).split())
+        _, matches = finder.search(whole.encode())
+        want = [(a, b, d, n.label, n.words) for n in licenses.NOTICES for a, b, d in scanned(whole, n)]
+        assert matches == sorted(want), whole
+
+
+def test_distance():
+    assert [licenses.distance(a, b, 2) for a, b in (("abc", "abc"), ("abc", "abd"), ("abc", "bcd"), ("", "ab"))] == [0, 1, 2, 2]
+    assert licenses.distance("abcdef", "fedcba", 2) > 2 and licenses.distance("a", "abcd", 2) > 2
+
+
 def test_seeds_are_never_short_words():
     for notice in licenses.NOTICES:
         assert len(licenses.seeds(notice)) == notice.edits + 1
