@@ -1,8 +1,9 @@
 """License notices: exact phrases, and notices with a few edits by seeds and bounded-error matching.
 
-A notice with at most ``k`` edits, cut into ``k + 1`` parts, has a part without an edit. The longest word
-of each part is therefore a seed: a text that holds the notice holds one of its seeds as it is. Texts
-without any seed are settled by plain substring search. A seed tells where its notice begins and ends up
+A notice with at most ``k`` edits, cut into ``k + 1`` pieces, has a piece without an edit. The pieces,
+spaces included, are therefore seeds: a text that holds the notice holds one of its seeds as it is, once
+its words are parted by single spaces. So short notices are searched with edits like long ones, the
+contract's phrases among them. Texts without any seed are settled by substring search. A seed tells where its notice begins and ends up
 to ``k`` letters, so every pair of word boundaries there is compared with the notice. Of all runs with at
 most ``k`` edits those with the fewest are reported first, with place and edits, and of the others what
 does not overlap: an edited notice stays beside a better copy. A map over the documents: nothing is
@@ -28,6 +29,7 @@ from armlens.llm.common import ALPHANUMERIC, prepared, slices, text_bytes, word_
 SLICE_BYTES = 1 << 20
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 BETWEEN = rb"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+SPACED = bytes(b if re.match(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]", bytes([b])) else 0x20 for b in range(256))
 
 # Phrases and their labels.
 PHRASES = (
@@ -46,6 +48,10 @@ class Notice:
 
 
 NOTICES = (
+    Notice("gnu general public license", "gpl"),
+    Notice("apache license", "apache"),
+    Notice("cc by", "cc-by", 1),
+    Notice("mit license", "mit", 1),
     Notice("released under the mit license", "mit", 1),
     Notice("licensed under the apache license version", "apache"),
     Notice("licensed under the gnu general public license", "gpl"),
@@ -58,19 +64,18 @@ NOTICES = (
     Notice("permission is hereby granted free of charge to any person", "mit", 3),
     Notice("unencumbered software released into the public domain", "unlicense", 3),
 )
-SEED = 6  # letters of a seed at least; shorter words are everywhere
+# A notice of these words alone would be found everywhere.
+EVERYDAY = frozenset("a an and any as at be by for from in is it of on or that the this to under use with".split())
 
 
 def seeds(notice: Notice) -> list[str]:
-    """The longest word of each of ``edits + 1`` parts of nearly equal length."""
-    words, parts = notice.words.split(), notice.edits + 1
-    if len(words) < parts:
-        raise ValueError(f"{notice.words!r} has fewer words than parts for {notice.edits} edits")
-    cuts = np.array_split(np.arange(len(words)), parts)
-    found = [max((words[i] for i in cut), key=len) for cut in cuts]
-    if min(map(len, found)) < SEED:
-        raise ValueError(f"a part of {notice.words!r} has no word of {SEED} letters: allow fewer edits")
-    return found
+    """``edits + 1`` pieces of nearly equal length, spaces included; together they are the notice."""
+    words, parts = notice.words, notice.edits + 1
+    if len(words) < 2 * parts:
+        raise ValueError(f"{words!r} is too short for {notice.edits} edits")
+    if EVERYDAY.issuperset(words.split()):
+        raise ValueError(f"{words!r} has only everyday words")
+    return ["".join(cut) for cut in np.array_split(list(words), parts)]
 
 
 def places(piece: str, text: str) -> list[int]:
@@ -130,35 +135,44 @@ class Finder:
     def __init__(self, phrases=PHRASES, notices=NOTICES):
         self.phrases = [(p.split(), re.compile(BETWEEN.join(w.encode() for w in p.split())), label)
                         for p, label in phrases]
-        self.notices = [(n, [(s, at) for s in seeds(n) for at in places(s, n.words)]) for n in notices]
+        self.notices = []
+        for notice in notices:
+            own = seeds(notice)
+            begin = np.cumsum([0] + [len(s) for s in own]).tolist()
+            self.notices.append((notice, list(zip(own, begin))))
         self.seeds = {s.encode() for _, own in self.notices for s, _ in own}
         self.letters = _Letters()
 
     def search(self, lowered: bytes) -> tuple[list, list]:
         """Places of the phrases (word, label) and notices (start, end, edits, label, notice)."""
-        held = {s for s in self.seeds if s in lowered}
+        spaced = b" ".join(lowered.translate(SPACED).split())
+        held = {s for s in self.seeds if s in spaced}
         phrases = [p for p in self.phrases if p[1].search(lowered)]
         if not held and not phrases:
             return [], []
+        joined = spaced.decode("utf-8", "replace")
+        runs = self._notices(joined, held)
+        if not runs and not phrases:
+            return [], []
         found = list(WORD.finditer(lowered.decode("utf-8", "replace")))
         words = [m.group() for m in found]
         exact = []
         for parts, _, label in phrases:
             n = len(parts)
             exact += [(i, label) for i, w in enumerate(words) if w == parts[0] and words[i:i + n] == parts]
-        matches = self._notices(words, found, held) if held else []
+        starts = np.cumsum([0] + [len(w) + 1 for w in words])[:-1].tolist()
+        matches = []
+        for start, end, edits, notice in runs:
+            first, last = bisect_right(starts, start) - 1, bisect_right(starts, end - 1) - 1
+            matches.append((found[first].start(), found[last].end(), edits, notice.label, notice.words))
         return sorted(exact), sorted(matches)
 
-    def _notices(self, words: list[str], found: list, held: set[bytes]) -> list:
-        joined = " ".join(words)
-        starts = np.cumsum([0] + [len(w) + 1 for w in words])[:-1].tolist()
+    def _notices(self, joined: str, held: set[bytes]) -> list[tuple[int, int, int, Notice]]:
         out = []
         for notice, own in self.notices:
             own = [(s, at) for s, at in own if s.encode() in held]
-            for start, end, edits in apart(self._runs(joined, notice, own), len(notice.words)):
-                first = bisect_right(starts, start) - 1
-                last = bisect_right(starts, end - 1) - 1
-                out.append((found[first].start(), found[last].end(), edits, notice.label, notice.words))
+            if own:
+                out += [(*run, notice) for run in apart(self._runs(joined, notice, own), len(notice.words))]
         return out
 
     def _runs(self, joined: str, notice: Notice, own: list[tuple[str, int]]) -> dict[tuple[int, int], int]:

@@ -94,6 +94,23 @@ def test_several_notices_of_a_text_are_those_of_a_plain_scan():
         assert matches == sorted(want), whole
 
 
+@pytest.mark.parametrize("text, labels", [
+    ("Distributed under the GNU General Public Licence", "gpl"), ("see the Apache\nLicence 2.0", "apache"),
+    ("under the MIT -- Licence", "mit"), ("GNU genral public license", "gpl"), ("MITlicense", "mit"), ("mit licens", "mit"),
+    ("apachi licence", "apache"), ("CCBY 4.0", "cc-by"), ("under cc-bye", "cc-by"), ("cd by", "cc-by"),
+    ("made by the general public", ""), ("a license of the mint", ""), ("by and by", ""), ("under apachi licences", ""),
+])
+def test_short_phrases_are_found_with_edits(text, labels):
+    assert ",".join(sorted({m[3] for m in licenses.Finder().search(text.lower().encode())[1]})) == labels
+
+
+def test_seeds_are_pieces_of_the_whole_notice():
+    assert all("".join(licenses.seeds(n)) == n.words for n in licenses.NOTICES)
+    assert licenses.seeds(licenses.Notice("mit license", "mit", 1)) == ["mit li", "cense"]
+    with pytest.raises(ValueError):
+        licenses.seeds(licenses.Notice("mit", "mit", 1))
+
+
 def test_distance():
     assert [licenses.distance(a, b, 2) for a, b in (("abc", "abc"), ("abc", "abd"), ("abc", "bcd"), ("", "ab"))] == [0, 1, 2, 2]
     assert licenses.distance("abcdef", "fedcba", 2) > 2 and licenses.distance("a", "abcd", 2) > 2
