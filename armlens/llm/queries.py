@@ -53,7 +53,7 @@ def op3_decontamination(spark, folder):
 def op4_secret_scan(spark, folder):
     """The owner of a document is its source; a source's documents in one language are a repository."""
     documents, spans = secrets.find_secrets(
-        table(spark, folder, "documents"), repository=F.concat_ws("/", "source", "lang"))
+        table(spark, folder, "documents"), repository=F.concat_ws("/", "source", "lang"), wide=secrets.Wide())
     return secrets.summarised(documents, spans)
 
 

@@ -1,9 +1,13 @@
 """Secret scan with corpus-wide ownership: who else has this value?
 
 Candidates are found by patterns in every text. Their values are hashed and counted over the corpus by
-distinct owners and repositories: a value that several owners have is a widely copied example, one that
-a single owner has looks live. Candidates of the plain kinds always stay and carry that verdict as
-counts; those of the further kinds are reported only where they look live.
+distinct owners and repositories: a value that is widely copied is an example, any other looks live.
+
+With ``wide`` (the query) copies of one document, by its text with white space made even, are one witness,
+under the smallest of their owners and repositories: a document mirrored into another source proves
+nothing. Owners, repositories and texts of the witnesses decide together, and every span is reported with
+its counts and verdict. Without it every document is a witness, ``copied`` owners make an example, and
+spans of the further kinds are reported only where they look live.
 
 All of it is DataFrame operations. Matches and the lengths of the text between them are stored once,
 without the texts; places follow from a running sum per document. Counting first drops repeats of a
@@ -22,7 +26,16 @@ from pyspark.sql import functions as F
 
 from armlens.llm.common import prepared, text_or_empty, written
 
-COPIED = 2  # owners from which on a value is an example
+COPIED = 2  # owners from which on a value is an example, without Wide
+
+
+@dataclass(frozen=True)
+class Wide:
+    """A value that reaches any of these among distinct texts is widely copied."""
+
+    owners: int = 3
+    repositories: int = 5
+    texts: int = 20
 
 
 @dataclass(frozen=True)
@@ -51,8 +64,8 @@ FURTHER = (
 
 
 def scan(docs: DataFrame, kinds: tuple[Kind, ...], ident: str, text: str, owner: Column, repository: Column) -> DataFrame:
-    """A stored row per document: row number, identifier, owner, repository and per kind its matches
-    with the lengths of what lies between them."""
+    """A stored row per document: row number, identifier, owner, repository, per kind its matches with
+    the lengths of what lies between them, and the hash of a text with matches."""
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(ident).alias("ident"),
         F.coalesce(owner.cast("string"), F.lit("")).alias("owner"),
@@ -69,19 +82,21 @@ def scan(docs: DataFrame, kinds: tuple[Kind, ...], ident: str, text: str, owner:
         for i, k in enumerate(kinds)]
     return written(rows.select(
         "row", "ident", "owner", "repository",
-        F.filter(F.array(*found), lambda f: F.size(f["matches"]) > 0).alias("found")), "matches")
+        F.filter(F.array(*found), lambda f: F.size(f["matches"]) > 0).alias("found"),
+        F.when(F.greatest(F.lit(0), *[F.size(f"of_{k.name}") for k in kinds]) > 0,
+               F.sha2(F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")), 256)).alias("content")), "matches")
 
 
 def candidates(scanned: DataFrame, kinds: tuple[Kind, ...]) -> DataFrame:
-    """A row per match that passes: row, owner, repository, kind, start, end, value."""
-    each = scanned.select("row", "owner", "repository", F.explode("found").alias("f")).select(
-        "row", "owner", "repository", F.col("f.kind").alias("kind"),
+    """A row per match that passes: row, owner, repository, content, kind, start, end, value."""
+    each = scanned.select("row", "owner", "repository", "content", F.explode("found").alias("f")).select(
+        "row", "owner", "repository", "content", F.col("f.kind").alias("kind"),
         F.posexplode(F.arrays_zip(F.col("f.matches").alias("match"), F.col("f.between").alias("gap")))
         .alias("i", "m")).filter(F.col("m.match").isNotNull())
     size = F.length("m.match").cast("bigint")
     so_far = Window.partitionBy("row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("m.gap").cast("bigint") + size).over(so_far)
-    placed = each.select("row", "owner", "repository", "kind", (end - size).alias("start"), end.alias("end"),
+    placed = each.select("row", "owner", "repository", "content", "kind", (end - size).alias("start"), end.alias("end"),
                          F.col("m.match").alias("match"))
     value = F.col("match")
     for i, k in enumerate(kinds):
@@ -99,28 +114,44 @@ def ownership(found: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"))
 
 
+def witnesses(found: DataFrame) -> DataFrame:
+    """owners, repositories and texts of every distinct value, by its hash; equal texts count once."""
+    texts = found.groupBy("hash", "content").agg(F.min(F.struct("owner", "repository")).alias("of"))
+    distinct = texts.groupBy("hash", "of.owner", "of.repository").agg(F.count(F.lit(1)).alias("texts"))
+    by_owner = distinct.groupBy("hash", "owner").agg(
+        F.count(F.lit(1)).alias("repositories"), F.sum("texts").alias("texts"))
+    return by_owner.groupBy("hash").agg(
+        F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"), F.sum("texts").alias("texts"))
+
+
 def find_secrets(docs: DataFrame, ident: str = "doc_id", text: str = "text", owner: Column | None = None,
                  repository: Column | None = None, copied: int = COPIED,
-                 kinds: tuple[Kind, ...] = PLAIN + FURTHER) -> tuple[DataFrame, DataFrame]:
+                 kinds: tuple[Kind, ...] = PLAIN + FURTHER, wide: Wide | None = None) -> tuple[DataFrame, DataFrame]:
     """All documents (row, ident) and their reported spans (row, kind, start, end, value, owners,
-    repositories, live)."""
+    repositories, live; with ``wide`` also texts)."""
     prepared(docs.sparkSession)
     owner = F.col("source") if owner is None else owner
     scanned = scan(docs, kinds, ident, text, owner, owner if repository is None else repository)
     found = written(candidates(scanned, kinds).withColumn("hash", F.sha2("value", 256)), "candidates")
+    columns = ["row", "kind", "start", "end", "value", "owners", "repositories", "live"]
+    if wide:
+        common = ((F.col("owners") >= wide.owners) | (F.col("repositories") >= wide.repositories)
+                  | (F.col("texts") >= wide.texts))
+        spans = found.join(witnesses(found), "hash").withColumn("live", ~common).select(*columns, "texts")
+        return scanned.select("row", "ident"), spans
     judged = found.join(ownership(found), "hash").withColumn("live", F.col("owners") < copied)
     plain = F.element_at(F.array(*[F.lit(k.plain) for k in kinds]), F.col("kind") + 1)
-    spans = judged.filter(plain | F.col("live")).select(
-        "row", "kind", "start", "end", "value", "owners", "repositories", "live")
+    spans = judged.filter(plain | F.col("live")).select(*columns)
     return scanned.select("row", "ident"), spans
 
 
 def summarised(documents: DataFrame, spans: DataFrame, ident: str = "doc_id",
                kinds: tuple[Kind, ...] = PLAIN + FURTHER) -> DataFrame:
-    """One row of counts and span lists per document."""
+    """One row of counts and span lists per document; a span of a further kind that is copied says so."""
     name = F.element_at(F.array(*[F.lit(k.name) for k in kinds]), F.col("kind") + 1)
     plain = [i for i, k in enumerate(kinds) if k.plain]
-    line = F.concat_ws(":", name, F.col("start").cast("string"), F.col("end").cast("string"))
+    verdict = F.when(~F.col("live") & ~F.col("kind").isin(*plain), "copied")
+    line = F.concat_ws(":", name, F.col("start").cast("string"), F.col("end").cast("string"), verdict)
     listed = spans.groupBy("row").agg(
         *[F.count_if(F.col("kind") == i).alias(f"n_{kinds[i].name}") for i in plain],
         F.count_if("live").alias("n_live"), F.count_if(~F.col("live")).alias("n_copied"),

@@ -60,6 +60,33 @@ def test_ownership(spark):
     assert counts == {live: (1, 2, True), "sharedsecret": (2, 2, False)}
 
 
+def test_copies_of_a_document_are_one_witness_and_no_span_is_lost(spark):
+    mirrored, pair, example, hot = ("ghp_" + x * 20 for x in ("Zq", "Pr", "Yw", "Hk"))
+    rows = [(i, f"see  {mirrored}" if i else f"see\n{mirrored}", f"s{i}") for i in range(6)]
+    rows += [(10 + i, f"{pair} in {i}", f"s{i}") for i in range(2)]
+    rows += [(20 + i, f"{example} in {i}", f"s{i}") for i in range(3)]
+    rows += [(30 + i, f"{hot} in {i}", "s1") for i in range(20)]
+    rows += [(60, None, "s1"), (61, f"token = 'sharedsecret' {example}", None)]
+    docs = spark.createDataFrame([(i, t, s, "?", "?", "?") for i, t, s in rows], SCHEMA)
+    documents, spans = secrets.find_secrets(docs, repository=F.concat_ws("/", "source", "kind"), wide=secrets.Wide())
+    counts = {r["value"]: (r["owners"], r["repositories"], r["texts"], r["live"]) for r in spans.collect()}
+    assert counts == {mirrored: (1, 1, 1, True), pair: (2, 2, 2, True), example: (4, 4, 4, False),
+                      hot: (1, 1, 20, False), "sharedsecret": (1, 1, 1, True)}
+    out = {r["doc_id"]: r for r in secrets.summarised(documents, spans).collect()}
+    assert len(out) == len(rows)
+    assert (out[0]["spans"], out[1]["spans"], out[10]["spans"]) == ("marked:4:48", "marked:5:49", "marked:0:44")
+    assert (out[20]["spans"], out[20]["n_live"], out[20]["n_copied"]) == ("marked:0:44:copied", 0, 1)
+    assert out[30]["spans"] == "marked:0:44:copied" and out[60]["spans"] == ""
+    assert (out[61]["spans"], out[61]["n_live"], out[61]["n_copied"]) == ("assign:0:21,marked:23:67:copied", 1, 1)
+
+
+def test_plain_kinds_are_the_same_with_witnesses(spark):
+    rows = [(1, "token = 'sharedsecret' AKIA" + "B7" * 9, "s1"), (2, "token = 'sharedsecret'", "s2"), (3, "0f" * 12, None)]
+    docs = spark.createDataFrame([(i, t, s, "?", "?", "?") for i, t, s in rows], SCHEMA)
+    out = secrets.summarised(*secrets.find_secrets(docs, wide=secrets.Wide())).collect()
+    assert {r["doc_id"]: r["spans"] for r in out} == {i: line(plain(t)) for i, t, _ in rows}
+
+
 def test_empty_table(spark):
     assert scanned(spark, []) == {}
 
