@@ -3,13 +3,14 @@
 A document's strength is linear in features of its whole text. For a pair of a better and a worse
 labelled document the chance that the better one wins is the logistic function of the difference of
 their strengths, so the weights come from a logistic loss on feature differences, without intercept.
-The threshold is a quantile of the strengths of the labelled sample: as large a share lies below it as
-there are labels 0. The score is the logistic function of the strength, shifted and scaled so that the
+The threshold is a quantile of the strengths of all labels that are not held out, taken by Spark after the
+fit: as large a share lies below it as there are labels 0 among them. The score is the logistic function of the strength, shifted and scaled so that the
 threshold scores ``CUT``.
 
 The fit uses at most ``SAMPLE`` labelled rows of each label (by hash of the identifier) and ``PAIRS``
-pairs; features and scores cover every text. Features are one pass over the documents; the only join is
-the labels with the rows of features.
+pairs; features, threshold and scores cover every text. Features are one pass over the documents; the only
+join is the labels with the rows of features. ``keep_good`` makes these twice, rather than carry texts
+through a table.
 
 Null text counts as empty; empty texts get the score of all-zero features. Labels that are null, or of
 documents not in the table, are not used; a document with contradictory labels counts with each. With
@@ -19,7 +20,7 @@ Repeated rows get equal scores. An empty table gives no rows. Other columns are
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ from armlens.llm.common import BETWEEN_SPACES, mixed, prepared, slices, text_byt
 SAMPLE = 8_000
 PAIRS = 60_000
 CUT = 0.3
+BINS = 4_096  # of a pass that looks for a rank
 SLICE_BYTES = 1 << 19
 FEATURES = (
     "log_words", "word_length", "short_words", "long_words", "distinct_words", "repeated_word",
@@ -130,16 +132,20 @@ class Model:
     def strengths(self, x: np.ndarray) -> np.ndarray:
         return self.expanded(x) @ self.weights
 
-    def score(self, x: str = "x") -> Column:
-        """The score as a column expression over the figures."""
+    def strength(self, x: str = "x") -> Column:
+        """The strength as a column expression over the figures."""
         total = F.lit(0.0)
         n = len(self.mean)
         for i in range(n):
             z = (F.col(x)[i].cast("double") - float(self.mean[i])) / float(self.scale[i])
             z = F.greatest(F.lit(-4.0), F.least(F.lit(4.0), z))
             total = total + z * (float(self.weights[i]) + z * float(self.weights[n + i]))
+        return total
+
+    def score(self, x: str = "x") -> Column:
+        """The score as a column expression over the figures."""
         shift = float(np.log(CUT / (1 - CUT))) + 1e-9  # at the threshold the score is not below
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-((total - self.threshold) * self.slope + shift)))
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-((self.strength(x) - self.threshold) * self.slope + shift)))
 
 
 def fit(better: np.ndarray, worse: np.ndarray, pairs: int = PAIRS, share_worse: float | None = None,
@@ -179,29 +185,64 @@ def held_out(ident: str) -> Column:
     return F.coalesce(F.crc32(F.col(ident).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def sampled(labels: DataFrame, ident: str, label: str, sample: int) -> tuple[DataFrame, dict[int, int]]:
-    """A bounded sample (identifier, y) of each label outside the held-out fifth, and all their counts."""
-    known = labels.filter(F.col(label).isin(0, 1) & ~held_out(ident)).select(F.col(ident), F.col(label).alias("y"))
-    totals = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+def usable(labels: DataFrame, ident: str, label: str) -> DataFrame:
+    """Identifier and y of all labels outside the held-out fifth."""
+    return labels.filter(F.col(label).isin(0, 1) & ~held_out(ident)).select(F.col(ident), F.col(label).alias("y"))
+
+
+def sampled(known: DataFrame, ident: str, sample: int) -> DataFrame:
+    """A bounded sample of each label, for the fit only."""
     rank = F.xxhash64(F.col(ident), F.lit(11))
     parts = [known.filter(F.col("y") == y).orderBy(rank, ident).limit(sample) for y in (0, 1)]
-    return parts[0].unionByName(parts[1]), totals
+    return parts[0].unionByName(parts[1])
 
 
-def learn(figures: DataFrame, totals: dict[int, int]) -> Model:
-    """The model of the sampled figures (y, x)."""
+def learn(figures: DataFrame) -> Model:
+    """The model of the sampled figures (y, x); its threshold is the sample's."""
     rows = figures.select("y", "x").toArrow()
     y = rows.column("y").to_numpy()
     x = np.array(rows.column("x").combine_chunks().flatten() if len(y) else [], float).reshape(len(y), len(FEATURES))
-    return fit(x[y == 1], x[y == 0], share_worse=totals.get(0, 0) / max(1, sum(totals.values())))
+    return fit(x[y == 1], x[y == 0])
+
+
+def value_at(values: DataFrame, rank: int) -> float:
+    """The ``s`` with ``rank`` rows before it in order, exactly: counts in bins, then in the bin of the rank."""
+    low, high = values.agg(F.min("s"), F.max("s")).first()
+    while low < high:
+        place = F.least(F.floor((F.col("s") - low) / (high - low) * BINS), F.lit(BINS - 1))
+        bins = values.filter(F.col("s").between(low, high)).groupBy(place.alias("place")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("s").alias("low"), F.max("s").alias("high"))
+        for row in sorted(bins.collect()):
+            if rank < row["n"]:
+                low, high = row["low"], row["high"]
+                break
+            rank -= row["n"]
+    return low
+
+
+def threshold(strengths: DataFrame) -> float:
+    """Half way between the last of the ``s`` below which lies the share of ``y`` = 0, and the next."""
+    worse = strengths.filter(F.col("y") == 0).count()
+    last = value_at(strengths, worse - 1)
+    upto, above = strengths.agg(F.count_if(F.col("s") <= last), F.min(F.when(F.col("s") > last, F.col("s")))).first()
+    return last if upto > worse or above is None else (last + above) / 2
+
+
+def modelled(figures: DataFrame, labels: DataFrame, ident: str, label: str, sample: int) -> Model:
+    """Weights from the sample, the threshold from all usable labels of documents in the table."""
+    known = usable(labels, ident, label)
+    model = learn(sampled(known, ident, sample).join(figures, ident))
+    if not model.weights.any():
+        return model
+    strengths = figures.select(F.col(ident), model.strength().alias("s")).join(known, ident)
+    return replace(model, threshold=threshold(written(strengths.select("y", "s"), "strengths")))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text",
                   label: str = "quality", sample: int = SAMPLE) -> DataFrame:
     """Identifier, held_out, score and predicted for every row of ``docs``."""
     figures = written(featured(docs, ident, text), "figures")
-    chosen, totals = sampled(labels, ident, label, sample)
-    model = learn(chosen.join(figures, ident), totals)
+    model = modelled(figures, labels, ident, label, sample)
     return figures.select(F.col(ident), held_out(ident).alias("held_out"), model.score().alias("score")).withColumn(
         "predicted", (F.col("score") >= CUT).cast("int"))
 
@@ -209,9 +250,5 @@ def score_quality(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", tex
 def keep_good(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text",
               label: str = "quality", sample: int = SAMPLE) -> DataFrame:
     """The rows of ``docs`` with a score of at least ``CUT``, all their columns."""
-    chosen, totals = sampled(labels, ident, label, sample)
-    known = docs.select(F.col(ident).alias("ident"), F.col(text).alias("text")).join(
-        chosen.select(F.col(ident).alias("ident"), "y"), "ident")
-    figures = featured(known, "ident", "text", carry=True).select(F.col("row.y").alias("y"), "x")
-    model = learn(figures, totals)
+    model = modelled(written(featured(docs, ident, text), "figures"), labels, ident, label, sample)
     return featured(docs, ident, text, carry=True).filter(model.score() >= CUT).select("row.*")

@@ -82,6 +82,28 @@ def test_expression_and_matrix_scores_agree(spark):
     assert np.allclose([r["s"] for r in sorted(out)], 1 / (1 + np.exp(-z)), atol=1e-4)
 
 
+def test_the_threshold_is_a_quantile_of_all_labels_whatever_the_sample(spark):
+    rng = random.Random(8)
+    rows, labels = corpus(6, 500)
+    labels = [(i, y if rng.random() < 0.6 else rng.randrange(2)) for i, y in labels]
+    docs, known = frame(spark, rows), spark.createDataFrame(labels + [(10_000 + i, 0) for i in range(300)], "doc_id bigint, quality int")
+    usable = {i: y for i, y in labels if zlib.crc32(str(i).encode()) % 5}
+    for sample in (25, 8_000):
+        out = {r["doc_id"]: r["predicted"] for r in quality.score_quality(docs, known, sample=sample).collect()}
+        assert sum(out[i] == 0 for i in usable) == sum(y == 0 for y in usable.values())
+        kept = {r["doc_id"] for r in quality.keep_good(docs, known, sample=sample).collect()}
+        assert kept == {i for i, predicted in out.items() if predicted}
+
+
+def test_values_at_ranks_are_exact(spark):
+    rng = random.Random(9)
+    values = [rng.choice((rng.gauss(0, 1), 0.5, 1e9, 0.5 + rng.random() * 1e-12)) for _ in range(400)]
+    table = spark.createDataFrame([(v,) for v in values], "s double").cache()
+    for rank in (0, 7, 150, 200, 399):
+        assert quality.value_at(table, rank) == sorted(values)[rank]
+    table.unpersist()
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1), (6, 1)], [(None, 0), (4, None)]])
 def test_without_pairs_every_document_stays(spark, labels):
     rows = awkward(random.Random(4))
