@@ -1,8 +1,9 @@
 """Substring dedup over words: long runs of words that start anywhere else are taken out.
 
-The De Bruijn graph of the corpus' word sequences is compacted by joins of edge rows, see ``repeats``:
-k-mers that lie on one path travel as one edge, branchings are settled window by window, and the source
-coordinates of repeated windows are marked in the documents as they were read.
+In place of a compacted De Bruijn graph, see ``repeats``: each window's k-mer of the smallest hash is its
+anchor, runs between anchors are compared by hash, branchings are settled window by window, and the source
+coordinates of repeated windows are marked in the documents as they were read. Hashes decide; words are
+not compared again.
 
 Words are what ASCII white space leaves between. Null text has none. Texts shorter than a window keep
 all words. Repeated rows are documents of their own and take each other's windows out. An empty table
