@@ -60,7 +60,7 @@ def test_stages_on_awkward_and_empty_documents(spark):
 @pytest.fixture(scope="module")
 def database():
     connection = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "labels"):
+    for name in ("documents", "pages", "benchmark", "labels", "embeddings"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
     return connection
 
@@ -73,7 +73,8 @@ def test_query_against_sql(spark, database, name):
     assert sorted(map(tuple, frame.select(columns).collect()), key=repr) == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(queries.registered()))
+# op12 returns pairs of rows, so its coverage is in the comparison with SQL.
+@pytest.mark.parametrize("name", sorted(set(queries.registered()) - {"op12_hard_negatives"}))
 def test_query_covers_its_table(spark, name):
     frame = queries.registered()[name](spark, FOLDER)
     ident = "page_id" if "page_id" in frame.columns else "doc_id"
