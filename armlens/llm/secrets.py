@@ -147,19 +147,20 @@ def find_secrets(docs: DataFrame, ident: str = "doc_id", text: str = "text", own
 
 def summarised(documents: DataFrame, spans: DataFrame, ident: str = "doc_id",
                kinds: tuple[Kind, ...] = PLAIN + FURTHER) -> DataFrame:
-    """One row of counts and span lists per document; a span of a further kind that is copied says so."""
+    """One row of counts and span lists per document; ``copied_spans`` are the further kinds' copied ones."""
     name = F.element_at(F.array(*[F.lit(k.name) for k in kinds]), F.col("kind") + 1)
     plain = [i for i, k in enumerate(kinds) if k.plain]
-    verdict = F.when(~F.col("live") & ~F.col("kind").isin(*plain), "copied")
-    line = F.concat_ws(":", name, F.col("start").cast("string"), F.col("end").cast("string"), verdict)
+    line = F.concat_ws(":", name, F.col("start").cast("string"), F.col("end").cast("string"))
     listed = spans.groupBy("row").agg(
         *[F.count_if(F.col("kind") == i).alias(f"n_{kinds[i].name}") for i in plain],
         F.count_if("live").alias("n_live"), F.count_if(~F.col("live")).alias("n_copied"),
-        F.sort_array(F.collect_list(F.struct("start", "kind", line.alias("line")))).alias("all"))
+        F.sort_array(F.collect_list(F.struct("start", "kind", line.alias("line"), "live"))).alias("all"))
     base = F.filter("all", lambda s: s["kind"].isin(*plain))
+    copied = F.filter("all", lambda s: ~s["live"] & ~s["kind"].isin(*plain))
     joined = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: s["line"]))
     counts = [f"n_{kinds[i].name}" for i in plain] + ["n_live", "n_copied"]
     return documents.join(listed, "row", "left").select(
         F.col("ident").alias(ident), *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
         F.sha2(F.coalesce(joined(base), F.lit("")), 256).alias("base_sha256"),
-        F.coalesce(joined(F.col("all")), F.lit("")).alias("spans"))
+        F.coalesce(joined(F.col("all")), F.lit("")).alias("spans"),
+        F.coalesce(joined(copied), F.lit("")).alias("copied_spans"))

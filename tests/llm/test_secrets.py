@@ -75,9 +75,10 @@ def test_copies_of_a_document_are_one_witness_and_no_span_is_lost(spark):
     out = {r["doc_id"]: r for r in secrets.summarised(documents, spans).collect()}
     assert len(out) == len(rows)
     assert (out[0]["spans"], out[1]["spans"], out[10]["spans"]) == ("marked:4:48", "marked:5:49", "marked:0:44")
-    assert (out[20]["spans"], out[20]["n_live"], out[20]["n_copied"]) == ("marked:0:44:copied", 0, 1)
-    assert out[30]["spans"] == "marked:0:44:copied" and out[60]["spans"] == ""
-    assert (out[61]["spans"], out[61]["n_live"], out[61]["n_copied"]) == ("assign:0:21,marked:23:67:copied", 1, 1)
+    assert (out[20]["spans"], out[20]["n_live"], out[20]["n_copied"]) == ("marked:0:44", 0, 1)
+    assert out[30]["spans"] == out[30]["copied_spans"] == "marked:0:44" and out[60]["spans"] == ""
+    assert (out[61]["spans"], out[61]["n_live"], out[61]["n_copied"]) == ("assign:0:21,marked:23:67", 1, 1)
+    assert out[61]["copied_spans"] == "marked:23:67" and out[0]["copied_spans"] == out[60]["copied_spans"] == ""
 
 
 def test_plain_kinds_are_the_same_with_witnesses(spark):
