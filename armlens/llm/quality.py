@@ -229,8 +229,12 @@ def threshold(strengths: DataFrame) -> float:
 
 
 def modelled(figures: DataFrame, labels: DataFrame, ident: str, label: str, sample: int) -> Model:
-    """Weights from the sample, the threshold from all usable labels of documents in the table."""
-    known = usable(labels, ident, label)
+    """Weights from the sample, the threshold from all usable labels of documents in the table.
+
+    Labels without a document are left out before the sample is drawn.
+    """
+    present = figures.select(ident).distinct().hint("merge")
+    known = written(usable(labels, ident, label).join(present, ident, "left_semi"), "known_labels")
     model = learn(sampled(known, ident, sample).join(figures, ident))
     if not model.weights.any():
         return model
