@@ -215,13 +215,7 @@ def _tries(limit: int, partial: bool):
         if out:
             yield batch(out)
             out.clear()
-        seen: set[tuple[int, bytes]] = set()
         for entry in trie.entries():
-            if not partial:
-                key = (len(entry[0]), hashlib.sha256(entry[0]).digest())
-                if key in seen:
-                    raise ValueError("two texts share length and digest")
-                seen.add(key)
             out.append(entry)
             if len(out) >= 256:
                 yield batch(out)
@@ -243,6 +237,16 @@ def owners(texts: DataFrame, kind: str, limit: int = TRIE_BYTES) -> DataFrame:
         _tries(limit, False), f"digest string, n_bytes bigint, keep {kind}, ties bigint, n bigint")
 
 
+def told_apart(groups: DataFrame) -> DataFrame:
+    """``groups`` if every text has a length and digest of its own, else an error when it is read.
+
+    The window lies on the keys that the rows are joined by, so it needs no shuffle of its own.
+    """
+    twins = F.count(F.lit(1)).over(Window.partitionBy("digest", "n_bytes"))
+    refused = F.raise_error(F.lit("two texts share length and digest")).cast("bigint")
+    return groups.withColumn("n", F.when(twins > 1, refused).otherwise(F.col("n")))
+
+
 def mark_copies(docs: DataFrame, ident: str = "doc_id", text: str = "text",
                 limit: int = TRIE_BYTES, carry: bool = False) -> DataFrame:
     """A row per row of ``docs``: identifier, keep_id, group_size, kept, text_sha256.
@@ -252,7 +256,7 @@ def mark_copies(docs: DataFrame, ident: str = "doc_id", text: str = "text",
     prepared(docs.sparkSession)
     kind = dict(docs.dtypes)[ident]
     plain = normalised(text).cast("binary")
-    groups = owners(docs.select(plain.alias("text"), F.col(ident).alias("ident")), kind, limit)
+    groups = told_apart(owners(docs.select(plain.alias("text"), F.col(ident).alias("ident")), kind, limit))
     body = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else F.struct(F.col(ident))
     rows = docs.select(body.alias("row"), F.sha2(plain, 256).alias("digest"),
                        F.octet_length(plain).cast("bigint").alias("n_bytes"))

@@ -49,6 +49,14 @@ def test_copies(spark, limit):
         assert [r["doc_id"] for r in own if r["kept"]] == [least]
 
 
+def test_two_texts_with_one_digest_stop_the_run(spark):
+    groups = spark.createDataFrame([("d", 3, 1, 1, 1), ("d", 3, 2, 1, 4), ("e", 3, 3, 1, 1)],
+                                   "digest string, n_bytes bigint, keep bigint, ties bigint, n bigint")
+    with pytest.raises(Exception, match="two texts share length and digest"):
+        exact.told_apart(groups).collect()
+    assert exact.told_apart(groups.filter("keep > 1")).count() == 2
+
+
 def test_whole_rows_are_carried(spark):
     docs = frame(spark, awkward(random.Random(2)))
     kept = exact.mark_copies(docs, carry=True).filter("kept").select("row.*")
