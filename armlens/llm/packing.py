@@ -28,6 +28,11 @@ END = 2
 GROUP = 20_000  # pieces of a group, in the mean
 KNOWN_WORDS = 500_000  # words whose ids a worker remembers
 MARKS = ".,!?;:|"
+# Letters of all of Latin-1, both cases, marks, digits and white space of every kind that is taken apart.
+PROBE = (
+    "".join(map(chr, range(0x21, 0x7F))), " ".join(map(chr, range(0xA1, 0x100))),
+    "The quick  brown\tfox; it's 12.5% over\n\nA LAZY dog! (naïve CAFÉ) re-read | end.", " lead and trail \n", "x",
+)
 
 # Characters outside plain Latin text; texts with any of them go through the tokenizer as a whole.
 UNUSUAL = bytes([*range(0x09), *range(0x0E, 0x20), *range(0x7F, 0xA1)])
@@ -38,7 +43,8 @@ class Words(dict):
     """Ids of words of lower-case Latin-1 text as little-endian 32-bit numbers, encoded when missing.
 
     The tokenizer puts no token across white space, and marks after a letter are tokens of their own.
-    A word of letters alone is merged by rank; every other word is left to the tokenizer.
+    A word of letters alone is merged by rank; every other word is left to the tokenizer. A tokenizer of
+    other rules is told by ``PROBE``, whose ids would differ; its texts are not taken apart at all.
     """
 
     def __init__(self, path: str):
@@ -48,9 +54,13 @@ class Words(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_word = False
         with open(path) as file:
             model = json.load(file)["model"]
         plain = _byte_letters()
+        letters = set("".join(t.removesuffix("</w>") for t in model["vocab"] if not t.startswith("<|")))
+        if not letters.issubset(plain):
+            return
         ranks = {}
         for token, ident in model["vocab"].items():
             if token.startswith("<|"):
@@ -59,6 +69,16 @@ class Words(dict):
             ranks[bytes(plain[c] for c in stem) + WORD_END * (stem != token)] = ident
         self.merged = tiktoken.Encoding(
             "words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+        try:
+            self.by_word = all(self.of_text(text) == self.whole(text) for text in PROBE)
+        except (KeyError, ValueError):  # a letter without a rank
+            pass
+
+    def of_text(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, text.lower().split()))
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, word: str) -> bytes:
         stem = word.rstrip(MARKS)
@@ -66,7 +86,7 @@ class Words(dict):
             ids = array("I", self.merged(stem.encode() + WORD_END)).tobytes()
             ids += self[word[len(stem):]] if stem != word else b""
         else:
-            ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+            ids = self.whole(word)
         if len(self) >= KNOWN_WORDS:
             self.clear()
         self[word] = ids
@@ -93,9 +113,9 @@ def token_bytes(text: str, path: str) -> bytes:
         plain = text.encode("latin-1")
     except UnicodeEncodeError:
         plain = None
-    if plain is None or len(plain.translate(None, UNUSUAL)) != len(plain) or "<|" in text:
-        return array("I", words.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-    return b"".join(map(words.__getitem__, text.lower().split()))
+    if not words.by_word or plain is None or len(plain.translate(None, UNUSUAL)) != len(plain) or "<|" in text:
+        return words.whole(text)
+    return words.of_text(text)
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, ident: str = "doc_id", text: str = "text",

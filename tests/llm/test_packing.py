@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
@@ -30,6 +31,16 @@ def test_ids_are_the_tokenizers(tokenizer):
         assert got == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_a_tokenizer_of_other_rules_is_not_taken_apart(name):
+    path = public_tokenizers.path(name)
+    other = Tokenizer.from_file(path)
+    for text in ("It's  two\n words", "UPPER lower", "  x", "e\u0301 漢", "don't 12.5%", ""):
+        got = np.frombuffer(packing.token_bytes(text, path), "<u4").tolist()
+        assert got == other.encode(text, add_special_tokens=False).ids
+    assert packing._WORDS[path].by_word == (name == "word_bpe_49k.json")
+
+
 def test_forgotten_words_are_encoded_again(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "KNOWN_WORDS", 3)
     monkeypatch.setattr(packing, "_WORDS", {})
