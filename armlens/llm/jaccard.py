@@ -21,8 +21,9 @@ near copies cost no pairs. Equal sets are linked by their hash before and travel
 and what lies outside the region's largest component is compared with all its blocks.
 
 Words are what ASCII white space leaves, with A-Z lower-cased. Null and empty texts have no shingles and
-no links. Rows with one identifier are one document of the graph, each with its own number of shingles; a
-null identifier is smaller than any. Identifiers are whole numbers. An empty table gives no rows.
+no links. Rows with one identifier are one document of the graph, each with its own number of shingles and
+all with the links of any; a null identifier counts as the smallest whole number there is. Identifiers are
+whole numbers. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -502,7 +503,10 @@ def join_similar(docs: DataFrame, ident: str = "doc_id", text: str = "text", shi
     found = written(posts.groupBy("bucket").applyInArrow(_met, FOUND), "cell_links")
     equal = found.filter(F.col("kind") == EQUAL).select("a", "b")
     regions = components(candidates(found), "regions")
-    copies = equal.select(F.col("b").alias("node")).distinct()
+    # A copy's set is searched through the copy of the smallest identifier, unless the copy has other sets.
+    rows_of = found.filter(F.col("kind") == COUNT).groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("rows"))
+    repeated = written(rows_of.filter(F.col("rows") > 1).select("node"), "repeated")
+    copies = equal.select(F.col("b").alias("node")).distinct().join(repeated.hint("merge"), "node", "left_anti")
     members = regions.join(copies, "node", "left_anti")
     sized = members.groupBy("label").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
     members = members.join(sized, "label").select(F.col("label").alias("region"), "node", "size")
@@ -510,6 +514,12 @@ def join_similar(docs: DataFrame, ident: str = "doc_id", text: str = "text", shi
     texts = rows.join(members.select("region", "node").hint("merge"), "node")
     sets = texts.select("region", "node", "text").mapInArrow(
         _sets(shingle), "region bigint, node bigint, shingles binary")
+    if repeated.limit(1).count():
+        # Their equal sets once each: partial sums leave one row a task of an identifier that many rows have.
+        alone = sets.join(repeated.hint("merge"), "node", "left_anti")
+        sets = alone.unionByName(
+            sets.join(repeated.hint("merge"), "node", "left_semi").groupBy("region", "node", "shingles").agg(
+                F.count(F.lit(1)).alias("rows")).drop("rows"))
     largest = sized.agg(F.max("size")).first()[0] or 0
     grouped = sets
     links = equal

@@ -62,6 +62,18 @@ def test_large_regions_are_joined_in_blocks(spark, rounds):
     assert sorted(map(tuple, out), key=repr) == plain(rows)
 
 
+@pytest.mark.parametrize("limit", [4_000, 1])
+def test_an_identifier_with_several_texts_has_the_links_of_all(spark, limit):
+    rng = random.Random(8)
+    x, y, z = (prose(rng, 60, 3_000) for _ in range(3))
+    near = lambda text, n: " ".join([*text.split()[:-1], f"n{n}"])
+    rows = [(1, x), (5, x), (5, y), (9, near(y, 1)), (9, z), (12, near(z, 2)), (20, prose(rng, 60, 3_000)), (5, y)]
+    rows += [(30, f"{prose(rng, 20, 3_000)}") for _ in range(40)] + [(30, near(x, 3))] * 40
+    out = jaccard.join_similar(frame(spark, rows), limit=limit).collect()
+    assert sorted(map(tuple, out), key=repr) == plain(rows)
+    assert {r["component_id"] for r in out if r["doc_id"] != 20} == {1}
+
+
 def test_search_in_a_region_is_exact():
     rng = np.random.default_rng(5)
     for percent, spread in ((90, 4), (70, 20), (50, 30)):
