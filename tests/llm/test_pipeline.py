@@ -57,6 +57,17 @@ def test_stages_on_awkward_and_empty_documents(spark):
                 assert docs.columns == before.columns
 
 
+def test_near_copies_keep_or_drop_all_rows_of_an_identifier(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, base), (1, "another text of its own that nothing else has"), (2, base + " more"), (2, "unlike all the others here"),
+            (3, "third text which is alone")]
+    schema = "doc_id bigint, text string, gone string"
+    docs = spark.createDataFrame([(*r, "?") for r in rows], schema)
+    kept = corpus_pipeline.near_copies(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 1, 3]
+
+
 @pytest.fixture(scope="module")
 def database():
     connection = duckdb.connect()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 # Columns that share names with those the operators make or use inside.
-CLASHES = ("row", "ident", "keep", "kept", "n", "label", "score", "kind", "x", "start", "item", "words", "node", "host", "document")
+CLASHES = ("row", "ident", "keep", "kept", "n", "label", "score", "kind", "x", "start", "item", "words", "node", "host", "document", "gone")
 
 
 def frame(spark, rows, clashes=True):
