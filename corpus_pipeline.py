@@ -3,6 +3,12 @@
 Every stage takes all documents that its predecessor kept, decides with one of the operators, and
 returns the kept rows with all their columns; the last returns pieces of packed sequences. Between two
 stages the documents are a Parquet table.
+
+Null and empty texts are documents like others: scored, equal to each other, linked with nothing, without
+windows, and a piece of one id each. Rows that repeat an identifier are judged one by one, but in near
+dedup, where they are one document of the graph: all of them stay if theirs is the smallest identifier of
+its group, else all go. Null identifiers are the smallest there and the greatest in exact dedup. Columns
+beside the operators' own are carried, whatever their names. An empty table gives empty tables throughout.
 """
 
 from __future__ import annotations
@@ -33,8 +39,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that similar shingles link: the one with the smallest identifier."""
     groups = jaccard.join_similar(docs, shingle=5, percent=80)
     gone = groups.filter(~F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("gone"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"))
     # What goes grows with the corpus, so it is never broadcast, at no size.
-    return docs.join(gone.distinct().hint("merge"), F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    kept = rows.join(gone.distinct().hint("merge"), F.col("document.doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    return kept.select("document.*")
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
