@@ -66,23 +66,38 @@ def metrics_by_group(funnel: DataFrame) -> DataFrame:
     return funnel.groupBy("test_group").agg(*_kpis(), *_guardrails())
 
 
+STEP = ("test_group", "step_number", "step_name")
+STEP_COUNTS = ("users_viewed", "users_completed", "users_abandoned")
+
+
+def step_states(events: DataFrame, *more: str) -> DataFrame:
+    """Mergeable states of steps: what each user did at each step, 0 or 1, per ``more`` keys."""
+    seen = [F.max(F.when(F.col("step_event_type") == event, 1).otherwise(0)).alias(column)
+            for column, event in zip(STEP_COUNTS, STEP_EVENTS)]
+    return events.groupBy(*STEP, "user_id", *more).agg(*seen)
+
+
 def step_dropoff(events: DataFrame, design: DataFrame) -> DataFrame:
     """Distinct users per arm and step who viewed, completed and abandoned it.
 
     Distinct counting is a grouping by user first and a sum after, so no rows are multiplied and
-    neither a hot step nor a hot user meets in one task. The design is joined to the summed rows,
-    where both sides are small; steps outside the design drop out there.
+    neither a hot step nor a hot user meets in one task.
     """
-    step = ("test_group", "step_number", "step_name")
-    seen = {
-        column: F.max(F.when(F.col("step_event_type") == event, 1).otherwise(0)).alias(column)
-        for column, event in zip(("users_viewed", "users_completed", "users_abandoned"), STEP_EVENTS)
-    }
-    per_user = events.groupBy(*step, "user_id").agg(*seen.values())
-    counted = per_user.groupBy(*step).agg(*[F.sum(c).alias(c) for c in seen])
+    return counted_steps(step_states(events), design)
+
+
+def merged_steps(states: DataFrame) -> DataFrame:
+    """States of any days as one row per step and user."""
+    return states.groupBy(*STEP, "user_id").agg(*[F.max(c).alias(c) for c in STEP_COUNTS])
+
+
+def counted_steps(per_user: DataFrame, design: DataFrame) -> DataFrame:
+    """Users per arm and step from one row per step and user. The design is joined to the summed rows,
+    where both sides are small; steps outside the design drop out there."""
+    counted = per_user.groupBy(*STEP).agg(*[F.sum(c).alias(c) for c in STEP_COUNTS])
     buckets = design.select("test_group", "step_number", "step_bucket").distinct()
     return counted.join(buckets, ["test_group", "step_number"]).select(
-        *step, "step_bucket", *seen,
+        *STEP, "step_bucket", *STEP_COUNTS,
         ratio(F.col("users_abandoned"), F.col("users_viewed")).alias("step_abandon_rate"),
     )
 

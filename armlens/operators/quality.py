@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from armlens.domain import ARMS
@@ -55,32 +56,65 @@ def _counted(frame: DataFrame, **conditions) -> DataFrame:
     return frame.agg(*counts).unpivot([], list(conditions), "check_name", "value")
 
 
+def observed(frame: DataFrame, conditions: dict[str, Column]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The frame, whose next action also counts the rows that meet each condition, and the counts after it.
+
+    To be written by the stage that the conditions stand in: tasks of a writing stage count once, however
+    often they run, those of a stage before a shuffle might count twice when executors are lost.
+    """
+    watch = Observation()
+    counts = [F.count(F.when(condition, 1)).alias(name) for name, condition in conditions.items()]
+
+    def values() -> dict[str, int]:
+        seen = watch.get  # nothing when Spark saw at once that there are no rows
+        return {name: seen.get(name, 0) for name in conditions}
+
+    return frame.observe(watch, *counts), values
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def raw_conditions(strict_null: bool = False) -> dict[str, Column]:
+    """What is counted of raw rows."""
+    return {"raw_row_count": F.lit(True), "staging_rejects": refused(strict_null)}
+
+
+def user_conditions() -> dict[str, Column]:
+    """What is counted of users."""
+    return {"users_missing_install_event": F.col("install_ts").isNull()}
+
+
+def funnel_conditions() -> dict[str, Column]:
+    """What is counted of funnel rows."""
+    return {
+        "completed_without_started": (F.col("completed_onboarding") == 1) & (F.col("started_onboarding") == 0),
+        "activated_without_completed": (F.col("activated") == 1) & (F.col("completed_onboarding") == 0),
+        "purchased_without_activated": (F.col("purchased") == 1) & (F.col("activated") == 0),
+        "invalid_test_group_values": ~F.col("test_group").isin(*ARMS),
+        "negative_time_to_first_lesson": F.col("time_to_first_lesson_seconds") < 0,
+    }
+
+
+def staged_checks(staged: DataFrame) -> DataFrame:
+    """Ids staged more than once."""
+    return _counted(duplicate_keys(staged, "event_id"), staging_duplicate_event_ids=F.lit(True))
+
+
+def orphan_check(users: DataFrame, funnel: DataFrame) -> DataFrame:
+    return _counted(orphan_users(funnel, users), orphan_fact_users=F.lit(True))
+
+
 def event_checks(raw: DataFrame, staged: DataFrame, strict_null: bool = False) -> DataFrame:
     """Rows landed and rows rejected from one pass over the raw layer, ids staged more than once."""
-    every = F.lit(True)
-    return _union([
-        _counted(raw, raw_row_count=every, staging_rejects=refused(strict_null)),
-        _counted(duplicate_keys(staged, "event_id"), staging_duplicate_event_ids=every),
-    ])
+    return _union([_counted(raw, **raw_conditions(strict_null)), staged_checks(staged)])
 
 
 def user_checks(users: DataFrame, funnel: DataFrame) -> DataFrame:
     """Users without install, orphans, and the five funnel predicates in one scan."""
     return _union([
-        _counted(users, users_missing_install_event=F.col("install_ts").isNull()),
-        _counted(orphan_users(funnel, users), orphan_fact_users=F.lit(True)),
-        _counted(
-            funnel,
-            completed_without_started=(F.col("completed_onboarding") == 1) & (F.col("started_onboarding") == 0),
-            activated_without_completed=(F.col("activated") == 1) & (F.col("completed_onboarding") == 0),
-            purchased_without_activated=(F.col("purchased") == 1) & (F.col("activated") == 0),
-            invalid_test_group_values=~F.col("test_group").isin(*ARMS),
-            negative_time_to_first_lesson=F.col("time_to_first_lesson_seconds") < 0,
-        ),
+        _counted(users, **user_conditions()), orphan_check(users, funnel), _counted(funnel, **funnel_conditions()),
     ])
 
 

@@ -70,6 +70,11 @@ def refused(strict_null: bool = False) -> Column:
     )
 
 
+def verdict(strict_null: bool = False) -> Column:
+    """Where a raw row belongs: ``valid``, ``refused``, or with ``strict_null`` also ``neither``."""
+    return F.when(passes(strict_null), "valid").when(refused(strict_null), "refused").otherwise("neither")
+
+
 def rejects(raw: DataFrame, strict_null: bool = False) -> DataFrame:
     """The quarantine: raw rows that are not staged, with the reason.
 

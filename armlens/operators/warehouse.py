@@ -50,17 +50,16 @@ def _if_event(event: str, column: str) -> Column:
     return F.expr(f"CASE WHEN event_name = '{event}' THEN {column} END")
 
 
-def user_rollup(staged: DataFrame) -> DataFrame:
-    """What both user tables need, one row per user, arm and platform, from one pass over events.
+def user_states(staged: DataFrame, *more: str) -> DataFrame:
+    """Mergeable states of users: what ``merged_users`` needs, per user, arm, platform and ``more`` keys.
 
-    The first grouping carries the signup method as a key, because a text maximum would turn the
-    pass over all events into a sort; flags travel as bits of one number. Its partial sums leave
-    one row per user and task, so a user with a third of all events costs no more than others.
-    The second grouping works on those few rows and is laid out by user for ``user_funnel``.
+    The signup method is a key too, because a text maximum would turn the pass over all events into a
+    sort; flags travel as bits of one number, times as minima, scores as sum and count. Partial sums
+    leave one row per user and task, so a user with a third of all events costs no more than others.
     """
     firsts = [F.min(_if_event(event, "event_timestamp")).alias(c) for c, event in FIRST_TIMES.items()]
-    per_signup = staged.groupBy(
-        *USER_KEYS, _if_event("account_created", "signup_method").alias("signup_method")
+    return staged.groupBy(
+        *USER_KEYS, _if_event("account_created", "signup_method").alias("signup_method"), *more
     ).agg(
         F.bit_or(_event_bit()).alias("bits"),
         *firsts,
@@ -69,7 +68,11 @@ def user_rollup(staged: DataFrame) -> DataFrame:
         F.sum(_if_event("lesson_feedback_submitted", "relevance_score")).alias("relevance_sum"),
         F.count(_if_event("lesson_feedback_submitted", "relevance_score")).alias("relevance_n"),
     )
-    return per_signup.repartition("user_id").groupBy(*USER_KEYS).agg(
+
+
+def merged_users(states: DataFrame) -> DataFrame:
+    """States of any days added up, one row per user, arm and platform, laid out by user for ``user_funnel``."""
+    return states.repartition("user_id").groupBy(*USER_KEYS).agg(
         F.max("signup_method").alias("signup_method"),
         F.bit_or("bits").alias("bits"),
         *[F.min(c).alias(c) for c in FIRST_TIMES],
@@ -80,6 +83,11 @@ def user_rollup(staged: DataFrame) -> DataFrame:
     )
 
 
+def user_rollup(staged: DataFrame) -> DataFrame:
+    """What both user tables need, one row per user, arm and platform, from one pass over events."""
+    return merged_users(user_states(staged))
+
+
 def dim_user(rollup: DataFrame) -> DataFrame:
     """One row per user, arm and platform; unique by user as long as users keep their arm."""
     return rollup.select(

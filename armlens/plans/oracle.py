@@ -55,20 +55,6 @@ _MALFORMED = ", ".join(
 )
 
 
-def _journeys() -> list[tuple[str, str]]:
-    stops = ", ".join(f"({at}, '{name}', {minutes})" for at, (name, minutes, _) in enumerate(rules.JOURNEY))
-    return [
-        ("travellers", "SELECT user_id AS uid, MIN(ts) AS first FROM events GROUP BY user_id"),
-        ("stops", f"""SELECT *, CAST(uid % 100 AS INTEGER) AS k, CAST(uid % 50 + 0.5 AS DOUBLE) AS value,
-            {rules.JOURNEY_ARM} AS test_group, {rules.JOURNEY_PLATFORM} AS platform
-            FROM travellers, (VALUES {stops}) AS s(leg, event_name, minutes) WHERE {rules.IN_JOURNEY}"""),
-        ("journeys", f"""SELECT concat_ws('_', 'j', uid, leg) AS event_id, concat('u_', CAST(uid AS STRING)) AS user_id,
-            event_name, strftime(first + to_minutes(CAST(minutes AS BIGINT)), '%Y-%m-%dT%H:%M:%S.%f') AS event_timestamp,
-            test_group, platform, concat('s_', CAST(uid AS STRING)) AS session_id,
-            {rules.payload_sql(EVENT_CATALOG)} AS properties FROM stops"""),
-    ]
-
-
 def _landed(arm: str = "test_group", injected: bool = False) -> list[tuple[str, str]]:
     extra = f"""
         UNION ALL SELECT event_id, user_id, event_name, event_timestamp, test_group, platform, 's1', '{{}}',
@@ -413,6 +399,13 @@ def _bundle() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _whole_run() -> str:
+    """Every field of the marts and of the report."""
+    return (_bundle() + " UNION ALL SELECT 'dq_report', check_name, 'value', CAST(value AS DOUBLE), NULL "
+            "FROM (SELECT * FROM checks UNION ALL " + " UNION ALL ".join(
+                f"SELECT '{name}', 0" for name in UNIQUE_POLICY) + ")")
+
+
 def _figures(section: str, prefix: str, source: str, numbers: dict[str, str], texts: dict[str, str]) -> list[str]:
     parts = [f"SELECT '{section}' AS section, {prefix} || '{name}' AS name, ROUND(CAST({column} AS DOUBLE), 8) AS value, "
              f"CAST(NULL AS VARCHAR) AS text FROM {source}" for name, column in numbers.items()]
@@ -570,15 +563,15 @@ def _bodies() -> dict[str, str]:
             THEN [NULL] ELSE json_keys(properties) END) AS property FROM landed""",
         "export_bundle": bundle,
         "results_document": results,
-        "full_refresh": _bundle() + " UNION ALL SELECT 'dq_report', check_name, 'value', CAST(value AS DOUBLE), NULL "
-            "FROM (SELECT * FROM checks UNION ALL " + " UNION ALL ".join(
-                f"SELECT '{name}', 0" for name in UNIQUE_POLICY) + ")",
+        "full_refresh": _whole_run(), "late_day_marts": _whole_run(),
         "refresh_history": f"""SELECT CAST(1 AS INTEGER) AS run, CASE WHEN COUNT(*) > 0 THEN 'failed_validation' ELSE 'success' END AS status,
               CAST(0 AS INTEGER) AS retries_used, string_agg(check_name || ': ' || detail, '; ' ORDER BY check_name) AS error,
               CASE WHEN COUNT(*) = 0 THEN (SELECT COUNT(*) FROM landed) END AS raw_row_count,
               CASE WHEN COUNT(*) = 0 THEN (SELECT COUNT(*) FROM rejected) END AS staging_rejects
             FROM ({_GATE}) WHERE passed = 0
-            UNION ALL SELECT 2, 'success', 0, NULL, (SELECT COUNT(*) FROM journeys), 0""",
+            UNION ALL SELECT 2, 'success', 0, NULL, (SELECT COUNT(*) FROM landed), (SELECT COUNT(*) FROM rejected)""",
+        "late_day_dates": """SELECT strftime(event_date, '%Y-%m-%d') AS event_date, COUNT(*) AS n_rows,
+            CASE WHEN event_date = MIN(event_date) OVER () THEN 1 ELSE 0 END AS rewritten FROM staged GROUP BY event_date""",
         "staged_strict_null": f"{_STAGED_TEXT} staged",
         "srm_missing_arm": """SELECT observed, expected_per_arm, ROUND(chi2, 4) AS chi2_statistic,
             ROUND(exp(-chi2 / 2), 4) AS p_value, CASE WHEN exp(-chi2 / 2) >= 0.001 THEN 1 ELSE 0 END AS passes FROM srm_two""",
@@ -593,9 +586,6 @@ def statements() -> dict[str, str]:
     chain = _STAGING + _WAREHOUSE + _MARTS + _STATISTICS + [("checks", _CHECKS)]
     sources = {
         "corrupt_arm_gate": _landed(arm="'INVALID'"), "dirty_injection": _landed(injected=True),
-        "full_refresh": _journeys() + [
-            ("landed", f"SELECT {_ENV}, 'events.parquet' AS _source_file, 0 AS _ingest_seq FROM journeys")],
-        "refresh_history": _journeys() + _landed(),
     }
     built = {}
     for name, body in _bodies().items():

@@ -59,11 +59,31 @@ def build(rows: DataFrame, folder: str, design: DataFrame | None = None,
     def check(report: DataFrame) -> None:
         values.extend(tuple(row) for row in report.collect())  # one row per check
 
-    raw = rows if landed else write("raw_events", landing.land(rows, source_file))
+    def watched(name: str, table: DataFrame, conditions: dict, kept=None, **layout) -> DataFrame:
+        """Write a table and take the counts of the checks from the same job."""
+        table, counts = quality.observed(table, conditions)
+        made = write(name, kept(table) if kept else table, **layout)
+        values.extend(counts().items())
+        return made
+
+    counted = quality.raw_conditions(strict_null)
+    if landed:
+        # Read in place: once for staging, once for the quarantine, whose job counts all rows.
+        raw, sorted_rows = rows, rows
+        quarantine = lambda: watched(
+            "stg_events_rejects", raw, counted, lambda seen: staging.rejects(seen, strict_null))
+    else:
+        # One pass over the source sorts the rows by verdict; each later step reads its own part.
+        whole = landing.land(rows, source_file).withColumn("_verdict", staging.verdict(strict_null))
+        sorted_rows = watched("raw_events", whole, counted, parts=("_verdict",))
+        raw = sorted_rows.drop("_verdict")
+        refused = sorted_rows.filter(F.col("_verdict") == "refused").drop("_verdict")
+        quarantine = lambda: write("stg_events_rejects", staging.rejects(refused, strict_null))
+        sorted_rows = sorted_rows.filter(F.col("_verdict") == "valid").drop("_verdict")
     tables = {"raw_events": raw} | together(
         spark,
-        stg_events=lambda: write("stg_events", staging.stage(raw, strict_null), partition_by="event_date"),
-        stg_events_rejects=lambda: write("stg_events_rejects", staging.rejects(raw, strict_null)),
+        stg_events=lambda: write("stg_events", staging.stage(sorted_rows, strict_null), partition_by="event_date"),
+        stg_events_rejects=quarantine,
     )
     events = tables["stg_events"]
 
@@ -71,8 +91,9 @@ def build(rows: DataFrame, folder: str, design: DataFrame | None = None,
         users = write("user_rollup", warehouse.user_rollup(events))
         made = together(
             spark,
-            dim_user=lambda: write("dim_user", warehouse.dim_user(users)),
-            fact_user_funnel=lambda: write("fact_user_funnel", warehouse.user_funnel(users)),
+            dim_user=lambda: watched("dim_user", warehouse.dim_user(users), quality.user_conditions()),
+            fact_user_funnel=lambda: watched(
+                "fact_user_funnel", warehouse.user_funnel(users), quality.funnel_conditions()),
         )
         members, funnel = made["dim_user"], made["fact_user_funnel"]
 
@@ -95,7 +116,7 @@ def build(rows: DataFrame, folder: str, design: DataFrame | None = None,
             arms=arm_marts,
             mart_daily_funnel=lambda: write("mart_daily_funnel", marts.daily_funnel(funnel)),
             checks=lambda: check(
-                quality.user_checks(members, funnel)
+                quality.orphan_check(members, funnel)
                 .unionByName(quality.unique_key_check(members, "dim_user", "user_id"))
                 .unionByName(quality.unique_key_check(funnel, "fact_user_funnel", "user_id"))
             ),
@@ -117,7 +138,7 @@ def build(rows: DataFrame, folder: str, design: DataFrame | None = None,
 
     branches = together(
         spark, users=user_tables, steps=step_tables, dates=date_table,
-        checks=lambda: check(quality.event_checks(raw, events, strict_null)),
+        checks=lambda: check(quality.staged_checks(events)),
     )
     tables |= branches["users"] | branches["steps"] | branches["dates"]
 

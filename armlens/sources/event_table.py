@@ -27,8 +27,6 @@ PLATFORM = (
     "CASE WHEN eid % 89 = 0 THEN 'Windows' "
     "WHEN CAST(floor(uid / 3) AS BIGINT) % 2 = 0 THEN 'iOS' ELSE 'Android' END"
 )
-JOURNEY_ARM = "CASE uid % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END"
-JOURNEY_PLATFORM = "CASE WHEN CAST(floor(uid / 3) AS BIGINT) % 2 = 0 THEN 'iOS' ELSE 'Android' END"
 EVENT_NAME = """CASE etype
  WHEN 'signup' THEN CASE WHEN k < 40 THEN 'app_installed' WHEN k < 80 THEN 'onboarding_started'
   ELSE 'account_created' END
@@ -151,52 +149,6 @@ def envelope_rows(events: DataFrame) -> DataFrame:
     )
 
 
-# A journey in order, a user's rows: event, minutes after the first of their source rows, condition over
-# uid. Every check of the policy holds for it.
-_DONE, _LEARNT = "uid % 5 <> 0", "uid % 5 <> 0 AND uid % 7 <> 0"
-JOURNEY = (
-    ("app_installed", 0, "TRUE"),
-    ("onboarding_started", 1, "TRUE"),
-    ("account_created", 2, "uid % 11 <> 0"),
-    ("onboarding_step_viewed", 3, "TRUE"),
-    ("onboarding_step_completed", 4, "uid % 13 <> 0"),
-    ("onboarding_step_abandoned", 5, "uid % 13 = 0"),
-    ("notification_permission_shown", 6, "uid % 2 = 0"),
-    ("notification_permission_accepted", 7, "uid % 4 = 0"),
-    ("onboarding_completed", 9, _DONE),
-    ("first_lesson_started", 12, _DONE),
-    ("first_lesson_completed", 25, _LEARNT),
-    ("lesson_feedback_submitted", 26, _LEARNT),
-    ("subscription_purchased", 40, f"{_LEARNT} AND uid % 3 <> 1"),
-    ("refund_requested", 90, f"{_LEARNT} AND uid % 6 = 2"),
-    ("support_ticket_created", 95, "uid % 8 = 1"),
-    ("app_opened_day1", 1450, f"{_DONE} AND uid % 3 <> 0"),
-    ("app_opened_day7", 10100, f"{_DONE} AND uid % 4 <> 0"),
-    ("app_opened_day30", 43300, f"{_DONE} AND uid % 9 = 1"),
-)
-IN_JOURNEY = "CASE leg " + " ".join(f"WHEN {i} THEN {c}" for i, (_, _, c) in enumerate(JOURNEY)) + " END"
-
-
-def journey_rows(events: DataFrame) -> DataFrame:
-    """Envelope rows of a well-ordered run derived from an ``events`` table, a journey per user."""
-    users = events.groupBy(F.col("user_id").alias("uid")).agg(F.min("ts").alias("first"))
-    stops = F.array(*[
-        F.struct(F.lit(name).alias("event_name"), F.lit(minutes).alias("minutes"), F.lit(leg).alias("leg"))
-        for leg, (name, minutes, _) in enumerate(JOURNEY)
-    ])
-    rows = users.select("uid", "first", F.explode(stops).alias("stop")).select("uid", "first", "stop.*").filter(
-        F.expr(IN_JOURNEY))
-    named = rows.select(
-        "uid", "event_name", (F.col("uid") % 100).cast("int").alias("k"), (F.col("uid") % 50 + 0.5).cast("double").alias("value"),
-        F.concat_ws("_", F.lit("j"), F.col("uid").cast("string"), F.col("leg").cast("string")).alias("event_id"),
-        F.concat(F.lit("u_"), F.col("uid").cast("string")).alias("user_id"),
-        F.date_format(F.expr("first + make_dt_interval(0, 0, minutes, 0)"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_timestamp"),
-        F.expr(JOURNEY_ARM).alias("test_group"), F.expr(JOURNEY_PLATFORM).alias("platform"),
-        F.expr("concat('s_', CAST(uid AS STRING))").alias("session_id"),
-    )
-    return named.select(*[c for c in ENVELOPE if c != "properties"], F.expr(payload_sql(EVENT_CATALOG)).alias("properties"))
-
-
 def landed_events(spark: SparkSession, folder: str) -> DataFrame:
     """The raw layer over a test-data folder."""
     return land(envelope_rows(read_events_table(spark, folder)), source_file="events.parquet")

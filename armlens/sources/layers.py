@@ -12,11 +12,13 @@ def layer_path(root: str, name: str) -> str:
 
 
 def write_layer(table: DataFrame, root: str, name: str, mode: str = "overwrite",
-                partition_by: str | None = None, files: int | None = None) -> DataFrame:
+                partition_by: str | None = None, files: int | None = None,
+                parts: tuple[str, ...] = ()) -> DataFrame:
     """Write a table and return it read back, so later steps start from files, not from lineage.
 
     ``partition_by`` rebalances first: a date holding a third of all rows is split into files of
-    the advisory size instead of being written by one task. ``files`` is for tables known to be
+    the advisory size instead of being written by one task. ``parts`` are partition columns of few
+    values, written by the tasks as they are, without a shuffle. ``files`` is for tables known to be
     small, such as marts.
     """
     if partition_by:
@@ -24,13 +26,20 @@ def write_layer(table: DataFrame, root: str, name: str, mode: str = "overwrite",
     elif files:
         table = table.coalesce(files)
     writer = table.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
+    if partition_by or parts:
+        writer = writer.partitionBy(*([partition_by] if partition_by else []), *parts)
     path = layer_path(root, name)
     writer.parquet(path)
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
+def overwrite_partitions(table: DataFrame, root: str, name: str, partition_by: str) -> None:
+    """Replace the partitions that ``table`` has rows of and leave all others as they are."""
+    rows = table.hint("rebalance", partition_by)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(
+        layer_path(root, name))
+
+
 def read_layer(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(layer_path(root, name))
 
