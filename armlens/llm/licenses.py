@@ -2,12 +2,15 @@
 
 A notice with at most ``k`` edits, cut into ``k + 1`` pieces, has a piece without an edit. The pieces,
 spaces included, are therefore seeds: a text that holds the notice holds one of its seeds as it is, once
-its words are parted by single spaces. So short notices are searched with edits like long ones, the
-contract's phrases among them. Texts without any seed are settled by substring search. A seed tells where its notice begins and ends up
-to ``k`` letters, so every pair of word boundaries there is compared with the notice. Of all runs with at
-most ``k`` edits those with the fewest are reported first, with place and edits, and of the others what
-does not overlap: an edited notice stays beside a better copy. A map over the documents: nothing is
-shuffled.
+its words are parted by single spaces. Texts without any seed are settled by substring search. A seed
+tells where its notice begins and ends up to ``k`` letters; every run of whole words between these places
+is matched by the regex library with at most ``k`` errors, which gives its edits. Every seed is looked at
+on its own, so an edited notice is found beside a better copy. Of all runs that match those with the
+fewest edits are reported first, with their spans, and of the others what does not overlap.
+
+Few edits in a short word make another word. A word of fewer than seven letters may therefore have one
+edit at most, and words that tell a license (``kept``) none; 'cc by' is searched as it is. A map over the
+documents: nothing is shuffled.
 
 Null text is empty; empty texts have no words and no notices. Other columns are not read. An empty
 table gives no rows. A text is searched as a whole, whatever its length; repeats are all reported.
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,17 +46,20 @@ PHRASES = (
 
 @dataclass(frozen=True)
 class Notice:
+    """``kept`` has to begin a word of a match as it is."""
+
     words: str
     label: str
     edits: int = 2
+    kept: str = ""
 
 
 NOTICES = (
     Notice("gnu general public license", "gpl"),
     Notice("apache license", "apache"),
-    Notice("cc by", "cc-by", 1),
-    Notice("mit license", "mit", 1),
-    Notice("released under the mit license", "mit", 1),
+    Notice("cc by", "cc-by", 0),
+    Notice("mit license", "mit", 1, "mit"),
+    Notice("released under the mit license", "mit", 1, "mit"),
     Notice("licensed under the apache license version", "apache"),
     Notice("licensed under the gnu general public license", "gpl"),
     Notice("gnu lesser general public license", "lgpl"),
@@ -87,28 +94,6 @@ def places(piece: str, text: str) -> list[int]:
     return found
 
 
-def distance(a: str, b: str, most: int) -> int:
-    """Letters to insert, drop or change between both; any number above ``most`` if there are more."""
-    if abs(len(a) - len(b)) > most:
-        return most + 1
-    first, last = 0, 0
-    shorter = min(len(a), len(b))
-    while first < shorter and a[first] == b[first]:
-        first += 1
-    while last < shorter - first and a[-1 - last] == b[-1 - last]:
-        last += 1
-    a, b = a[first:len(a) - last], b[first:len(b) - last]
-    before = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row = [i]
-        for j, y in enumerate(b, 1):
-            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
-        if min(row) > most:
-            return most + 1
-        before = row
-    return before[-1]
-
-
 def apart(runs: dict[tuple[int, int], int], length: int) -> list[tuple[int, int, int]]:
     """Runs (start, end, edits) that do not overlap, those with the fewest edits first."""
     taken = []
@@ -119,14 +104,45 @@ def apart(runs: dict[tuple[int, int], int], length: int) -> list[tuple[int, int,
     return taken
 
 
-class _Letters(dict):
-    """Whether a character belongs to words, as the boundaries of the regex library see it."""
+SURE = 7  # letters of a word that may have more than one edit
+
+
+class Pattern:
+    """A notice as a pattern of the regex library, and what of its matches counts."""
 
-    def __missing__(self, character: str) -> bool:
+    def __init__(self, notice: Notice):
         import regex
 
-        self[character] = known = regex.match(r"\w", character) is not None
-        return known
+        self.notice, words = notice, notice.words.split()
+        body = f"(?:{regex.escape(notice.words, special_only=True)})"
+        bound = f"{{e<={notice.edits}}}" if notice.edits else ""
+        self.run, self.edge = regex.compile(rf"(?b){body}{bound}"), regex.compile(r"\b")
+        self.kept = regex.compile(rf"\b{regex.escape(notice.kept)}") if notice.kept else None
+        self.words = [regex.compile(f"(?:{regex.escape(w)}){{e<={1 if len(w) < SURE else notice.edits}}}") for w in words]
+        self.seeds = list(zip(own := seeds(notice), np.cumsum([0] + [len(s) for s in own]).tolist()))
+
+    def runs(self, text: str, seed: str, at: int, offset: int) -> Iterator[tuple[int, int, int]]:
+        """Start, end and edits of all runs of whole words around a seed that match and count."""
+        most, low = self.notice.edits, at - offset
+        high = low + len(self.notice.words)
+        bounds = [m.start() for m in self.edge.finditer(text, max(0, low - most), min(len(text), high + most))]
+        # An end of the part that is searched looks like an edge: only real ones are.
+        begins = [i for i in bounds if i <= min(at, low + most) and self._edge(text, i) and text[i] != " "]
+        ends = [j for j in bounds if j >= max(at + len(seed), high - most) and self._edge(text, j) and text[j - 1] != " "]
+        for i in begins:
+            for j in ends:
+                match = self.run.fullmatch(text, i, j)
+                if match and self._counts(match.group()):
+                    yield i, j, sum(match.fuzzy_counts)
+
+    def _edge(self, text: str, at: int) -> bool:
+        return self.edge.match(text, at) is not None
+
+    def _counts(self, found: str) -> bool:
+        if self.kept and not self.kept.search(found):
+            return False
+        parts = found.split(" ")
+        return len(parts) != len(self.words) or all(w.fullmatch(p) for w, p in zip(self.words, parts))
 
 
 class Finder:
@@ -135,13 +151,8 @@ class Finder:
     def __init__(self, phrases=PHRASES, notices=NOTICES):
         self.phrases = [(p.split(), re.compile(BETWEEN.join(w.encode() for w in p.split())), label)
                         for p, label in phrases]
-        self.notices = []
-        for notice in notices:
-            own = seeds(notice)
-            begin = np.cumsum([0] + [len(s) for s in own]).tolist()
-            self.notices.append((notice, list(zip(own, begin))))
-        self.seeds = {s.encode() for _, own in self.notices for s, _ in own}
-        self.letters = _Letters()
+        self.notices = [Pattern(notice) for notice in notices]
+        self.seeds = {s.encode() for pattern in self.notices for s, _ in pattern.seeds}
 
     def search(self, lowered: bytes) -> tuple[list, list]:
         """Places of the phrases (word, label) and notices (start, end, edits, label, notice)."""
@@ -169,38 +180,12 @@ class Finder:
 
     def _notices(self, joined: str, held: set[bytes]) -> list[tuple[int, int, int, Notice]]:
         out = []
-        for notice, own in self.notices:
-            own = [(s, at) for s, at in own if s.encode() in held]
-            if own:
-                out += [(*run, notice) for run in apart(self._runs(joined, notice, own), len(notice.words))]
+        for pattern in self.notices:
+            runs = {(i, j): edits for s, offset in pattern.seeds if s.encode() in held
+                    for at in places(s, joined) for i, j, edits in pattern.runs(joined, s, at, offset)}
+            out += [(*run, pattern.notice) for run in apart(runs, len(pattern.notice.words))]
         return out
 
-    def _runs(self, joined: str, notice: Notice, own: list[tuple[str, int]]) -> dict[tuple[int, int], int]:
-        """Edits of every run between word boundaries that has at most as many as the notice allows."""
-        runs, size, most = {}, len(notice.words), notice.edits
-        for seed, offset in own:
-            for at in places(seed, joined):
-                low = at - offset
-                begins = [i for i in range(max(0, low - most), min(at, low + most) + 1) if self._begins(joined, i)]
-                if not begins:
-                    continue
-                high = min(len(joined), low + size + most)
-                ends = [i for i in range(max(at + len(seed), low + size - most), high + 1) if self._ends(joined, i)]
-                for run in ((i, j) for i in begins for j in ends):
-                    if run not in runs:
-                        runs[run] = distance(joined[run[0]:run[1]], notice.words, most)
-        return {run: edits for run, edits in runs.items() if edits <= most}
-
-    def _begins(self, text: str, at: int) -> bool:
-        if text[at] == " ":
-            return False
-        return self.letters[text[at]] if not at else self.letters[text[at]] != self.letters[text[at - 1]]
-
-    def _ends(self, text: str, at: int) -> bool:
-        if text[at - 1] == " ":
-            return False
-        return self.letters[text[at - 1]] if at == len(text) else self.letters[text[at]] != self.letters[text[at - 1]]
-
 
 PLACE = pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string())]))
 MATCH = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int64()),
