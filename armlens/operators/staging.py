@@ -11,8 +11,10 @@ from armlens.domain import (
 )
 from armlens.functions import payload
 from armlens.functions.scalars import literal_map, utc_second
+from armlens.sources.layers import through_scratch
 
 REJECT_REASON = "null_or_invalid_key"
+CATALOG_BYTES = 8 << 20  # of a catalogue table that is broadcast
 
 
 def reject_codes() -> Column:
@@ -133,15 +135,37 @@ def stage(raw: DataFrame, strict_null: bool = False) -> DataFrame:
     )
 
 
+def expected_keys(catalog: DataFrame) -> DataFrame:
+    """A catalogue table (event_name, property) as one row per event with all its keys."""
+    return catalog.filter(F.col("event_name").isNotNull()).groupBy("event_name").agg(
+        F.array_sort(F.collect_set("property")).alias("_expected"))
+
+
+def with_expected(staged: DataFrame, catalog: dict[str, tuple[str, ...]] | DataFrame,
+                  broadcast_bytes: int = CATALOG_BYTES) -> DataFrame:
+    """Staged events with the keys that their catalogue entry expects; NULL for an unknown event.
+
+    A catalogue given as a table is joined: broadcast when its text is under ``broadcast_bytes``, else
+    by a merge, in which adaptive execution splits hot event names.
+    """
+    if not isinstance(catalog, DataFrame):
+        return staged.withColumn("_expected", F.try_element_at(literal_map(catalog), F.col("event_name")))
+    keys = through_scratch(expected_keys(catalog), "catalog")
+    text = F.length("event_name") + F.length(F.array_join("_expected", ",")) + 64
+    small = (keys.agg(F.sum(text)).first()[0] or 0) <= broadcast_bytes
+    return staged.join(F.broadcast(keys) if small else keys.hint("merge"), "event_name", "left")
+
+
 def contract_violations(
     staged: DataFrame,
-    catalog: dict[str, tuple[str, ...]] = EVENT_CATALOG,
+    catalog: dict[str, tuple[str, ...]] | DataFrame = EVENT_CATALOG,
     design: dict[str, tuple[str, ...]] | None = None,
 ) -> DataFrame:
     """Staged events that break the tracking contract: one row per event and finding.
 
-    The catalogue and the step design (arm -> ordered step names) are constants of the
-    expression, so the check is a single pass without any join that parses each payload once.
+    The catalogue is a mapping, which becomes a constant of the expression, or the table that
+    ``read_event_catalog`` returns. The step design (arm -> ordered step names) is a constant too. Either
+    way the check is a single pass over the events that parses each payload once.
     """
     name, step = F.col("event_name"), F.col("step_number")
     no_keys = F.array().cast("array<string>")
@@ -197,7 +221,7 @@ def contract_violations(
     ]
     # Findings are exploded where they are made: a filter on them would be moved below the parsing of
     # the payload and parse it again for every condition. A good row has no findings and drops out.
-    noted = staged.withColumns({"_keys": keys, "_expected": F.try_element_at(literal_map(catalog), name)})
+    noted = with_expected(staged, catalog).withColumn("_keys", keys)
     return noted.select(
         "event_id", "event_name", "test_group",
         F.explode(F.array_compact(F.concat(*found))).alias("finding"),

@@ -464,7 +464,7 @@ def _bodies() -> dict[str, str]:
         "parsed_time": f"""SELECT event_id, _ingest_seq, {_TS_TEXT.format(_TS)} AS event_timestamp,
             {_DATE_TEXT.format(_TS)} AS event_date FROM landed""",
         "flattened_props": f"SELECT event_id, _ingest_seq, {_PAYLOAD} FROM landed",
-        "contract_violations": _violations(),
+        "contract_violations": _violations(), "contract_violations_by_file": _violations(),
         "stage_reconciliation": _RECONCILED,
         "dim_user": f"""SELECT * REPLACE ({_TS_TEXT.format('install_ts')} AS install_ts,
             {_DATE_TEXT.format('install_date')} AS install_date) FROM users""",

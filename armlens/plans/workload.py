@@ -162,6 +162,16 @@ def contract_violations(spark, folder):
     return staging.contract_violations(staged(spark, folder), EVENT_CATALOG, event_table.ARM_STEPS)
 
 
+@query
+def contract_violations_by_file(spark, folder):
+    """The same findings with the catalogue read from its JSON file."""
+    path = scratch_path(spark, "event_catalog")
+    listed = local_frame(spark, list(EVENT_CATALOG.items()), "event_name string, keys array<string>")
+    listed.coalesce(1).select(F.create_map("event_name", "keys").alias("event_catalog")).write.json(path)
+    catalog = designs.read_event_catalog(spark, path, multi_line=False)
+    return staging.contract_violations(staged(spark, folder), catalog, event_table.ARM_STEPS)
+
+
 @query
 def stage_reconciliation(spark, folder):
     raw = landed(spark, folder)

@@ -4,7 +4,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from armlens.domain import ARM_STEPS
+from armlens.domain import ARM_STEPS, EVENT_CATALOG
 from armlens.operators import staging
 from armlens.sources.faults import corrupt_arm, inject_dirty
 from armlens.sources.landing import append_batches, land
@@ -89,6 +89,21 @@ def test_payload_types(landed):
     assert (got["e5"].step_name, got["e5"].time_on_step_seconds) == ('a"b, c', 15.0)
 
 
+def test_the_catalogue_may_be_a_table(spark, landed):
+    rows = [event("e1", name="app_installed", device_platform="iOS"), event("e2", name="app_installed", other=1),
+            event("e3", name="unheard_of"), event("e4", name="notification_permission_shown"), event("e5", name="app_crash", raw="{")]
+    staged = staging.stage(landed(rows))
+    keys = [(name, key) for name, known in EVENT_CATALOG.items() for key in (known or (None,))]
+    catalog = spark.createDataFrame([*keys, *keys[:5], (None, "x")], "event_name string, property string")
+    want = sorted(map(tuple, staging.contract_violations(staged).collect()))
+    assert sorted(map(tuple, staging.contract_violations(staged, catalog).collect())) == want and len(want) >= 4
+    for size, join in ((staging.CATALOG_BYTES, "BroadcastHashJoin"), (10, "SortMergeJoin")):
+        plan = staging.with_expected(staged, catalog, size)._jdf.queryExecution().executedPlan().toString()
+        assert join in plan
+    none = staging.contract_violations(staged, catalog.filter("false"))
+    assert {r["code"] for r in none.collect()} >= {"unknown_event"}
+
+
 def test_contract_violations_name_each_finding(landed):
     raw = landed([
         event("fine", name="onboarding_step_viewed", step_number=1, step_name="welcome_screen", step_bucket="x"),
