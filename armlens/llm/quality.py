@@ -238,7 +238,7 @@ def modelled(figures: DataFrame, labels: DataFrame, ident: str, label: str, samp
     model = learn(sampled(known, ident, sample).join(figures, ident))
     if not model.weights.any():
         return model
-    strengths = figures.select(F.col(ident), model.strength().alias("s")).join(known, ident)
+    strengths = figures.select(F.col(ident), model.strength().alias("s")).join(known.hint("merge"), ident)
     return replace(model, threshold=threshold(written(strengths.select("y", "s"), "strengths")))
 
 
