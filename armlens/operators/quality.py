@@ -76,9 +76,10 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def raw_conditions(strict_null: bool = False) -> dict[str, Column]:
-    """What is counted of raw rows."""
-    return {"raw_row_count": F.lit(True), "staging_rejects": refused(strict_null)}
+def raw_conditions(strict_null: bool = False, verdict: str | None = None) -> dict[str, Column]:
+    """What is counted of raw rows; by their column ``verdict`` if they have one."""
+    gone = F.col(verdict) == "refused" if verdict else refused(strict_null)
+    return {"raw_row_count": F.lit(True), "staging_rejects": gone}
 
 
 def user_conditions() -> dict[str, Column]:

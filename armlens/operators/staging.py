@@ -74,6 +74,8 @@ def refused(strict_null: bool = False) -> Column:
 
 def verdict(strict_null: bool = False) -> Column:
     """Where a raw row belongs: ``valid``, ``refused``, or with ``strict_null`` also ``neither``."""
+    if not strict_null:  # the time text is parsed once
+        return F.when(passes(), "valid").otherwise("refused")
     return F.when(passes(strict_null), "valid").when(refused(strict_null), "refused").otherwise("neither")
 
 

@@ -27,7 +27,7 @@ from armlens.operators import marts, quality, staging, warehouse
 from armlens.plans.refresh import MARTS, together
 from armlens.session import pin
 from armlens.sources import commits, designs, landing
-from armlens.sources.layers import layer_path, overwrite_partitions, read_layer, write_layer
+from armlens.sources.layers import layer_path, overwrite_partitions, read_layer, write_bucketed, write_layer
 from armlens.sources.local import local_frame
 
 # Tables below ``current`` and the column they are laid out by.
@@ -87,7 +87,7 @@ def apply_batch(rows: DataFrame, root: str, design: DataFrame | None = None, sou
 
     # One pass over the batch sorts its rows and counts them.
     whole = landing.land(rows, source_file).withColumns({"_verdict": staging.verdict(), "_batch": F.lit(number)})
-    watched, counts = quality.observed(whole, quality.raw_conditions())
+    watched, counts = quality.observed(whole, quality.raw_conditions(verdict="_verdict"))
     raw = write_layer(watched, folder, "raw_events", parts=("_batch", "_verdict"))
     write_layer(staging.rejects(raw.filter("_verdict = 'refused'").drop("_verdict")), folder, "stg_events_rejects",
                 parts=("_batch",))
@@ -148,7 +148,7 @@ def from_states(user_days: DataFrame, step_days: DataFrame, design: DataFrame,
 
     def watched(name: str, table: DataFrame, conditions: dict) -> DataFrame:
         table, counts = quality.observed(table, conditions)
-        made = write(name, table)
+        made = write_bucketed(table, folder, name, "user_id")
         values.update(counts())
         return made
 
@@ -156,7 +156,7 @@ def from_states(user_days: DataFrame, step_days: DataFrame, design: DataFrame,
         values.update(tuple(row) for row in report.collect())  # one row per check
 
     def user_tables() -> dict[str, DataFrame]:
-        users = write("user_rollup", warehouse.merged_users(user_days))
+        users = write_bucketed(warehouse.merged_users(user_days), folder, "user_rollup", "user_id")
         made = together(
             spark,
             dim_user=lambda: watched("dim_user", warehouse.dim_user(users), quality.user_conditions()),

@@ -22,7 +22,7 @@ from armlens.operators import inference, marts, monitoring, quality, staging, wa
 from armlens.session import drop_path, pin
 from armlens.sources import designs, documents, landing, run_log
 from armlens.sources.events_csv import read_events_csv
-from armlens.sources.layers import layer_path, read_layer, write_layer
+from armlens.sources.layers import layer_path, read_layer, write_bucketed, write_layer
 from armlens.sources.local import local_frame
 
 MARTS = (
@@ -59,23 +59,25 @@ def build(rows: DataFrame, folder: str, design: DataFrame | None = None,
     def check(report: DataFrame) -> None:
         values.extend(tuple(row) for row in report.collect())  # one row per check
 
-    def watched(name: str, table: DataFrame, conditions: dict, kept=None, **layout) -> DataFrame:
+    def bucketed(name: str, table: DataFrame) -> DataFrame:
+        return write_bucketed(table, folder, name, "user_id")
+
+    def watched(name: str, table: DataFrame, conditions: dict, kept=None, put=write, **layout) -> DataFrame:
         """Write a table and take the counts of the checks from the same job."""
         table, counts = quality.observed(table, conditions)
-        made = write(name, kept(table) if kept else table, **layout)
+        made = put(name, kept(table) if kept else table, **layout)
         values.extend(counts().items())
         return made
 
-    counted = quality.raw_conditions(strict_null)
     if landed:
         # Read in place: once for staging, once for the quarantine, whose job counts all rows.
         raw, sorted_rows = rows, rows
         quarantine = lambda: watched(
-            "stg_events_rejects", raw, counted, lambda seen: staging.rejects(seen, strict_null))
+            "stg_events_rejects", raw, quality.raw_conditions(strict_null), lambda seen: staging.rejects(seen, strict_null))
     else:
         # One pass over the source sorts the rows by verdict; each later step reads its own part.
         whole = landing.land(rows, source_file).withColumn("_verdict", staging.verdict(strict_null))
-        sorted_rows = watched("raw_events", whole, counted, parts=("_verdict",))
+        sorted_rows = watched("raw_events", whole, quality.raw_conditions(verdict="_verdict"), parts=("_verdict",))
         raw = sorted_rows.drop("_verdict")
         refused = sorted_rows.filter(F.col("_verdict") == "refused").drop("_verdict")
         quarantine = lambda: write("stg_events_rejects", staging.rejects(refused, strict_null))
@@ -88,12 +90,13 @@ def build(rows: DataFrame, folder: str, design: DataFrame | None = None,
     events = tables["stg_events"]
 
     def user_tables() -> dict[str, DataFrame]:
-        users = write("user_rollup", warehouse.user_rollup(events))
+        # Laid out by user once; nothing after this shuffles by user again.
+        users = bucketed("user_rollup", warehouse.user_rollup(events))
         made = together(
             spark,
-            dim_user=lambda: watched("dim_user", warehouse.dim_user(users), quality.user_conditions()),
+            dim_user=lambda: watched("dim_user", warehouse.dim_user(users), quality.user_conditions(), put=bucketed),
             fact_user_funnel=lambda: watched(
-                "fact_user_funnel", warehouse.user_funnel(users), quality.funnel_conditions()),
+                "fact_user_funnel", warehouse.user_funnel(users), quality.funnel_conditions(), put=bucketed),
         )
         members, funnel = made["dim_user"], made["fact_user_funnel"]
 

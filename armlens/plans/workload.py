@@ -697,8 +697,8 @@ def full_refresh(spark, folder):
     """A whole run over the events as they are: the published marts and the report."""
     root = scratch_path(spark, "refresh")
     _refreshed(spark, folder, root)
-    return _whole_run({name: refresh.published(spark, root, name) for name in refresh.MARTS},
-                      refresh.published(spark, root, "dq_report"))
+    run = refresh.latest_folder(spark, root)
+    return _whole_run({name: read_layer(spark, run, name) for name in refresh.MARTS}, read_layer(spark, run, "dq_report"))
 
 
 @query
@@ -737,8 +737,8 @@ def _late_day(spark: SparkSession, folder: str) -> tuple[str, dict]:
 def late_day_marts(spark, folder):
     """The marts and checks after a day that came late: as if all events had come at once."""
     root, _ = _late_day(spark, folder)
-    return _whole_run({name: increments.published(spark, root, name) for name in refresh.MARTS},
-                      increments.published(spark, root, "dq_report"))
+    run = increments.base(spark, root)["folder"]
+    return _whole_run({name: read_layer(spark, run, name) for name in refresh.MARTS}, read_layer(spark, run, "dq_report"))
 
 
 @query

@@ -9,12 +9,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from armlens.domain import ARM_STEPS, STEP_BUCKETS
+from armlens.operators import quality, staging, warehouse
 from armlens.operators.quality import GateFailure
 from armlens.plans import refresh
 from armlens.sources import run_log
 from armlens.sources.events_csv import write_events_csv
 from armlens.sources.faults import inject_dirty
 from armlens.sources.landing import land
+from armlens.sources.layers import read_bucketed, write_bucketed
 from armlens.sources.local import local_frame
 from conftest import event
 
@@ -166,6 +168,34 @@ def test_a_landed_raw_layer_is_read_in_place(spark, envelope, tmp_path):
     assert not os.path.exists(f"{refresh.latest_folder(spark, str(tmp_path / 'out'))}/raw_events")
 
 
+def test_user_tables_are_shuffled_by_user_once(spark, landed, tmp_path):
+    rows = [event(f"{name}{i}", f"u_{i % 40}", name, f"2026-06-15T10:0{at}:00", "ABC"[i % 40 % 3])
+            for i in range(60) for at, name in enumerate(("app_installed", "onboarding_started"))]
+    root = str(tmp_path)
+    rollup = warehouse.user_rollup(staging.stage(landed(rows)))
+    users = write_bucketed(rollup, root, "users", "user_id", 4)
+    members = write_bucketed(warehouse.dim_user(users), root, "dim_user", "user_id", 4)
+    funnel = write_bucketed(warehouse.user_funnel(users), root, "funnel", "user_id", 4)
+    assert all(sum(f.endswith(".parquet") for f in os.listdir(f"{root}/{name}")) <= 4 for name in ("users", "dim_user", "funnel"))
+    dealt = write_bucketed(funnel.repartition(3), root, "dealt", "user_id", 4, deal=True)
+    assert sorted(map(repr, dealt.collect())) == sorted(map(repr, funnel.collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frames = [warehouse.user_funnel(users), quality.orphan_users(funnel, members), quality.duplicate_keys(funnel, "user_id"),
+                  warehouse.user_funnel(read_bucketed(spark, root, "users", "user_id", 4))]
+        for frame in frames:
+            assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+        assert [f.count() for f in frames] == [40, 0, 0, 40]
+        # From events on: one exchange of partial sums, one that lays the few states out by user.
+        plan = rollup._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("hashpartitioning(user_id#") == 2 and plan.count("hashpartitioning(event_id#") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plain = warehouse.user_funnel(rollup)
+    assert sorted(map(repr, funnel.collect())) == sorted(map(repr, plain.collect()))
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("layer_")]
+
+
 def test_superseded_and_failed_runs_are_pruned(spark, envelope, tmp_path):
     root = str(tmp_path)
     good = envelope([event(f"{name}{i}", f"u_{i}", name, f"2026-06-15T10:0{at}:00", "ABC"[i % 3])
