@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from armlens.llm.common import prepared, text_or_empty
+from armlens.llm.common import prepared, text_or_empty, written
 
 TRIE_BYTES = 48 << 20
 NODE_BYTES = 400  # a node beside its label
@@ -238,13 +238,16 @@ def owners(texts: DataFrame, kind: str, limit: int = TRIE_BYTES) -> DataFrame:
 
 
 def told_apart(groups: DataFrame) -> DataFrame:
-    """``groups`` if every text has a length and digest of its own, else an error when it is read.
+    """``groups`` as a stored table; an error if two texts share length and digest.
 
-    The window lies on the keys that the rows are joined by, so it needs no shuffle of its own.
+    A row per distinct text is stored and counted on its own, so that nothing stands between the shuffle
+    and the join of ``mark_copies``, whose hot digests adaptive execution then splits.
     """
-    twins = F.count(F.lit(1)).over(Window.partitionBy("digest", "n_bytes"))
-    refused = F.raise_error(F.lit("two texts share length and digest")).cast("bigint")
-    return groups.withColumn("n", F.when(twins > 1, refused).otherwise(F.col("n")))
+    stored = written(groups, "owners")
+    twins = stored.groupBy("digest", "n_bytes").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
+    if twins.limit(1).count():
+        raise ValueError("two texts share length and digest")
+    return stored
 
 
 def mark_copies(docs: DataFrame, ident: str = "doc_id", text: str = "text",
@@ -261,7 +264,7 @@ def mark_copies(docs: DataFrame, ident: str = "doc_id", text: str = "text",
     rows = docs.select(body.alias("row"), F.sha2(plain, 256).alias("digest"),
                        F.octet_length(plain).cast("bigint").alias("n_bytes"))
     mine = F.col("row")[ident].eqNullSafe(F.col("keep"))
-    joined = rows.join(groups, ["digest", "n_bytes"], "left").withColumn("mine", mine)
+    joined = rows.join(groups.hint("merge"), ["digest", "n_bytes"], "left").withColumn("mine", mine)
     # Rows that repeat the owner's identifier are rare; only they are numbered.
     repeated = F.col("mine") & (F.col("ties") > 1)
     number = F.row_number().over(Window.partitionBy("digest", "n_bytes").orderBy(F.xxhash64("row")))
