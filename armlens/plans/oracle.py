@@ -552,6 +552,8 @@ def _bodies() -> dict[str, str]:
               COUNT(CASE WHEN status = 'success' THEN 1 END) * 100.0 / COUNT(*) < 70) THEN 1 ELSE 0 END AS unhealthy
             FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY started_at DESC) AS rn FROM ({_RUNS})) WHERE rn <= 10""",
         "csv_roundtrip": f"SELECT {_ENV} FROM landed",
+        "csv_raw_line_breaks": f"""SELECT * REPLACE (replace(properties, ',', chr(10)) || chr(10) || chr(10) AS properties)
+            FROM (SELECT {_ENV} FROM landed)""",
         "streamed_landing": f"SELECT {_ENV} FROM landed",
         "layer_roundtrip": f"""SELECT event_id, user_id, event_name, {_TS_TEXT.format('event_timestamp')} AS event_timestamp,
             {_DATE_TEXT.format('event_date')} AS event_date, step_number FROM staged""",

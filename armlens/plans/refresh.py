@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from armlens.operators import inference, marts, monitoring, quality, staging, warehouse
 from armlens.session import drop_path, pin
-from armlens.sources import designs, documents, landing, run_log
+from armlens.sources import csv_records, designs, documents, landing, run_log
 from armlens.sources.events_csv import read_events_csv
 from armlens.sources.layers import layer_path, read_layer, write_bucketed, write_layer
 from armlens.sources.local import local_frame
@@ -153,18 +153,18 @@ def build(rows: DataFrame, folder: str, design: DataFrame | None = None,
 
 def _hopeless(failure: Exception) -> bool:
     """Wrong inputs or design: the same run would fail again, whoever repeats it."""
-    if isinstance(failure, (designs.DesignError, AnalysisException)):
+    if isinstance(failure, (designs.DesignError, csv_records.OpenQuote, AnalysisException)):
         return True
     return isinstance(failure, PySparkException) and failure.getCondition() == "USER_RAISED_EXCEPTION"
 
 
 def refresh_files(spark: SparkSession, events: str, root: str, step_map: str | None = None,
-                  **options) -> dict[str, DataFrame]:
-    """A refresh from event CSV files and, if given, a step map file."""
+                  multi_line: bool = False, **options) -> dict[str, DataFrame]:
+    """A refresh from event CSV files and, if given, a step map file; ``multi_line`` as in the reader."""
     def design() -> DataFrame:
         return designs.read_dim_step(spark, step_map) if step_map else designs.step_design(spark)
 
-    return refresh(lambda: (read_events_csv(spark, events), design()), root, spark=spark, **options)
+    return refresh(lambda: (read_events_csv(spark, events, multi_line), design()), root, spark=spark, **options)
 
 
 def prune_runs(spark: SparkSession, root: str, keep: int = 3) -> list[str]:

@@ -514,6 +514,15 @@ def csv_roundtrip(spark, folder):
     return landing.land(read).select(*ENVELOPE)
 
 
+@query
+def csv_raw_line_breaks(spark, folder):
+    """Payloads with raw line breaks, written and read in splits."""
+    broken = F.concat(F.translate("properties", ",", "\n"), F.lit("\n\n"))
+    rows = landed(spark, folder).withColumn("properties", broken)
+    path = events_csv.write_events_csv(rows, scratch_path(spark, "events_csv"))
+    return landing.land(events_csv.read_events_csv(spark, path, multi_line=True)).select(*ENVELOPE)
+
+
 @query
 def streamed_landing(spark, folder):
     """Event files landed by a stream that is started twice; the second start finds nothing new."""

@@ -8,7 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from armlens.domain import ARM_STEPS, STEP_BUCKETS
+from armlens.domain import ARM_STEPS, ENVELOPE, STEP_BUCKETS
 from armlens.operators import quality, staging, warehouse
 from armlens.operators.quality import GateFailure
 from armlens.plans import refresh
@@ -237,7 +237,11 @@ def test_files_in_published_marts_out(spark, envelope, tmp_path):
     design.write_text(design.read_text().replace('"step_name": "hello"', '"step_name": "other"'))
     with pytest.raises(Exception, match="hello"):
         refresh.refresh_files(spark, events, root, str(design))
-    assert statuses(spark, root) == [("success", 0), ("failed_fatal", 2), ("failed_fatal", 0)]
+    half = tmp_path / "half.csv"
+    half.write_text(",".join(ENVELOPE) + '\ne1,u,app_installed,t,A,iOS,s,"{\n')
+    with pytest.raises(ValueError, match="half.csv"):
+        refresh.refresh_files(spark, str(half), root, multi_line=True)
+    assert statuses(spark, root) == [("success", 0), ("failed_fatal", 2), ("failed_fatal", 0), ("failed_fatal", 0)]
     assert refresh.published(spark, root, "dim_step").count() == 3
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 from types import SimpleNamespace
 
 import pytest
@@ -46,6 +47,55 @@ def test_csv_written_elsewhere_with_doubled_quotes(spark, tmp_path):
     assert got == {row[0]: row[7] for row in NASTY} | {"e5": '{"text": "two\nlines"}'}
 
 
+def broken_payloads(n):
+    """Payloads with line breaks of several kinds, blank lines, quotes and commas; some longer than a split."""
+    rng = random.Random(n)
+    pieces = ["\n", "\n\n", '"', '""', ",", "\r\n", "ключ", "a" * 40, "\n" * 7, " ", '",\n"']
+    return [event(f"e{i}", user=None if i % 9 == 0 else f"u_{i}", session="" if i % 7 == 0 else "s",
+                  raw="{" + "".join(rng.choices(pieces, k=300 if i % 41 == 0 else rng.randrange(8))) + "}")
+            for i in range(n)]
+
+
+@pytest.mark.parametrize("split", [97, 1_000, 1 << 27])
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_raw_line_breaks_in_files_of_many_splits(spark, tmp_path, split, newline):
+    import csv
+
+    rows = broken_payloads(400)
+    for name, part in (("one.csv", rows[:250]), ("two.csv", rows[250:]), ("none.csv", [])):
+        with open(tmp_path / name, "w", newline="") as out:
+            out.write("" if name == "one.csv" else newline)
+            writer = csv.writer(out, lineterminator=newline)
+            writer.writerow(ENVELOPE)
+            writer.writerows([["" if v is None else v for v in row] for row in part])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        back = events_csv.read_events_csv(spark, str(tmp_path), multi_line=True)
+        tasks = back.rdd.getNumPartitions()
+        got = back.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(got) == len(rows) and (tasks > 50 if split == 97 else True)
+    assert {r.event_id: r.properties for r in got} == {row[0]: row[7] for row in rows}
+    assert {r.event_id: r.user_id for r in got} == {row[0]: row[1] for row in rows}
+    assert {r._source_file for r in got} == {"one.csv", "two.csv"}
+
+
+def test_a_line_break_is_never_a_wrong_row_count(spark, tmp_path):
+    path = tmp_path / "one.csv"
+    path.write_text(",".join(ENVELOPE) + "\n" + 'e1,u,n,t,A,iOS,s,"{\n}"\n')
+    assert events_csv.read_events_csv(spark, str(path), multi_line=True).count() == 1
+    with pytest.raises(Exception, match="(?i)malformed"):
+        events_csv.read_events_csv(spark, str(path)).count()
+    path.write_text(",".join(ENVELOPE) + "\n" + 'e1,u,n,t,A,iOS,s,"{\n}\n')
+    with pytest.raises(ValueError, match="one.csv"):
+        events_csv.read_events_csv(spark, str(path), multi_line=True)
+    path.write_text(",".join(reversed(ENVELOPE)) + "\n" + ",".join("12345678") + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        events_csv.read_events_csv(spark, str(path), multi_line=True).collect()
+
+
 def test_csv_with_other_column_order_is_refused(spark, tmp_path):
     path = tmp_path / "swapped.csv"
     path.write_text(",".join(reversed(ENVELOPE)) + "\n" + ",".join("12345678") + "\n")
