@@ -86,14 +86,9 @@ def step_dropoff(events: DataFrame, design: DataFrame) -> DataFrame:
     return counted_steps(step_states(events), design)
 
 
-def merged_steps(states: DataFrame) -> DataFrame:
-    """States of any days as one row per step and user."""
-    return states.groupBy(*STEP, "user_id").agg(*[F.max(c).alias(c) for c in STEP_COUNTS])
-
-
 def counted_steps(per_user: DataFrame, design: DataFrame) -> DataFrame:
-    """Users per arm and step from one row per step and user. The design is joined to the summed rows,
-    where both sides are small; steps outside the design drop out there."""
+    """Users per arm and step from one row per step and user, or from counts of users apart. The design is
+    joined to the summed rows, where both sides are small; steps outside the design drop out there."""
     counted = per_user.groupBy(*STEP).agg(*[F.sum(c).alias(c) for c in STEP_COUNTS])
     buckets = design.select("test_group", "step_number", "step_bucket").distinct()
     return counted.join(buckets, ["test_group", "step_number"]).select(

@@ -1,8 +1,8 @@
 """Increments: a batch rewrites the dates it touches and the marts they feed, and no other date.
 
-Below ``current`` lie the layers by date: staged events, and mergeable states of users and of steps for
-each day. A batch is landed, staged and freed of events that are known from any earlier batch; what is
-left names the dates. For these dates alone events and states are built anew, in the folder of the run.
+Below ``current`` lie the layers by date: staged events, mergeable states of users for each day, and
+bitmaps of numbered users for each day and step. A batch is landed, staged and freed of events that are
+known from any earlier batch; what is left names the dates. For these dates alone events and states are built anew, in the folder of the run.
 User tables and marts come from the states of all days, so old events are never read again, but for the
 identifiers that the batch repeats. The checks are the same as those of a whole run.
 
@@ -23,7 +23,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from armlens.operators import marts, quality, staging, warehouse
+from armlens.operators import marts, quality, reach, staging, warehouse
 from armlens.plans.refresh import MARTS, together
 from armlens.session import pin
 from armlens.sources import commits, designs, landing
@@ -31,8 +31,8 @@ from armlens.sources.layers import layer_path, overwrite_partitions, read_layer,
 from armlens.sources.local import local_frame
 
 # Tables below ``current`` and the column they are laid out by.
-BY_DATE = {"stg_events": "event_date", "user_days": "event_date", "step_days": "event_date"}
-BY_BATCH = {"raw_events": "_batch", "stg_events_rejects": "_batch"}
+BY_DATE = {"stg_events": "event_date", "user_days": "event_date", "step_bitmaps": "event_date"}
+BY_BATCH = {"raw_events": "_batch", "stg_events_rejects": "_batch", "user_numbers": "_batch"}
 
 
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
@@ -53,7 +53,8 @@ def publish(spark: SparkSession, root: str, record: dict) -> None:
         overwrite_partitions(read_layer(spark, record["folder"], name), layer_path(root, "current"), name, column)
 
     # A table without rows has no files to read.
-    rows = dict.fromkeys(BY_DATE, len(record["dates"])) | dict(zip(BY_BATCH, (record["raw_rows"], record["rejects"])))
+    rows = dict.fromkeys(BY_DATE, len(record["dates"])) | {"step_bitmaps": record["step_rows"]}
+    rows |= dict(zip(BY_BATCH, (record["raw_rows"], record["rejects"], record["new_users"])))
     steps = {name: lambda n=name, c=column: replace(n, c)
              for name, column in {**BY_DATE, **BY_BATCH}.items() if rows[name]}
     if steps:
@@ -81,6 +82,8 @@ def apply_batch(rows: DataFrame, root: str, design: DataFrame | None = None, sou
     spark = pin(rows.sparkSession)
     last = base(spark, root)
     number = last["number"] + 1 if last else 1
+    if last and last["step_rows"] is None:
+        raise ValueError(f"{root} was written without step bitmaps; start a new folder")
     run_id = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%SZ}_{uuid.uuid4().hex[:8]}"
     folder = layer_path(root, f"runs/{run_id}")
     design = designs.step_design(spark) if design is None else design
@@ -103,6 +106,12 @@ def apply_batch(rows: DataFrame, root: str, design: DataFrame | None = None, sou
     fresh = write_layer(staged, folder, "fresh_events", partition_by="event_date")
     dates = [row[0] for row in fresh.select("event_date").distinct().orderBy("event_date").collect()]  # a row a day
 
+    numbered = _table(spark, root, "user_numbers")
+    own = write_layer(reach.number_users(warehouse.step_events(fresh), numbered).withColumn("_batch", F.lit(number)),
+                      folder, "user_numbers", parts=("_batch",))
+    new_users = own.count()
+    numbered = _with(numbered.select(*own.columns) if numbered is not None else None, own)
+
     touched = F.col("event_date").isin(dates) if dates else F.lit(False)
     events = write_layer(_with(known.filter(touched).select(*fresh.columns) if known is not None else None, fresh),
                          folder, "stg_events", partition_by="event_date")
@@ -110,8 +119,9 @@ def apply_batch(rows: DataFrame, root: str, design: DataFrame | None = None, sou
         spark,
         user_days=lambda: write_layer(warehouse.user_states(events, "event_date"), folder, "user_days",
                                       partition_by="event_date"),
-        step_days=lambda: write_layer(marts.step_states(warehouse.step_events(events), "event_date"), folder,
-                                      "step_days", partition_by="event_date"),
+        step_bitmaps=lambda: write_layer(
+            reach.step_bitmaps(marts.step_states(warehouse.step_events(events), "event_date"), numbered), folder,
+            "step_bitmaps", partition_by="event_date"),
         duplicates=lambda: quality.staged_checks(events).collect(),
     )
     values = dict(tuple(row) for row in made["duplicates"])
@@ -125,21 +135,22 @@ def apply_batch(rows: DataFrame, root: str, design: DataFrame | None = None, sou
         stored, own = _table(spark, root, name), made[name]
         return _with(stored.filter(~touched).select(*own.columns) if stored is not None else None, own)
 
-    tables, found = from_states(of_all_days("user_days"), of_all_days("step_days"), design, folder)
+    tables, found = from_states(of_all_days("user_days"), of_all_days("step_bitmaps"), design, folder)
     values |= found
     write_layer(local_frame(spark, sorted(values.items()), "check_name string, value bigint"), folder, "dq_report", files=1)
     quality.enforce_values(values, {**policy, **quality.UNIQUE_POLICY})
 
     record = {"run_id": run_id, "folder": folder, "dates": [str(d) for d in dates], "raw_rows": seen["raw_row_count"],
-              "rejects": seen["staging_rejects"], "published_at": datetime.now(timezone.utc).isoformat()}
+              "rejects": seen["staging_rejects"], "new_users": new_users, "step_rows": made["step_bitmaps"].count(),
+              "published_at": datetime.now(timezone.utc).isoformat()}
     commits.commit(spark, root, number, **record)
     publish(spark, root, {"number": number, **record})
     return {"number": number, **record}
 
 
-def from_states(user_days: DataFrame, step_days: DataFrame, design: DataFrame,
+def from_states(user_days: DataFrame, step_bitmaps: DataFrame, design: DataFrame,
                 folder: str) -> tuple[dict[str, DataFrame], dict[str, int]]:
-    """User tables, dates and marts from the states of days, and the values of their checks."""
+    """User tables, dates and marts from the states and bitmaps of days, and the values of their checks."""
     spark = user_days.sparkSession
     values: dict[str, int] = {}
 
@@ -184,7 +195,7 @@ def from_states(user_days: DataFrame, step_days: DataFrame, design: DataFrame,
 
     def step_tables() -> None:
         steps = write("dim_step", design, files=1)
-        write("mart_step_dropoff", marts.counted_steps(marts.merged_steps(step_days), steps))
+        write("mart_step_dropoff", marts.counted_steps(reach.user_counts(step_bitmaps), steps))
 
     def date_table() -> None:
         dates = write("dim_date", warehouse.dim_date(user_days), files=1)

@@ -447,6 +447,18 @@ def _document() -> list[str]:
     return parts
 
 
+def _reach() -> str:
+    """Users by the day they were first seen at a step, per kind of event, and running sums of them."""
+    step, first, columns = "test_group, step_number, step_name", [], []
+    for column, text in _DISTINCT.items():
+        event = text.split("'")[1]
+        first.append(f"COUNT(DISTINCT CASE WHEN step_event_type = '{event}' AND event_date = first_day THEN user_id END) AS new_{column}")
+        columns.append(f"CAST(SUM(new_{column}) OVER (PARTITION BY {step} ORDER BY event_date) AS BIGINT) AS {column}")
+    return f"""SELECT * REPLACE ({_DATE_TEXT.format('event_date')} AS event_date), {', '.join(columns)} FROM (
+        SELECT event_date, {step}, {', '.join(first)} FROM (SELECT *, MIN(event_date) OVER (
+          PARTITION BY {step}, step_event_type, user_id) AS first_day FROM steps) GROUP BY event_date, {step})"""
+
+
 def _bodies() -> dict[str, str]:
     """Final SELECT of each statement over the named subqueries."""
     bundle = _bundle() + " UNION ALL SELECT 'stats', 'verdict', 'verdict', NULL, (SELECT verdict FROM verdicts)"
@@ -487,6 +499,8 @@ def _bodies() -> dict[str, str]:
         "mart_kpi_by_group": "SELECT * FROM kpi",
         "mart_guardrails_by_group": "SELECT * FROM guards",
         "mart_step_dropoff": "SELECT * FROM dropoff",
+        "mart_step_dropoff_by_bitmaps": "SELECT * FROM dropoff",
+        "step_reach": _reach(),
         "mart_daily_funnel": f"SELECT * REPLACE ({_DATE_TEXT.format('install_date')} AS install_date) FROM daily",
         "dq_report": "SELECT * FROM checks",
         "dq_gate": _GATE,

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from armlens.domain import ENVELOPE, EVENT_CATALOG, KEYS, STEP_RANGE
 from armlens.functions import payload
 from armlens.operators import (
-    assignment, inference, marts, monitoring, panels, quality, staging, warehouse,
+    assignment, inference, marts, monitoring, panels, quality, reach, staging, warehouse,
 )
 from armlens.plans import increments, refresh
 from armlens.session import pin, scratch_path
@@ -237,6 +237,23 @@ def mart_step_dropoff(spark, folder):
     return marts.step_dropoff(warehouse.step_events(staged(spark, folder)), design(spark))
 
 
+def bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    states = through_scratch(
+        marts.step_states(warehouse.step_events(staged(spark, folder)), "event_date"), "step_days")
+    return reach.step_bitmaps(states, reach.number_users(states))
+
+
+@query
+def mart_step_dropoff_by_bitmaps(spark, folder):
+    """The step mart from one bitmap per day, step and chunk of users."""
+    return marts.counted_steps(reach.user_counts(bitmaps(spark, folder)), design(spark))
+
+
+@query
+def step_reach(spark, folder):
+    return reach.step_reach(bitmaps(spark, folder))
+
+
 @query
 def mart_daily_funnel(spark, folder):
     return marts.daily_funnel(funnel(spark, folder))

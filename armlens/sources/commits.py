@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from armlens.sources.layers import layer_path
 
 SCHEMA = ("number bigint, run_id string, folder string, dates array<string>, raw_rows bigint, rejects bigint, "
-          "published_at string")
+          "new_users bigint, step_rows bigint, published_at string")
 
 
 class Conflict(Exception):

@@ -84,6 +84,21 @@ def test_repeats_of_known_events_are_no_rows_of_the_batch(spark, envelope, tmp_p
     assert commits.commits(spark, root).count() == 4
 
 
+def test_users_keep_their_numbers_and_days_without_steps_have_no_bitmaps(spark, envelope, tmp_path):
+    root = str(tmp_path / "inc")
+    plain = [event("p1", "u_90", at=f"{DAYS[0]}T10:00:00"), event("p2", "u_91", arm="B", at=f"{DAYS[0]}T10:00:00")]
+    assert increments.apply_batch(envelope(plain), root, policy=POLICY)["new_users"] == 0
+    batches = [plain, day_rows(DAYS[1], users=10), day_rows(DAYS[2], users=30)]
+    sizes = []
+    for batch in batches[1:]:
+        sizes.append(increments.apply_batch(envelope(batch), root, policy=POLICY)["new_users"])
+    numbers = increments.published(spark, root, "user_numbers").collect()
+    assert sorted(r.number for r in numbers) == list(range(1, sum(sizes) + 1)) and len({r.user_id for r in numbers}) == sum(sizes)
+    assert max(r.number for r in numbers if r._batch == 2) == sizes[0]
+    assert set(files(root, "step_bitmaps")) == {f"event_date={d}" for d in DAYS[1:3]}
+    same_as_whole(spark, envelope, root, batches, str(tmp_path / "whole"))
+
+
 def test_a_run_lost_after_its_commit_is_finished_by_the_next(spark, envelope, tmp_path, monkeypatch):
     root = str(tmp_path / "inc")
     increments.apply_batch(envelope(day_rows(DAYS[0])), root, policy=POLICY)
