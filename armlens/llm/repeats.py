@@ -2,9 +2,8 @@
 
 Symbols are words or bytes. Each window is known by an anchor, the ``kmer`` symbols in it whose hash is
 smallest: equal windows have equal anchors at equal places, and neighbouring windows mostly share one.
-An anchor with the run of windows around it takes the place of an edge of a compacted De Bruijn graph: no
-k-mer edges, degrees or joined paths are made. Corpus-wide comparisons see one short row per such edge and
-chunk, not one per window:
+An anchor with the run of windows around it is called an edge. Corpus-wide comparisons see one short row per
+such edge and chunk, not one per window:
 
 1. ``edges``: every chunk of documents sends its edges, each anchor once, to buckets of anchors.
 2. ``compare edges``: an anchor with the same path everywhere needs no more; its windows repeat or not as
