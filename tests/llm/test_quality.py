@@ -125,3 +125,40 @@ def test_kept_rows_are_those_predicted_good(spark):
 def test_empty_table(spark):
     known = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, quality int")
     assert quality.score_quality(frame(spark, []), known).collect() == []
+
+
+def plain_model(x, y, usable):
+    """A plain fit: every pair of a good and a poor text, the logistic loss at its least."""
+    good, bad = x[usable & (y == 1)], x[usable & (y == 0)]
+    both = np.concatenate((good, bad))
+    scale = np.where(both.std(0) > 1e-9, both.std(0), 1.0)
+
+    def expanded(rows):
+        z = np.clip((rows - both.mean(0)) / scale, -4, 4)
+        return np.concatenate((z, z * z), 1)
+
+    a, b = expanded(good), expanded(bad)
+    differences = (a[:, None] - b[None]).reshape(-1, a.shape[1])
+    w = np.zeros(a.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-differences @ w))
+        curve = (differences * (p * (1 - p))[:, None]).T @ differences / len(differences) + 1e-3 * np.eye(len(w))
+        w -= np.linalg.solve(curve, differences.T @ (p - 1) / len(differences) + 1e-3 * w)
+    return expanded(x) @ w
+
+
+def test_scores_are_those_of_a_plain_fit_over_all_pairs(spark):
+    rng = random.Random(15)
+    rows, labels = corpus(14, 300)
+    labels = [(i, 1 - v if rng.random() < 0.1 else v) for i, v in labels]  # so that weights stay small
+    x, y = figures([t for _, t in rows]), np.array([v for _, v in labels])
+    usable = np.array([zlib.crc32(str(i).encode()) % 5 != 0 for i, _ in rows])
+    strength = plain_model(x, y, usable)
+    limit = np.sort(strength[usable])[np.sum(y[usable] == 0) - 1]
+    out = {r["doc_id"]: r for r in quality.score_quality(
+        frame(spark, rows), spark.createDataFrame(labels, "doc_id bigint, quality int")).collect()}
+    scores = np.array([out[i]["score"] for i, _ in rows])
+    ranks = lambda v: np.argsort(np.argsort(v))
+    assert np.corrcoef(ranks(scores), ranks(strength))[0, 1] > 0.98
+    predicted = np.array([out[i]["predicted"] for i, _ in rows])
+    assert np.mean(predicted == (strength > limit)) > 0.97
