@@ -14,6 +14,7 @@ from armlens.functions.payload import FIELDS
 from armlens.operators.inference import GUARDRAILS, SECONDARY
 from armlens.operators.quality import POLICY, UNIQUE_POLICY
 from armlens.operators.warehouse import FUNNEL_FLAGS
+from armlens.plans.workload import ORDERLESS
 from armlens.sources import event_table as rules
 from armlens.sources.faults import MALFORMED
 
@@ -55,6 +56,21 @@ _MALFORMED = ", ".join(
 )
 
 
+def _journeys() -> list[tuple[str, str]]:
+    stops = ", ".join(f"({at}, '{name}', {minutes})" for at, (name, minutes, _) in enumerate(rules.JOURNEY))
+    return [
+        ("travellers", "SELECT user_id AS uid, MIN(ts) AS first FROM events GROUP BY user_id"),
+        ("stops", f"""SELECT *, CAST(uid % 100 AS INTEGER) AS k, CAST(uid % 50 + 0.5 AS DOUBLE) AS value,
+            {rules.JOURNEY_ARM} AS test_group, {rules.JOURNEY_PLATFORM} AS platform
+            FROM travellers, (VALUES {stops}) AS s(leg, event_name, minutes) WHERE {rules.IN_JOURNEY}"""),
+        ("journeys", f"""SELECT concat_ws('_', 'j', uid, leg) AS event_id, concat('u_', CAST(uid AS STRING)) AS user_id,
+            event_name, strftime(first + to_minutes(CAST(minutes AS BIGINT)), '%Y-%m-%dT%H:%M:%S.%f') AS event_timestamp,
+            test_group, platform, concat('s_', CAST(uid AS STRING)) AS session_id,
+            {rules.payload_sql(EVENT_CATALOG)} AS properties FROM stops"""),
+        ("landed", f"SELECT {_ENV}, 'events.parquet' AS _source_file, 0 AS _ingest_seq FROM journeys"),
+    ]
+
+
 def _landed(arm: str = "test_group", injected: bool = False) -> list[tuple[str, str]]:
     extra = f"""
         UNION ALL SELECT event_id, user_id, event_name, event_timestamp, test_group, platform, 's1', '{{}}',
@@ -279,6 +295,7 @@ _CHECKS = """
       OR (activation_rate IS NOT NULL AND activation_rate NOT BETWEEN 0 AND 1)
       OR (paid_conversion_rate IS NOT NULL AND paid_conversion_rate NOT BETWEEN 0 AND 1)"""
 
+_CHAIN = _STAGING + _WAREHOUSE + _MARTS + _STATISTICS + [("checks", _CHECKS)]
 _TS_TEXT = "strftime({0}, '%Y-%m-%d %H:%M:%S')"
 _DATE_TEXT = "strftime({0}, '%Y-%m-%d')"
 _GATE = f"""SELECT check_name, value, CASE WHEN ok THEN 1 ELSE 0 END AS passed,
@@ -406,6 +423,16 @@ def _whole_run() -> str:
                 f"SELECT '{name}', 0" for name in UNIQUE_POLICY) + ")")
 
 
+def _recorded(number: int, policy: dict[str, tuple[str, int]]) -> str:
+    """What is recorded of a run over ``landed`` that is held to a policy."""
+    return f"""SELECT CAST({number} AS INTEGER) AS run,
+              CASE WHEN COUNT(*) > 0 THEN 'failed_validation' ELSE 'success' END AS status,
+              CAST(0 AS INTEGER) AS retries_used, string_agg(check_name || ': ' || detail, '; ' ORDER BY check_name) AS error,
+              CASE WHEN COUNT(*) = 0 THEN (SELECT COUNT(*) FROM landed) END AS raw_row_count,
+              CASE WHEN COUNT(*) = 0 THEN (SELECT COUNT(*) FROM rejected) END AS staging_rejects
+            FROM ({_GATE}) WHERE passed = 0 AND check_name IN ({', '.join(f"'{c}'" for c in policy)})"""
+
+
 def _figures(section: str, prefix: str, source: str, numbers: dict[str, str], texts: dict[str, str]) -> list[str]:
     parts = [f"SELECT '{section}' AS section, {prefix} || '{name}' AS name, ROUND(CAST({column} AS DOUBLE), 8) AS value, "
              f"CAST(NULL AS VARCHAR) AS text FROM {source}" for name, column in numbers.items()]
@@ -580,12 +607,9 @@ def _bodies() -> dict[str, str]:
         "export_bundle": bundle,
         "results_document": results,
         "full_refresh": _whole_run(), "late_day_marts": _whole_run(),
-        "refresh_history": f"""SELECT CAST(1 AS INTEGER) AS run, CASE WHEN COUNT(*) > 0 THEN 'failed_validation' ELSE 'success' END AS status,
-              CAST(0 AS INTEGER) AS retries_used, string_agg(check_name || ': ' || detail, '; ' ORDER BY check_name) AS error,
-              CASE WHEN COUNT(*) = 0 THEN (SELECT COUNT(*) FROM landed) END AS raw_row_count,
-              CASE WHEN COUNT(*) = 0 THEN (SELECT COUNT(*) FROM rejected) END AS staging_rejects
-            FROM ({_GATE}) WHERE passed = 0
-            UNION ALL SELECT 2, 'success', 0, NULL, (SELECT COUNT(*) FROM landed), (SELECT COUNT(*) FROM rejected)""",
+        "refresh_history": " UNION ALL ".join([
+            _recorded(1, POLICY), _recorded(2, ORDERLESS),
+            f"SELECT * FROM ({_with(_recorded(3, POLICY), _journeys() + _CHAIN)})"]),
         "late_day_dates": """SELECT strftime(event_date, '%Y-%m-%d') AS event_date, COUNT(*) AS n_rows,
             CASE WHEN event_date = MIN(event_date) OVER () THEN 1 ELSE 0 END AS rewritten FROM staged GROUP BY event_date""",
         "staged_strict_null": f"{_STAGED_TEXT} staged",
@@ -599,17 +623,17 @@ def _bodies() -> dict[str, str]:
 
 
 def statements() -> dict[str, str]:
-    chain = _STAGING + _WAREHOUSE + _MARTS + _STATISTICS + [("checks", _CHECKS)]
     sources = {
         "corrupt_arm_gate": _landed(arm="'INVALID'"), "dirty_injection": _landed(injected=True),
     }
-    built = {}
-    for name, body in _bodies().items():
-        parts = sources.get(name, _landed()) + chain
-        needed = _needed(body, parts)
-        head = ", ".join(f"{n} AS ({text})" for n, text in parts if n in needed)
-        built[name] = f"WITH {head} {body}" if head else body
-    return built
+    return {name: _with(body, sources.get(name, _landed()) + _CHAIN) for name, body in _bodies().items()}
+
+
+def _with(body: str, parts: list[tuple[str, str]]) -> str:
+    """A statement with the subqueries it uses before it."""
+    needed = _needed(body, parts)
+    head = ", ".join(f"{n} AS ({text})" for n, text in parts if n in needed)
+    return f"WITH {head} {body}" if head else body
 
 
 def _needed(body: str, parts: list[tuple[str, str]]) -> set[str]:

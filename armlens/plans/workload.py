@@ -729,21 +729,27 @@ def full_refresh(spark, folder):
 
 @query
 def refresh_history(spark, folder):
-    """Two runs over the events and what is recorded of them: under the full policy, and under ``ORDERLESS``."""
+    """What is recorded of three runs: the events as they are under the full policy and under ``ORDERLESS``, and
+    the journeys of all users, which are in order, under the full policy again."""
     root = scratch_path(spark, "refresh")
-    try:
-        refresh.refresh(_envelope(spark, folder), root, design=design(spark), source_file="events.parquet")
-    except quality.GateFailure:
-        pass  # recorded, which is what is looked at
-    _refreshed(spark, folder, root)
-    history = run_log.read_runs(spark, f"{root}/run_history")
-    # The run of one status here: the first one fails and the second one succeeds, or both succeed.
-    first = history.agg(F.min(F.struct("started_at", "run_id")).alias("first"))
-    runs = history.join(first, F.struct("started_at", "run_id") == F.col("first"), "left")
-    return runs.select(
-        F.when(F.col("first").isNull(), 2).otherwise(1).alias("run"), "status", "retries_used", "error",
+    journeys = event_table.journey_rows(event_table.read_events_table(spark, folder))
+    events = _envelope(spark, folder)
+    for rows, policy in ((events, quality.POLICY), (events, ORDERLESS), (journeys, quality.POLICY)):
+        try:
+            refresh.refresh(rows, root, design=design(spark), source_file="events.parquet", policy=policy)
+        except quality.GateFailure:
+            pass  # recorded, which is what is looked at
+    runs = run_log.read_runs(spark, f"{root}/run_history").select(F.struct(
+        "started_at", "run_id", "status", "retries_used", "error",
         F.col("validation_summary")["raw_row_count"].alias("raw_row_count"),
         F.col("validation_summary")["staging_rejects"].alias("staging_rejects"),
+    ).alias("record"))
+    # The runs follow each other, so their starts number them; one record a run is all there is.
+    numbered = runs.agg(F.sort_array(F.collect_list("record")).alias("records")).select(
+        F.posexplode("records").alias("at", "record"))
+    return numbered.select(
+        (F.col("at") + 1).alias("run"), "record.status", "record.retries_used", "record.error",
+        "record.raw_row_count", "record.staging_rejects",
     )
 
 
